@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cadastra.catalog.registry import Tables, query
-from cadastra.operators import dedupe, filters, joins, sets, windows
+from cadastra.operators import dedupe, joins, sets, windows
 from cadastra.operators.joins import Lookup
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]

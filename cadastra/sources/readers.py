@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from cadastra.functions.cols import as_list
 from cadastra.operators.sets import unite
 from cadastra.sources.schemas import DATATYPES
+from cadastra.sources.staging import stage
 
 CORRUPT = "_corrupt_record"
 _FEATURE_IDS = ("ObjectId", "OBJECTID", "FID")
@@ -22,7 +23,10 @@ def read_declared_csv(spark: SparkSession, path, schema: T.StructType, **options
 
 
 def read_tolerant_csv(spark: SparkSession, path, schema: T.StructType, **options) -> DataFrame:
-    """Bad cells become null and the raw line is kept in ``_corrupt_record`` (null for good lines)."""
+    """Bad cells become null and the raw line is kept in ``_corrupt_record`` (null for good lines).
+
+    Continue with :func:`split_tolerant` before choosing columns.
+    """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     return (
         spark.read.schema(wide).option("header", True).option("mode", "PERMISSIVE")
@@ -30,9 +34,15 @@ def read_tolerant_csv(spark: SparkSession, path, schema: T.StructType, **options
     )
 
 
-def quarantine(tolerant: DataFrame) -> DataFrame:
-    """Raw text of the lines that did not parse cleanly."""
-    return tolerant.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
+def split_tolerant(tolerant: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All rows with bad cells null, and the lines that did not parse cleanly with their raw text.
+
+    Spark only checks the cells a query asks for, so the parsed rows are written once with all
+    their columns and both results read from there.
+    """
+    parsed = stage(tolerant, "parsed")
+    bad = parsed.where(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "line")
+    return parsed.drop(CORRUPT), bad
 
 
 def read_text_csv(spark: SparkSession, path, columns: list[str], **options) -> DataFrame:
