@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cadastra.catalog.registry import Tables, query
-from cadastra.catalog.standins import band_sql, band_text, epoch_sql, range_year_sql, words, words_sql
+from cadastra.catalog.standins import UNTIED, band_sql, band_text, epoch_sql, range_year_sql, words, words_sql
+from cadastra.functions.bands import year_by_range
 from cadastra.functions.dates import last_complete_year
 from cadastra.operators import joins, quality
+from cadastra.operators.aggs import percent_drop
 from cadastra.operators.joins import Lookup
 from cadastra.plans import certificates, indicators
 from cadastra.sources import readers, writers
-from cadastra.sources.staging import fresh_dir
+from cadastra.sources.staging import fresh_dir, stage
 
 # --- the register seen in the test tables ----------------------------------------------------
 #
@@ -119,8 +121,6 @@ FROM (SELECT *, {range_year_sql('construction_age_band')} AS y FROM certs) LEFT
 LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN las ON ladcd = local_authority
 WHERE local_authority IN (SELECT ladcd FROM las WHERE cauthnm = 'EUROPE')""")
 def _(t):
-    from cadastra.functions.bands import year_by_range
-
     certs = _certs(t).withColumn("n_nominal_construction_date", year_by_range("construction_age_band"))
     tenure = _tenure(t).withColumnRenamed("lsoa21cd", "lsoacd")
     imd = t.nation.select(F.col("n_nationkey").alias("lsoacd"), (F.col("n_regionkey") + 1).alias("imd_decile"))
@@ -161,14 +161,18 @@ def _(t):
 
 
 def _scored_properties(t: Tables) -> DataFrame:
-    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
-    line = t.lineitem.select("l_orderkey", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice")
-    return joins.enrich(
-        line,
-        Lookup(orders, {"l_orderkey": "o_orderkey"}, ["o_custkey", "o_orderpriority", "o_orderdate"], "inner"),
-        Lookup(t.customer, {"o_custkey": "c_custkey"}, ["c_nationkey", "c_mktsegment"], "inner"),
+    # Customers and nations join the orders, and the large line table then meets one lookup.
+    customers = joins.enrich(
+        t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"),
         Lookup(t.nation, {"c_nationkey": "n_nationkey"}, ["n_name"], "inner"),
-    ).select(
+    )
+    orders = joins.enrich(
+        t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"),
+        Lookup(customers, {"o_custkey": "c_custkey"}, ["n_name", "c_mktsegment"], "inner"),
+    )
+    line = t.lineitem.select("l_orderkey", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice")
+    taken = ["o_orderpriority", "o_orderdate", "n_name", "c_mktsegment"]
+    return joins.enrich(line, Lookup(orders, {"l_orderkey": "o_orderkey"}, taken, "inner")).select(
         F.col("c_mktsegment").alias("lsoa"), F.col("l_returnflag").alias("current_energy_rating"),
         F.col("l_linestatus").alias("property_type"), F.col("o_orderpriority").alias("transaction_type"),
         F.col("n_name").alias("cauthnm"), F.year("o_orderdate").alias("year"),
@@ -369,8 +373,6 @@ y AS (SELECT calendar_year, sum(e) AS total FROM s GROUP BY 1)
 SELECT round_even((arg_min(total, calendar_year) - arg_max(total, calendar_year)) * 100 / arg_min(total, calendar_year), 1)
     AS percent_drop FROM y""")
 def _(t):
-    from cadastra.operators.aggs import percent_drop
-
     return percent_drop(_sector_totals(t), "calendar_year", "emissions_by_sector").select("percent_drop")
 
 
@@ -398,7 +400,7 @@ WITH f AS (SELECT l_suppkey, year(l_shipdate)::INTEGER AS year, sum(l_tax) * 100
 
 
 def _car_ratios(t: Tables) -> DataFrame:
-    traffic = _traffic(t)
+    traffic = stage(_traffic(t), "traffic")  # read three times below
     members = _members(t).withColumn("ladcd", F.concat(F.lit("E"), "ladcd"))
     lookup = indicators.traffic_lookup(traffic, members).select("dft_la_id", "ladcd").distinct()
     lookup = joins.enrich(lookup, Lookup(members, {"ladcd": "ladcd"}, ["cauthnm"], "inner"))
@@ -510,12 +512,12 @@ SELECT p_type AS improvement_id_text, round(avg(CASE WHEN l_returnflag <> 'A' TH
     AS mean_cost_of_improvement, count(*) AS count FROM lineitem JOIN part ON l_partkey = p_partkey
 WHERE p_brand <> 'Brand#1' GROUP BY 1""")
 def _(t):
-    line = t.lineitem.groupBy("l_partkey", "l_returnflag").agg(F.count("*").alias("copies"))
+    line = t.lineitem.select("l_partkey", "l_returnflag")
     parts = joins.enrich(line, Lookup(t.part, {"l_partkey": "p_partkey"}, ["p_type", "p_size", "p_brand"], "inner"))
     low = F.concat(F.lit("£"), F.format_number(F.col("p_size") * 1000, 0))
     high = F.concat(F.lit(" - £"), F.format_number(F.col("p_size") * 1000 + 1500, 0))
     cost = F.concat(low, F.when(F.col("l_returnflag") != "A", high).otherwise(""))
-    recommendations = parts.withColumn("one", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).select(
+    recommendations = parts.select(
         F.col("l_partkey").alias("improvement_id"), F.col("p_type").alias("improvement_id_text"),
         F.when(F.col("p_brand") != "Brand#1", cost).alias("indicative_cost"),
     )
@@ -526,7 +528,7 @@ def _(t):
 @query("i15_tubes_by_site", """
 SELECT c_custkey::INTEGER AS site_id, year, round(no2, 1) AS no2, count, c_name AS location, round(c_acctbal, 6) AS latitude,
     round(c_nationkey / 7.0, 6)::DOUBLE AS longitude FROM (SELECT o_custkey, year(o_orderdate)::INTEGER AS year,
-    avg(o_totalprice) / 7 AS no2, count(*) AS count FROM orders GROUP BY ALL) JOIN customer ON o_custkey = c_custkey""")
+    avg(o_totalprice) * 0.70710678 AS no2, count(*) AS count FROM orders GROUP BY ALL) JOIN customer ON o_custkey = c_custkey""")
 def _(t):
     point = F.concat_ws(",", F.col("c_acctbal").cast("string"), (F.col("c_nationkey") / F.lit(7.0).cast("double")).cast("string"))
     raw = t.customer.select(
@@ -535,18 +537,19 @@ def _(t):
     )
     sites = indicators.monitoring_sites(raw, "photos/")
     tubes = t.orders.groupBy(F.col("o_custkey").cast("int").alias("site_id"), F.year("o_orderdate").alias("year")).agg(
-        (F.avg("o_totalprice") / 7).alias("no2"), F.count("*").alias("count")
+        (F.avg("o_totalprice") * UNTIED).alias("no2"), F.count("*").alias("count")
     )
     return indicators.tubes_by_site(sites, tubes, ["location", "latitude", "longitude"])
 
 
 @query("i15_annual_means", """
-SELECT user_id AS site_id, year(ts)::INTEGER AS year, round(avg(value), 1) AS mean_no2,
-    round(avg(CASE WHEN event_type <> 'error' THEN value END), 1) AS mean_pm10 FROM events GROUP BY ALL""")
+SELECT user_id AS site_id, year(ts)::INTEGER AS year, round(avg(value * 0.70710678), 1) AS mean_no2,
+    round(avg(CASE WHEN event_type <> 'error' THEN value * 0.70710678 END), 1) AS mean_pm10 FROM events GROUP BY ALL""")
 def _(t):
     hourly = t.events.select(
         F.col("user_id").alias("site_id"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("date_time"),
-        F.col("value").alias("no2"), F.when(F.col("event_type") != "error", F.col("value")).alias("pm10"),
+        (F.col("value") * UNTIED).alias("no2"),
+        F.when(F.col("event_type") != "error", F.col("value") * UNTIED).alias("pm10"),
     )
     return indicators.annual_means(indicators.hourly_with_parts(hourly), ["no2", "pm10"])
 

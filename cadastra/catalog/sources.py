@@ -168,9 +168,7 @@ SELECT o_orderkey, dft_code, la_code FROM orders JOIN (VALUES ('1-URGENT', 101,
 v(authority, dft_code, la_code) ON o_orderpriority = authority""")
 def _(t):
     codes = {"1-URGENT": ["E01", 101], "2-HIGH": ["E02", 102]}
-    lookup = readers.nested_codes(
-        t.spark, codes, ["authority", "la_code", "dft_code"], "a string, b string, c int"
-    )
+    lookup = readers.nested_codes(t.spark, codes, "authority string, la_code string, dft_code int")
     joined = enrich(
         t.orders.select("o_orderkey", "o_orderpriority"),
         Lookup(lookup, {"o_orderpriority": "authority"}, ["dft_code", "la_code"], "inner"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cadastra.catalog.registry import Tables, query
+from cadastra.catalog.standins import UNTIED
 from cadastra.functions import domain
 from cadastra.functions.numbers import percent_ratio
 from cadastra.operators import aggs, joins, quality
@@ -235,10 +236,10 @@ def _(t):
 
 
 @query("a22_rounded_means", """
-SELECT user_id, month(ts)::INTEGER AS month, round(avg(value), 1) AS mean_value FROM events GROUP BY 1, 2
+SELECT user_id, month(ts)::INTEGER AS month, round(avg(value * 0.70710678), 1) AS mean_value FROM events GROUP BY 1, 2
 ORDER BY month, user_id""")
 def _(t):
-    means = t.events.groupBy("user_id", F.month("ts").alias("month")).agg(F.round(F.avg("value"), 1).alias("mean_value"))
+    means = t.events.groupBy("user_id", F.month("ts").alias("month")).agg(F.round(F.avg(F.col("value") * UNTIED), 1).alias("mean_value"))
     return means.orderBy("month", "user_id")
 
 

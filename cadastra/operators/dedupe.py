@@ -26,16 +26,20 @@ from cadastra.functions.cols import as_col, as_list
 _RN = "__rn"
 
 
-def latest_with_ties(df: DataFrame, key, ts: str) -> DataFrame:
+def latest_with_ties(df: DataFrame, key, ts: str, among: DataFrame | None = None) -> DataFrame:
     """All rows that carry the latest ``ts`` of their key; null keys and null dates drop out.
 
     The maximum per key is a narrow aggregate with map-side combine. The wide rows are then
     semi-joined on (key, ts), not on key alone: rows of one hot key spread over its dates, and
     what is left of the skew (many ties on one date) is split by adaptive execution.
+
+    ``among`` is a filtered ``df``: the latest date is still that of the whole table, but only the
+    filtered rows are shuffled and returned.
     """
     keys = as_list(key)
     newest = df.groupBy(*keys).agg(F.max(ts).alias(ts))
-    return df.join(newest, [*keys, ts], "left_semi").select(*df.columns)
+    rows = df if among is None else among
+    return rows.join(newest, [*keys, ts], "left_semi").select(*df.columns)
 
 
 def latest_by_rank(df: DataFrame, key, ts: str, keep_nulls: bool = False) -> DataFrame:

@@ -32,5 +32,9 @@ def at_extremes(df: DataFrame, value: ColumnLike) -> DataFrame:
 
 def trailing_years(df: DataFrame, date: str, years: int) -> DataFrame:
     """Rows from ``years`` years before the last complete year up to and including it."""
-    last = df.select(last_complete_year(F.max(date))).scalar()
-    return df.where(F.year(date).between(last - years, last))
+    kind = df.schema[date].dataType
+    bounds = df.select(last_complete_year(F.max(date)).alias("y"))
+    # Bounds in the type of the column itself, so that files and row groups outside can be skipped.
+    start = bounds.select(F.make_date(F.col("y") - years, F.lit(1), F.lit(1)).cast(kind)).scalar()
+    stop = bounds.select(F.make_date(F.col("y") + 1, F.lit(1), F.lit(1)).cast(kind)).scalar()
+    return df.where((F.col(date) >= start) & (F.col(date) < stop))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from cadastra.functions.cols import as_list
+from cadastra.sources.inline import local_table
 
 
 def unite(*frames: DataFrame) -> DataFrame:
@@ -22,7 +23,7 @@ def unite_tagged(frames: dict[str, DataFrame], tag: str) -> DataFrame:
 
 def append_rows(df: DataFrame, rows: list[tuple]) -> DataFrame:
     """Add hand-made rows given in column order."""
-    return df.union(df.sparkSession.createDataFrame(rows, df.schema))
+    return df.union(local_table(df.sparkSession, rows, df.schema))
 
 
 def unite_distinct(*frames: DataFrame) -> DataFrame:

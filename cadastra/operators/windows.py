@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cadastra.functions.cols import ColumnLike, as_col, as_list
 from cadastra.functions.numbers import ordinal
+from cadastra.sources.inline import local_table
 from cadastra.sources.staging import stage
 
 _POS, _PART = "__pos", "__part"
@@ -27,7 +28,7 @@ def _with_offsets(staged: DataFrame, size: Column, name: str) -> DataFrame:
     starts = accumulate([0] + [row["size"] for row in sizes])
     rows = [(row[_PART], start) for row, start in zip(sizes, starts)]
     # One row per shuffle partition of the staged table, so the broadcast is bounded by that number.
-    offsets = staged.sparkSession.createDataFrame(rows, f"{_PART} bigint, {name} bigint")
+    offsets = local_table(staged.sparkSession, rows, f"{_PART} bigint, {name} bigint")
     return staged.join(F.broadcast(offsets), _PART)
 
 

@@ -35,17 +35,18 @@ def domestic_view(
     """Latest certificates per property with geography, tenure, deprivation, year, epoch and date parts.
 
     With ``region`` only properties whose latest certificate lies in that combined authority. The
-    region is applied after the latest rows are found (a property may have moved between
-    authorities) but before the lookups are joined.
+    latest date counts all certificates (a property may have moved between authorities), but only
+    those of the region are shuffled. Tenure and deprivation hang on the postcode, so they are
+    joined to the postcode directory first and the certificates meet one lookup, not three.
     """
-    latest = dedupe.latest_with_ties(certs, "uprn", "lodgement_datetime")
-    if region is not None:
-        latest = in_region(latest, authorities, region)
-    arms = [
-        Lookup(postcodes, {"postcode": "pcds"}, _present(postcodes, POSTCODE_COLUMNS), prefix="pc"),
+    members = None if region is None else in_region(certs, authorities, region)
+    latest = dedupe.latest_with_ties(certs, "uprn", "lodgement_datetime", among=members)
+    geography = joins.enrich(
+        postcodes.select(*_present(postcodes, POSTCODE_COLUMNS)),
         Lookup(tenure, {"lsoa21": "lsoa21cd"}, _others(tenure, "lsoa21cd"), prefix="tenure"),
         Lookup(imd, {"lsoa11": "lsoa11cd"}, _others(imd, "lsoa11cd"), prefix="imd"),
-    ]
+    )
+    arms = [Lookup(geography, {"postcode": "pcds"}, geography.columns, prefix="pc")]
     if authorities is not None:
         arms.append(Lookup(authorities, {"local_authority": "ladcd"}, ["ladnm", "cauthnm", "ladcd"], prefix="la"))
     return with_derived(joins.enrich(latest, *arms))
@@ -63,7 +64,8 @@ def with_derived(certs: DataFrame) -> DataFrame:
 
 def non_domestic_view(certs: DataFrame, postcodes: DataFrame, authorities: DataFrame, region: str) -> DataFrame:
     """Latest non-domestic certificates of a region that have both an authority and a known postcode."""
-    latest = in_region(dedupe.latest_with_ties(certs, "uprn", "lodgement_datetime"), authorities, region)
+    members = in_region(certs, authorities, region)
+    latest = dedupe.latest_with_ties(certs, "uprn", "lodgement_datetime", among=members)
     joined = joins.enrich(
         latest,
         Lookup(authorities, {"local_authority": "ladcd"}, authorities.columns, "inner", "la"),
@@ -76,14 +78,16 @@ def portal_view(
     certs: DataFrame, postcodes: DataFrame, tenure: DataFrame, imd: DataFrame, authorities: DataFrame, region: str
 ) -> DataFrame:
     """Cleaned certificates of a region for publication, numbered in certificate-key order."""
-    members = in_region(certs, authorities, region)
-    joined = joins.enrich(
-        members,
-        Lookup(postcodes, {"postcode": "pcds"}, _present(postcodes, POSTCODE_COLUMNS[:-1]), prefix="pc"),
+    geography = joins.enrich(
+        postcodes.select(*_present(postcodes, POSTCODE_COLUMNS)),
         Lookup(tenure, {"lsoa21": "lsoacd"}, _others(tenure, "lsoacd"), prefix="tenure"),
-        Lookup(authorities, {"local_authority": "ladcd"}, ["ladnm"], prefix="la"),
         Lookup(imd, {"lsoa21": "lsoacd"}, ["imd_decile"], prefix="imd"),
     ).withColumnRenamed("imd_decile", "n_imd_decile")
+    joined = joins.enrich(
+        in_region(certs, authorities, region),
+        Lookup(geography, {"postcode": "pcds"}, _others(geography, "pcds"), prefix="pc"),
+        Lookup(authorities, {"local_authority": "ladcd"}, ["ladnm"], prefix="la"),
+    )
     with_epoch = joined.withColumn("construction_epoch", bands.epoch("n_nominal_construction_date"))
     return windows.row_numbers(with_epoch, "lmk_key", "rowname")
 

@@ -10,6 +10,8 @@ from cadastra.functions.dates import iso_text_parts, month_from_label, quarter_s
 from cadastra.functions.numbers import mwh_to_gwh, percent_ratio
 from cadastra.operators import aggs, filters, joins, names, quality, sets, windows
 from cadastra.operators.joins import Lookup
+from cadastra.sources.inline import local_table
+from cadastra.sources.staging import stage
 
 SCORE_GROUP = ["lsoa", "current_energy_rating", "property_type", "transaction_type", "cauthnm", "year"]
 
@@ -27,8 +29,13 @@ def deprivation_weighted_scores(properties: DataFrame) -> DataFrame:
 
 
 def latest_places(series: DataFrame, value: str, period: str = "year") -> DataFrame:
-    """Place of every authority in the latest period, highest value first, with ordinal text."""
-    return windows.placement(filters.at_maximum(series, period), value, period)
+    """Place of every authority in the latest period, highest value first, with ordinal text.
+
+    The series is small but dear to compute, so it is written once before it is asked for its
+    latest period and again for the rows.
+    """
+    summary = stage(series, "series")
+    return windows.placement(filters.at_maximum(summary, period), value, period)
 
 
 def a_rated_share(certs: DataFrame, authorities: DataFrame) -> DataFrame:
@@ -70,7 +77,7 @@ def emissions_per_capita(
 
 def check_sub_sectors(emissions: DataFrame, sub_sectors: list[str], column: str = "la_ghg_sub_sector") -> None:
     """Every requested sub-sector must occur in the table."""
-    requested = emissions.sparkSession.createDataFrame([(s,) for s in sub_sectors], f"{column} string")
+    requested = local_table(emissions.sparkSession, [(s,) for s in sub_sectors], f"{column} string")
     quality.require_none(quality.unknown_values(requested, emissions, column), "sub-sector not in emissions table")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from cadastra.functions.cols import as_list
 from cadastra.operators.sets import unite
+from cadastra.sources.inline import local_table
 from cadastra.sources.schemas import DATATYPES
 from cadastra.sources.staging import stage
 
@@ -65,8 +66,8 @@ def read_inferred_csv(spark: SparkSession, path, sep: str = ",", columns: list[s
 
 
 def path_key(pattern: str, group: int = 1) -> Column:
-    """Key found in the path of the source file."""
-    return F.nullif(F.regexp_extract(F.col("_metadata.file_path"), pattern, group), F.lit(""))
+    """Key found in the path of the source file, empty when the pattern does not match."""
+    return F.regexp_extract(F.col("_metadata.file_path"), pattern, group)
 
 
 def read_by_path_key(
@@ -146,10 +147,9 @@ def read_series(read_one, names: dict[str, int], period: str = "year") -> DataFr
 
 def inline_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small hand-made lookup."""
-    return spark.createDataFrame(rows, schema)
+    return local_table(spark, rows, schema)
 
 
-def nested_codes(spark: SparkSession, nested: dict[str, list], columns: list[str], schema: str) -> DataFrame:
+def nested_codes(spark: SparkSession, nested: dict[str, list], schema: str) -> DataFrame:
     """``{name: [code, other code]}`` to one row per name with the codes as columns."""
-    rows = [(name, *codes) for name, codes in nested.items()]
-    return spark.createDataFrame(rows, schema).toDF(*columns)
+    return local_table(spark, [(name, *codes) for name, codes in nested.items()], schema)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -26,20 +28,25 @@ def load_window(stored: DataFrame, date: str, today: dt.date) -> DataFrame:
 def rows_to_load(stored: DataFrame, incoming: DataFrame, date: str, today: dt.date) -> DataFrame:
     """Incoming rows inside the load window; all complete months when nothing is stored yet."""
     window = load_window(stored, date, today)
-    month = F.trunc(F.to_date(F.col(date)), "month")
-    start = window.select("from_month").scalar()
-    end = window.select("to_month").scalar()
-    return incoming.where((start.isNull() | (month >= start)) & (month <= end))
+    kind = incoming.schema[date].dataType
+    # Bounds in the type of the column itself, so that files and row groups outside can be skipped.
+    start = window.select(F.col("from_month").cast(kind)).scalar()
+    stop = window.select(F.add_months("to_month", 1).cast(kind)).scalar()
+    return incoming.where((start.isNull() | (F.col(date) >= start)) & (F.col(date) < stop))
 
 
 def upsert(current: DataFrame, updates: DataFrame, key, order=()) -> DataFrame:
     """Updates replace current rows of the same key; new keys are added.
 
-    ``order`` decides between several updates of one key. Batch semantics: one shuffle over both
-    sides with map-side combine, no join.
+    ``order`` decides between several updates of one key; without it update keys must be unique.
+    The current table is only anti-joined with the update keys: while those are small it is not
+    shuffled at all.
     """
-    tagged = unite(current.withColumn("__src", F.lit(0)), updates.withColumn("__src", F.lit(1)))
-    return last_after_sort(tagged, key, ["__src", *as_list(order)]).drop("__src")
+    keys = as_list(key)
+    newest = last_after_sort(updates, keys, order) if order else updates
+    replaced = newest.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return unite(current.join(replaced, same_key, "left_anti"), newest)
 
 
 def upsert_partitions(
