@@ -235,14 +235,14 @@ def _by_nation_and_year(t: Tables, *per_customer):
 
 @query("w06a_latest_with_ties", _LATEST_TIES)
 def _(t):
-    return dedupe.latest_by_rank(t.orders, "o_custkey", "o_orderdate").select(*ORDER_COLUMNS)
+    return dedupe.latest_of_group(t.orders, "o_custkey", "o_orderdate").select(*ORDER_COLUMNS)
 
 
 @query("w06a_latest_with_ties_nulls", f"""
 SELECT user_id, event_id, value FROM (SELECT *, rank() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST) AS r
 FROM {_EVENTS_NULLS}) WHERE r = 1""")
 def _(t):
-    ties = dedupe.latest_by_rank(_events_with_nulls(t), "user_id", "ts", keep_nulls=True)
+    ties = dedupe.latest_of_group(_events_with_nulls(t), "user_id", "ts")
     return ties.select("user_id", "event_id", "value")
 
 

@@ -4,8 +4,7 @@
 operator                   ties     null key     null date       use
 ========================== ======== ============ =============== =============================
 latest_with_ties           kept     dropped      dropped         register views
-latest_by_rank             kept     dropped or   dropped or last same, other physical plan
-                                    a group
+latest_of_group            kept     a group      last            newest rows of each group
 latest_row                 one      a group      last            one row, stated tie-break
 first_of_latest            one      a group      dropped         position of the maximum
 last_after_sort            one      a group      first           sort, then last row
@@ -19,6 +18,9 @@ first_per_subset           one      a group      last            distinct by som
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cadastra.functions.cols import as_col, as_list
@@ -42,16 +44,16 @@ def latest_with_ties(df: DataFrame, key, ts: str, among: DataFrame | None = None
     return rows.join(newest, [*keys, ts], "left_semi").select(*df.columns)
 
 
-def latest_by_rank(df: DataFrame, key, ts: str, keep_nulls: bool = False) -> DataFrame:
-    """The same rows in one scan. Spark cuts each map task to its local latest rows before the shuffle.
+def latest_of_group(df: DataFrame, key, ts: str) -> DataFrame:
+    """The same, but a null key is a group of its own and a group without any date keeps its rows.
 
-    Prefer it when dates rarely tie: all ties of one key meet in one task. With ``keep_nulls`` a null
-    key is a group of its own and a group without any date keeps its rows.
+    The maximum of a group without dates is null, so a null-safe comparison with it is all that
+    differs. No window: a rank would bring all ties of one key into one task.
     """
-    keys = as_list(key)
-    source = df if keep_nulls else df.dropna(subset=[*keys, ts])
-    order = W.partitionBy(*keys).orderBy(F.col(ts).desc_nulls_last())
-    return source.withColumn(_RN, F.rank().over(order)).where(F.col(_RN) == 1).drop(_RN)
+    keys = [*as_list(key), ts]
+    newest = df.groupBy(*as_list(key)).agg(F.max(ts).alias(ts)).toDF(*[f"__{k}" for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return df.join(newest, same, "left_semi")
 
 
 def latest_row(df: DataFrame, key, ts: str, tiebreak) -> DataFrame:

@@ -144,6 +144,6 @@ def postcode_deprivation(lookup: DataFrame, authorities: DataFrame, imd: DataFra
 
 def rating_distribution(certs: DataFrame, areas: DataFrame, area: Column) -> DataFrame:
     """Ratings of the latest certificates of one area; postcodes outside ``areas`` have no area name."""
-    latest = dedupe.latest_by_rank(certs, "uprn", "lodgement_datetime", keep_nulls=True)
+    latest = dedupe.latest_of_group(certs, "uprn", "lodgement_datetime")
     joined = areas.join(latest, areas["pcds"] == latest["postcode"], "right")
     return joined.where(area).groupBy("current_energy_rating").agg(F.count("*").alias("n"))

@@ -12,10 +12,15 @@ from cadastra.sources.staging import fresh_dir
 
 def replace_table(df: DataFrame, path: str, partition_by: list[str] = ()) -> DataFrame:
     """Write ``path`` anew as Parquet and return the stored table."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    rebalanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rows of one table partition together, in files of even size: hot partitions are split again."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def replace_catalog_table(df: DataFrame, name: str, path: str) -> DataFrame:
     """Create or replace an external catalog table."""
     df.write.mode("overwrite").option("path", path).saveAsTable(name)

@@ -14,7 +14,7 @@ from cadastra.functions.dates import month_after, month_before
 from cadastra.operators.dedupe import last_after_sort
 from cadastra.operators.sets import unite
 from cadastra.sources.staging import stage
-from cadastra.sources.writers import conform_update
+from cadastra.sources.writers import conform_update, rebalanced
 
 
 def load_window(stored: DataFrame, date: str, today: dt.date) -> DataFrame:
@@ -62,7 +62,8 @@ def upsert_partitions(
     schema = updates.schema
     current = spark.read.schema(schema).parquet(path).join(touched, partition, "left_semi").select(*updates.columns)
     merged = stage(upsert(current, updates, key, order), "upsert")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    writer = rebalanced(merged, [partition]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition).parquet(path)
 
 
 def update_batch(pulls: list[DataFrame], stamp: str, schema: T.StructType | None = None) -> DataFrame:
