@@ -20,7 +20,10 @@ class Tables:
         self.directory = directory.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        # Called once per table: the frame is kept, because each read has to open a file footer.
+        df = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        setattr(self, name, df)
+        return df
 
 
 def query(name: str, sql: str | None = None):

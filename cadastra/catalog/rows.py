@@ -286,6 +286,18 @@ def _(t):
     return dedupe.drop_repeated_keys(t.orders, ["o_custkey", "o_orderdate"]).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
+_LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+
+
+@query("w03_last_per_source", """
+SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER
+    (PARTITION BY l_returnflag, l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC,
+     l_extendedprice DESC) AS rn FROM lineitem) WHERE rn = 1""")
+def _(t):
+    last = dedupe.last_per_source(t.lineitem, "l_returnflag", "l_orderkey", _LINE_ORDER)
+    return last.select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
 @query("w10_first_per_subset", f"""
 SELECT {_ORDER_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey) AS rn
 FROM orders) WHERE rn = 1""")

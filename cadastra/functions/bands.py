@@ -16,17 +16,22 @@ NO DATA!, null        null          null          null                 null
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, functions as F
 
 from cadastra.functions.cols import ColumnLike, as_col
 from cadastra.functions.numbers import floor_midpoint
 from cadastra.functions.text import extract_all_joined, extract_first
 
+# What the range rule strips from a band: letters, white space, ":" and "!".
+_WORDING = string.ascii_letters + string.whitespace + ":!"
+
 
 def year_by_range_exact(band: ColumnLike) -> Column:
     """Range rule without the final integer cast: 1900-1929 gives 1914.5."""
     band = as_col(band)
-    span = F.regexp_replace(band, r"[A-Za-z\s:!]", "")
+    span = F.translate(band, _WORDING, "")
     low = F.split_part(span, F.lit("-"), F.lit(1)).try_cast("int")
     high = F.split_part(span, F.lit("-"), F.lit(2)).try_cast("int")
     return (

@@ -12,6 +12,7 @@ last_per_source            one per  a group      first           per file, then
                            source
 latest_overall             one      no key       ignored         newest row of a table
 drop_repeated_keys         none     a group      no date         only keys that occur once
+latest_of_single_source    one      a group      first           keys found in one file only
 first_per_subset           one      a group      last            distinct by some columns
 ========================== ======== ============ =============== =============================
 """
@@ -93,6 +94,19 @@ def last_per_source(df: DataFrame, source: str, key, order) -> DataFrame:
     return last_after_sort(df, [source, *as_list(key)], order)
 
 
+def latest_of_single_source(df: DataFrame, source: str, key, order) -> DataFrame:
+    """:func:`last_per_source` followed by :func:`drop_repeated_keys`, in one aggregate.
+
+    A key that occurs in several sources would be left with one row per source and then be dropped,
+    so only keys of a single source remain, each with its last row.
+    """
+    row = F.max_by(F.struct(*df.columns), F.struct(*[as_col(c) for c in as_list(order)]))
+    found = df.groupBy(*as_list(key)).agg(
+        row.alias("__row"), F.min(source).alias("__first"), F.max(source).alias("__last")
+    )
+    return found.where(F.col("__first") == F.col("__last")).select("__row.*")
+
+
 def latest_overall(df: DataFrame, ts: str, tiebreak) -> DataFrame:
     """The newest row of a table (top-1 per task, then one merge)."""
     order = [F.col(ts).desc_nulls_last(), *[as_col(c).desc() for c in as_list(tiebreak)]]

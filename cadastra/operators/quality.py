@@ -55,7 +55,7 @@ def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         col = F.col(name)
         numeric = isinstance(df.schema[name].dataType, T.NumericType)
         number = col.cast("double") if numeric else F.lit(None).cast("double")
-        quartiles = F.percentile_approx(number, [0.25, 0.5, 0.75])
+        quartiles = F.percentile_approx(number, [0.25, 0.5, 0.75]) if numeric else F.array(*[F.max(number)] * 3)
         rows.append(
             F.struct(
                 F.lit(name).alias("column_name"),

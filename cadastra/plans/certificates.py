@@ -94,8 +94,7 @@ def portal_view(
 
 def ingest(certs: DataFrame, source: str, order: list) -> DataFrame:
     """Latest certificate per property and file, minus properties that still occur twice, then cleaned."""
-    latest = dedupe.last_per_source(certs, source, "uprn", order)
-    single = dedupe.drop_repeated_keys(latest, "uprn")
+    single = dedupe.latest_of_single_source(certs, source, "uprn", order)
     day = F.to_date("lodgement_datetime")
     return single.select(
         *[c for c in single.columns if c != "lodgement_datetime"],
