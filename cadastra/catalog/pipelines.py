@@ -563,7 +563,7 @@ def _(t):
 
 
 @query("i17_action_tracker", """
-SELECT 'Homes' AS cesap_pillar, c_mktsegment AS action_areas, CAST(c_custkey AS VARCHAR) AS id, c_name AS action,
+SELECT 'Homes' AS pillar, c_mktsegment AS action_areas, CAST(c_custkey AS VARCHAR) AS id, c_name AS action,
     CAST(c_nationkey AS VARCHAR) AS impact, NULL::VARCHAR AS mca_control FROM customer WHERE c_mktsegment <> 'BUILDING'
 UNION ALL SELECT 'Resilience ', 'Resilience', CAST(s_suppkey AS VARCHAR), s_name, NULL, 'yes' FROM supplier""")
 def _(t):

@@ -8,7 +8,7 @@ from cadastra.catalog.registry import Tables, query
 from cadastra.catalog.standins import UNTIED
 from cadastra.functions import domain
 from cadastra.functions.numbers import percent_ratio
-from cadastra.operators import aggs, joins, quality
+from cadastra.operators import aggs, joins, quality, sets
 from cadastra.operators.joins import Lookup
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -57,7 +57,12 @@ def _(t):
 @query("a06_count_distinct", """
 SELECT l_returnflag, count(DISTINCT l_suppkey) AS suppliers FROM lineitem GROUP BY 1""")
 def _(t):
-    return t.lineitem.groupBy("l_returnflag").agg(F.countDistinct("l_suppkey").alias("suppliers"))
+    return t.lineitem.groupBy("l_returnflag").agg(aggs.distinct_count("l_suppkey").alias("suppliers"))
+
+
+@query("a06_count_distinct_sketch")
+def _(t):
+    return t.lineitem.groupBy("l_returnflag").agg(aggs.distinct_count("l_suppkey", exact=False).alias("suppliers"))
 
 
 @query("a07_first_value", """
@@ -271,6 +276,22 @@ def _(t):
     return report.withColumn("mean_score", F.round("mean_score", 8))
 
 
+@query("a25_entities_missing", """
+SELECT o_custkey, count(*) AS n_missing FROM orders WHERE o_orderstatus = 'P' GROUP BY 1""")
+def _(t):
+    holes = t.orders.select("o_custkey", F.nullif("o_orderstatus", F.lit("P")).alias("licence"))
+    return quality.entities_missing(holes, "o_custkey", "licence")
+
+
+@query("a25_split_valid", """
+SELECT 'valid' AS part, count(*) AS n FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'invalid', count(*) FROM orders WHERE o_orderstatus <> 'F'""")
+def _(t):
+    valid, invalid = quality.split_valid(t.orders, F.nullif("o_orderstatus", F.lit("P")) == "F")
+    counts = {name: df.agg(F.count("*").alias("n")) for name, df in (("valid", valid), ("invalid", invalid))}
+    return sets.unite_tagged(counts, "part")
+
+
 @query("a25_conforming_share", """
 SELECT count(*) FILTER (WHERE o_orderstatus = 'F') AS n_valid, count(*) FILTER (WHERE o_orderstatus <> 'F') AS n_invalid,
        round(avg(CASE WHEN o_orderstatus = 'F' THEN 100.0 ELSE 0.0 END), 6) AS valid_pct FROM orders""")

@@ -57,6 +57,11 @@ def first_value(value: ColumnLike, order: ColumnLike) -> Column:
     return F.min_by(as_col(value), as_col(order))
 
 
+def distinct_count(value: ColumnLike, exact: bool = True) -> Column:
+    """Number of distinct values; ``exact=False`` takes a sketch of bounded size instead."""
+    return F.countDistinct(as_col(value)) if exact else F.approx_count_distinct(as_col(value))
+
+
 def mean_as_int(value: ColumnLike) -> Column:
     return half_even_int(F.avg(as_col(value)))
 

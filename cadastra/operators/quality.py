@@ -127,6 +127,17 @@ def score_report(df: DataFrame, entity: str, score: str, red: float, below: floa
     )
 
 
+def entities_missing(df: DataFrame, entity: str, column: str) -> DataFrame:
+    """Entities with rows that lack a value (a licence number), and how many rows that are."""
+    return df.where(F.col(column).isNull()).groupBy(entity).agg(F.count("*").alias("n_missing"))
+
+
+def split_valid(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows that meet a condition and rows that do not; null counts as not."""
+    ok = F.coalesce(condition, F.lit(False))
+    return df.where(ok), df.where(~ok)
+
+
 def conforming_share(df: DataFrame, condition: Column) -> DataFrame:
     """One row: rows that meet a condition, rows that do not (null counts as not), and the percentage."""
     ok = F.coalesce(condition.cast("int"), F.lit(0))

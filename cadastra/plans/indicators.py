@@ -195,24 +195,29 @@ def annual_means(hourly: DataFrame, pollutants: list[str]) -> DataFrame:
     return hourly.groupBy("site_id", "year").agg(*means).orderBy("year", "site_id")
 
 
-def action_tracker(sheets: dict[str, DataFrame], leave_out: list[str] = (), relabel: dict[str, str] = {}) -> DataFrame:
-    """Sheets of an action tracker as one text table; rows without an action go.
+def action_tracker(
+    sheets: dict[str, DataFrame], leave_out: list[str] = (), relabel: dict[str, str] | None = None, tag: str = "pillar"
+) -> DataFrame:
+    """Sheets of an action tracker as one text table, the sheet name in ``tag``; rows without an action go.
 
     ``relabel`` gives the action area for all rows of some sheets.
     """
     as_text = {
-        name: names.clean_names(df).select(*[F.col(c).cast("string").alias(c) for c in names.clean_names(df).columns])
-        for name, df in sheets.items() if name not in leave_out
+        name: all_text(names.clean_names(df)) for name, df in sheets.items() if name not in leave_out
     }
-    rows = sets.unite_tagged(as_text, "cesap_pillar").where(F.col("action").isNotNull())
+    rows = sets.unite_tagged(as_text, tag).where(F.col("action").isNotNull())
     area = F.col("action_areas")
-    for sheet, label in relabel.items():
-        area = F.when(F.col("cesap_pillar") == sheet, label).otherwise(area)
+    for sheet, label in (relabel or {}).items():
+        area = F.when(F.col(tag) == sheet, label).otherwise(area)
     rows = rows.withColumn("action_areas", area)
-    chosen = ["cesap_pillar", "action_areas", "id", "action", "update_for_march_2024", "impact", "mca_control"]
+    chosen = [tag, "action_areas", "id", "action", "update_for_march_2024", "impact", "mca_control"]
     return rows.select(*[c for c in chosen if c in rows.columns])
 
 
+def all_text(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+
+
 def register_report(published: DataFrame, registered: DataFrame) -> DataFrame:
     """Two bus registers compared: one row of counts and shares.
 

@@ -16,8 +16,19 @@ SETTINGS = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply :data:`SETTINGS` to a running session and return it."""
+SHUFFLE_PARTITION_BYTES = 256 * 1024**2
+
+
+def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply :data:`SETTINGS` to a running session and return it.
+
+    ``shuffle_bytes`` is the size of the largest shuffle to expect, for a batch job roughly that of
+    the columns it reads. Shuffles then start with partitions of about 256 MB, whatever
+    ``spark.sql.shuffle.partitions`` says; adaptive execution merges them again where less arrives.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if shuffle_bytes is not None:
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     return spark

@@ -135,7 +135,7 @@ def test_gates(spark, rows):
         quality.require_none(quality.repeated_keys(df, "k"), "repeated")
     quality.require_none(quality.repeated_keys(df, "k").where("false"), "repeated")
     with pytest.raises(quality.GateError):
-        quality.require_in("cars", ["weca", "lep"], "grouping")
+        quality.require_in("cars", ["core", "wider"], "grouping")
 
 
 def test_profile_and_notes(spark):

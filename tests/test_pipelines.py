@@ -27,7 +27,7 @@ def register(spark):
                                       "pcds string, lsoa21 string, lsoa11 string, lat double").withColumn("long", F.lit(0.0))
     tenure = spark.createDataFrame([("S1", 5, 7)], "lsoa21cd string, owned int, lat int")
     imd = spark.createDataFrame([("O1", 100)], "lsoa11cd string, imd19 int")
-    authorities = spark.createDataFrame([("E1", "Bristol", "C1", "West"), ("E2", "Leeds", "C2", "North")],
+    authorities = spark.createDataFrame([("E1", "Exeter", "C1", "West"), ("E2", "Leeds", "C2", "North")],
                                         "ladcd string, ladnm string, cauthcd string, cauthnm string")
     return certs, postcodes, tenure, imd, authorities
 
@@ -38,8 +38,8 @@ def test_domestic_view(register, rows):
     assert len(set(view.columns)) == len(view.columns)
     got = rows(view, "lmk_key", "lsoa21", "owned", "imd19", "ladnm", "nominal_construction_year", "construction_epoch", "lodgement_year")
     assert got == [
-        ("l2", "S1", 5, 100, "Bristol", 1940, "1930 to present", 2022),
-        ("l3", "S2", None, None, "Bristol", 1899, "Before 1900", 2021),
+        ("l2", "S1", 5, 100, "Exeter", 1940, "1930 to present", 2022),
+        ("l3", "S2", None, None, "Exeter", 1899, "Before 1900", 2021),
         ("l4", None, None, None, "Leeds", None, "Unknown", 2021),
         ("l6", None, None, None, "Leeds", 2021, "1930 to present", 2020),
     ]
@@ -56,7 +56,7 @@ def test_non_domestic_view(register, rows):
     view = certificates.non_domestic_view(certs, postcodes, authorities, "North")
     assert view.count() == 0  # neither property of the region has a known postcode
     west = certificates.non_domestic_view(certs, postcodes, authorities, "West")
-    assert rows(west, "lmk_key", "ladnm", "lsoa21") == [("l2", "Bristol", "S1"), ("l3", "Bristol", "S2")]
+    assert rows(west, "lmk_key", "ladnm", "lsoa21") == [("l2", "Exeter", "S1"), ("l3", "Exeter", "S2")]
     assert "postcode" not in west.columns
 
 
@@ -147,7 +147,7 @@ def test_car_ratio(spark, rows):
 
 
 def test_chargers_long(spark, rows):
-    wide = spark.createDataFrame([("E1", "Bristol", "10", "x"), ("E9", "Elsewhere", "1", "1")],
+    wide = spark.createDataFrame([("E1", "Exeter", "10", "x"), ("E9", "Elsewhere", "1", "1")],
                                  "local_authority_region_code string, local_authority_region_name string, "
                                  "jul_23_total_public_charging_devices string, oct_22_per_100k_population string")
     authorities = spark.createDataFrame([("E1", "West")], "ladcd string, cauthnm string")
@@ -177,7 +177,7 @@ def test_sites_and_tracker_and_tenure(spark, rows):
     sheet = spark.createDataFrame([(1, "do", "x"), (2, None, "y")], "ID int, Action string, `Action areas` string")
     tracker = indicators.action_tracker({"instructions": sheet, "Climate Resilience ": sheet}, ["instructions"],
                                         {"Climate Resilience ": "Climate Resilience"})
-    assert rows(tracker, "cesap_pillar", "action_areas", "id", "action") == [("Climate Resilience ", "Climate Resilience", "1", "do")]
+    assert rows(tracker, "pillar", "action_areas", "id", "action") == [("Climate Resilience ", "Climate Resilience", "1", "do")]
     tenure = spark.createDataFrame([("A", "S1", "Owned: Total", 5), ("A", "S1", "Private rented", 7)],
                                    "GEOGRAPHY_NAME string, GEOGRAPHY_CODE string, C2021_TENURE_9_NAME string, OBS_VALUE bigint")
     wide = indicators.tenure_wide(tenure)
