@@ -38,7 +38,8 @@ SELECT c_custkey, o_orderkey FROM customer LEFT JOIN
 (SELECT * FROM orders WHERE o_totalprice > 400000) o ON c_custkey = o_custkey""")
 def _(t):
     large = t.orders.where(F.col("o_totalprice") > 400000)
-    return joins.enrich(t.customer.select("c_custkey"), Lookup(large, {"c_custkey": "o_custkey"}, ["o_orderkey"]))
+    orders = Lookup(large, {"c_custkey": "o_custkey"}, ["o_orderkey"], many=True)
+    return joins.enrich(t.customer.select("c_custkey"), orders)
 
 
 @query("j03_right_join", """

@@ -95,16 +95,11 @@ def _(t):
 @query("s06_schema_from_metadata", "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders")
 def _(t):
     path = _csv(t, t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority"), "s06")
-    described = t.orders.select(
-        F.lit("orders.csv").alias("filename"),
-        F.inline(F.array(*[
-            F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.lit(kind).alias("datatype"))
-            for i, (c, kind) in enumerate(
-                [("o_orderkey", "integer"), ("o_totalprice", "decimal"), ("o_orderpriority", "code list")]
-            )
-        ])),
-    ).distinct()
-    schema = readers.schema_from_metadata(described, "orders.csv", position_col="position")
+    described = [("o_totalprice", "decimal", 2), ("o_orderkey", "integer", 1), ("o_orderpriority", "code list", 3)]
+    meta = readers.inline_table(
+        t.spark, [("orders.csv", *row) for row in described], "filename string, `column` string, datatype string, position int"
+    )
+    schema = readers.schema_from_metadata(meta, "orders.csv", position_col="position")
     return t.spark.read.schema(schema).option("header", True).csv(path)
 
 
@@ -407,7 +402,7 @@ def _(t):
         events.where(condition).write.mode("append").parquet(feed)
         stream = incremental.stream_files(t.spark, feed, events.schema)
         latest = incremental.stream_latest(stream, "user_id", ["ts", "event_id"], ["event_id", "event_type", "value"])
-        incremental.run_to_folder(latest, out, checkpoint)
+        incremental.run_to_folder(latest, out, checkpoint, state_partitions=t.spark.sparkContext.defaultParallelism)
     return incremental.newest_updates(t.spark, out, "user_id")
 
 

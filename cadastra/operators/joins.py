@@ -18,13 +18,18 @@ from cadastra.functions.cols import as_list
 
 @dataclass(frozen=True)
 class Lookup:
-    """One arm of a star: ``on`` maps fact column to lookup column, ``columns`` are taken over."""
+    """One arm of a star: ``on`` maps fact column to lookup column, ``columns`` are taken over.
+
+    ``many`` marks a left-joined table with many rows per key. Spark can split a hot key only on the
+    left side of a left join, so that join is made as an inner join plus the rows without a match.
+    """
 
     frame: DataFrame
     on: dict[str, str]
     columns: list[str] = field(default_factory=list)
     how: str = "left"
     prefix: str = "lookup"
+    many: bool = False
 
 
 def enrich(fact: DataFrame, *lookups: Lookup) -> DataFrame:
@@ -41,7 +46,12 @@ def enrich(fact: DataFrame, *lookups: Lookup) -> DataFrame:
             *[F.col(c).alias(f"{lookup.prefix}_{c}" if c in taken else c) for c in lookup.columns],
         )
         condition = reduce(and_, [fact[left] == narrow[name] for name, (left, _) in keys.items()])
-        fact = fact.join(narrow, condition, lookup.how).drop(*keys)
+        if lookup.many and lookup.how == "left":
+            matched = fact.join(narrow, condition, "inner").drop(*keys)
+            unmatched = drop_listed(fact, lookup.frame, lookup.on)
+            fact = matched.unionByName(unmatched, allowMissingColumns=True)
+        else:
+            fact = fact.join(narrow, condition, lookup.how).drop(*keys)
     return fact
 
 
@@ -57,7 +67,9 @@ def drop_listed(df: DataFrame, keys: DataFrame, on: dict[str, str]) -> DataFrame
 
 def _half_join(df: DataFrame, keys: DataFrame, on: dict[str, str], how: str) -> DataFrame:
     names = {f"__key_{i}": pair for i, pair in enumerate(on.items())}
-    listed = keys.select(*[F.col(right).alias(name) for name, (_, right) in names.items()])
+    # Distinct: only the left side of these joins can be split, so a hot key in the list must shrink
+    # to one row per task before it is shuffled. The exchange of the aggregate serves the join too.
+    listed = keys.select(*[F.col(right).alias(name) for name, (_, right) in names.items()]).distinct()
     return df.join(listed, reduce(and_, [df[left] == listed[n] for n, (left, _) in names.items()]), how)
 
 

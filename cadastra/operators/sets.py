@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from cadastra.functions.cols import as_list
+from cadastra.operators.joins import presence
 from cadastra.sources.inline import local_table
 
 
@@ -32,8 +33,7 @@ def unite_distinct(*frames: DataFrame) -> DataFrame:
 
 def key_difference(a: DataFrame, b: DataFrame, key) -> DataFrame:
     """Distinct keys of ``a`` that ``b`` does not have; nulls compare equal."""
-    keys = as_list(key)
-    return a.select(*keys).subtract(b.select(*keys))
+    return presence(a, b, key).where("in_a = 1 AND in_b = 0").select(*as_list(key))
 
 
 def row_differences(a: DataFrame, b: DataFrame) -> DataFrame:

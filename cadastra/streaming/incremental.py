@@ -93,7 +93,9 @@ def stream_latest(stream: DataFrame, key, order, value_columns: list[str]) -> Da
     return stream.groupBy(*as_list(key)).agg(latest.alias("__row")).select(*as_list(key), "__row.*")
 
 
-def run_to_folder(stream: DataFrame, path: str, checkpoint: str, mode: str = "update") -> None:
+def run_to_folder(
+    stream: DataFrame, path: str, checkpoint: str, mode: str = "update", state_partitions: int | None = None
+) -> None:
     """Process all available files; every batch goes to a folder of its own.
 
     A batch that is repeated after a failure overwrites its own folder, so nothing counts twice.
@@ -102,16 +104,29 @@ def run_to_folder(stream: DataFrame, path: str, checkpoint: str, mode: str = "up
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    run_batches(stream, write, checkpoint, mode)
+    run_batches(stream, write, checkpoint, mode, state_partitions)
 
 
 def run_batches(
-    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append",
+    state_partitions: int | None = None,
 ) -> None:
-    query = (
-        stream.writeStream.outputMode(mode).foreachBatch(handle)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    """Run a stream over all available files and wait for it.
+
+    ``state_partitions`` sets how many partitions hold the state. The number is fixed by the first
+    run on a checkpoint; without it the session's shuffle partitions are taken.
+    """
+    conf, key = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    try:
+        if state_partitions:
+            conf.set(key, str(state_partitions))
+        query = (
+            stream.writeStream.outputMode(mode).foreachBatch(handle)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+    finally:
+        conf.set(key, before)  # a started query keeps its own copy of the settings
     query.awaitTermination()
 
 

@@ -14,15 +14,13 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     builder = (
         SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false").config("spark.driver.memory", "4g")
     )
     session = tune(builder.getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
 

@@ -50,6 +50,26 @@ def test_enrichment_splits_a_hot_key(small_shuffles):
     assert "skew=true" in final_plan(joined.groupBy("k").agg(F.max("name").alias("name"), F.max("x").alias("x")))
 
 
+def test_left_join_to_many_rows_per_key_splits_the_hot_key(small_shuffles):
+    spark = small_shuffles
+    few = spark.range(6000).select(F.col("id").alias("key"))
+    many = hot(spark).where("k <> 1")
+    joined = joins.enrich(few, Lookup(many, {"key": "k"}, ["id", "x"], many=True))
+    assert "skew=true" in final_plan(joined)
+    plain = joins.enrich(few, Lookup(many, {"key": "k"}, ["id", "x"]))
+    assert joined.columns == plain.columns
+    assert joined.exceptAll(plain).count() == 0 and plain.exceptAll(joined).count() == 0
+
+
+def test_key_lists_shrink_before_the_shuffle(small_shuffles):
+    spark = small_shuffles
+    few = spark.range(6000).select(F.col("id").alias("key"))
+    for half_join in (joins.keep_listed, joins.drop_listed):
+        plan = half_join(few, hot(spark), {"key": "k"})._jdf.queryExecution().executedPlan().toString()
+        right = plan.rsplit("Exchange hashpartitioning", 1)[1]
+        assert "HashAggregate(keys=[__key_0" in right
+
+
 def test_ties_of_a_hot_key_do_not_share_one_partition(small_shuffles):
     spark = small_shuffles
     data = hot(spark)

@@ -158,11 +158,34 @@ def test_column_notes_survive_parquet(spark, tmp_path):
 
 
 def test_scratch_folder_comes_from_the_session(spark):
-    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    assert given is None or scratch_root(spark) == given.rstrip("/")
     assert fresh_dir(spark, "x") != fresh_dir(spark, "x")
     assert f"{scratch_root(spark)}/cadastra-x-" in stage(spark.range(3), "x").inputFiles()[0]
 
 
+class OtherSession:
+    """A session of which only the settings are asked for."""
+
+    def __init__(self, **settings):
+        self.conf = {key.replace("_", "."): value for key, value in settings.items()}
+
+
+def test_scratch_folder_without_a_setting():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(OtherSession(spark_master="yarn"))
+    local = scratch_root(OtherSession(spark_master="local[4]"))
+    assert local == scratch_root(OtherSession(spark_master="local[*]"))
+    assert scratch_root(OtherSession(spark_master="yarn", spark_checkpoint_dir="hdfs:///cp/")) == "hdfs:///cp"
+
+
+def test_catalog_table_is_replaced(spark, tmp_path):
+    for rows_wanted in (3, 5):
+        stored = writers.replace_catalog_table(spark.range(rows_wanted), "cadastra_test_table", str(tmp_path / "t"))
+        assert stored.count() == rows_wanted
+    spark.sql("DROP TABLE cadastra_test_table")
+
+
 def test_rename_update_batch(spark):
     out = writers.conform_update(spark.createDataFrame([(1,)], "`lmk-key` int"), "2024/01/01 00:00:00")
     assert out.columns == ["LMK_KEY", "filename"] and out.first().filename == "update - 2024/01/01 00:00:00"
