@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
-from cadastra.operators import dedupe, joins, names
+from cadastra.operators import dedupe, joins, names, windows
 from cadastra.operators.joins import Lookup
 from cadastra.session import SETTINGS, tune
 
@@ -98,6 +100,34 @@ def test_small_groups_of_a_hot_key_reach_the_shuffle_small(spark):
     assert out.count() == 1 and out.first().id == data.where("t = 10").agg(F.max("id")).first()[0]
 
 
+@pytest.mark.parametrize("settings", [
+    {"spark.sql.adaptive.coalescePartitions.enabled": "false"},
+    {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"},
+])
+def test_numbers_and_ranks_run_on_across_partitions(small_shuffles, settings):
+    """Several range partitions, all of them or merged in part."""
+    spark = small_shuffles
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        data = spark.range(0, 40_000, 1, 5).select((F.col("id") * 7919 % 40_009).alias("v"), (F.col("id") % 500).alias("w"))
+        numbered = windows.row_numbers(data, ["w", "v"], "n").collect()
+        ranked = windows.rank_of_values(data.where("w < 400 OR v < 20000"), "w").collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    order = sorted((r.w, r.v) for r in numbered)
+    assert [(r.w, r.v) for r in sorted(numbered, key=lambda r: r.n)] == order
+    assert sorted(r.n for r in numbered) == list(range(1, 40_001))
+    counts, below, expected = Counter(r.w for r in ranked), 0, {}
+    for w in sorted(counts):
+        expected[w] = below + (counts[w] + 1) / 2
+        below += counts[w]
+    assert {r.w: r.rank for r in ranked} == expected
+
+
 def test_settings_and_shuffle_size(spark):
     tune(spark, shuffle_bytes=10 * 1024**4)
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
