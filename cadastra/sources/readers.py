@@ -46,6 +46,19 @@ def split_tolerant(tolerant: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.drop(CORRUPT), bad
 
 
+def read_subset_csv(
+    spark: SparkSession, path, subset: T.StructType, file_columns: list[str], **options
+) -> DataFrame:
+    """Only the columns of ``subset`` from files that hold ``file_columns``; bad cells become null.
+
+    The other columns are declared as text and never converted.
+    """
+    wanted = {f.name: f for f in subset}
+    whole = T.StructType([wanted.get(c, T.StructField(c, T.StringType())) for c in file_columns])
+    reader = spark.read.schema(whole).option("header", True).option("mode", "PERMISSIVE").options(**options)
+    return reader.csv(path).select(*[f"`{f.name}`" for f in subset])
+
+
 def read_text_csv(spark: SparkSession, path, columns: list[str], **options) -> DataFrame:
     """Every column as text; casts follow explicitly with :func:`cast_columns`."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])

@@ -75,6 +75,32 @@ SENSOR_READINGS = _schema("sensor_id:l lat:d lon:d timestamp P1 P2")
 ANNUAL_TUBES = _schema("site_id:i year:i no2:d count:i")
 
 
+def hyphenated(schema: T.StructType) -> T.StructType:
+    """The same columns under the names of the update service: ``LMK_KEY`` is ``lmk-key`` there."""
+    return T.StructType([T.StructField(f.name.lower().replace("_", "-"), f.dataType) for f in schema])
+
+
+# Columns and types kept when certificates are read per authority (fixed values).
+DOMESTIC_SUBSET = _schema("""
+lmk-key postcode local-authority property-type lodgement-datetime transaction-type tenure mains-gas-flag
+hot-water-energy-eff windows-description windows-energy-eff walls-description walls-energy-eff roof-description
+roof-energy-eff mainheat-description mainheat-energy-eff mainheat-env-eff main-heating-controls
+mainheatcont-description mainheatc-energy-eff main-fuel solar-water-heating-flag construction-age-band
+current-energy-rating potential-energy-rating current-energy-efficiency potential-energy-efficiency built-form
+constituency floor-description environment-impact-current:l environment-impact-potential:l
+energy-consumption-current:l energy-consumption-potential:l co2-emiss-curr-per-floor-area:l
+co2-emissions-current:d co2-emissions-potential:d lighting-cost-current:l lighting-cost-potential:l
+heating-cost-current:l heating-cost-potential:l hot-water-cost-current:l hot-water-cost-potential:l
+total-floor-area:d number-habitable-rooms:l number-heated-rooms:l photo-supply:d uprn:l
+building-reference-number:l
+""")
+NON_DOMESTIC_SUBSET = _schema("""
+LMK_KEY POSTCODE BUILDING_REFERENCE_NUMBER:l ASSET_RATING:l ASSET_RATING_BAND PROPERTY_TYPE LOCAL_AUTHORITY
+CONSTITUENCY TRANSACTION_TYPE STANDARD_EMISSIONS:d TYPICAL_EMISSIONS:d TARGET_EMISSIONS:d BUILDING_EMISSIONS:d
+BUILDING_LEVEL:l RENEWABLE_SOURCES LODGEMENT_DATETIME UPRN
+""")
+
+
 def vehicle_licences(first: str = "2009 Q4", last: str = "2023 Q4") -> T.StructType:
     """Five text columns, then one int column per quarter from ``last`` back to ``first``."""
     base = _schema("LSOA11CD LSOA11NM BodyType Keepership LicenceStatus")
