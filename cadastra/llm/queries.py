@@ -4,17 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cadastra.llm import compression_quality
+from cadastra.llm import compression_quality, super_windows
 from cadastra.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+#: Rows go to Python in batches of bounded size, however long the texts are.
+SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
 def register(build: Callable[[SparkSession, str], DataFrame]):
+    """Register a query under its name, run with the session settings of the library."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        for key, value in SETTINGS.items():
+            spark.conf.set(key, value)
         return build(tune(spark), sf_dir.rstrip("/"))
 
     run.__name__ = build.__name__
@@ -31,3 +39,29 @@ def op1_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = compression_quality.fit(documents, table(spark, sf_dir, "labels"))
     return compression_quality.score_documents(documents, model)
+
+
+@register
+def op2_super_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = super_windows.remove_repeated(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op2_super_windows"] = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT row_id, i, array_to_string(w[i:i + 34], ' ') AS win FROM (
+    SELECT row_id, w, unnest(range(1, greatest(len(w) - 33, 1))) AS i FROM words
+  )
+), often AS (SELECT win FROM windows GROUP BY win HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT row_id, i + k AS pos FROM windows JOIN often USING (win), range(35) t(k)
+), each AS (SELECT row_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM words
+), kept AS (
+  SELECT row_id, string_agg(word, ' ' ORDER BY pos) FILTER (g.pos IS NULL) AS k, count(g.pos) AS n
+  FROM each LEFT JOIN gone g USING (row_id, pos) GROUP BY row_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (row_id)
+"""

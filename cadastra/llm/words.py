@@ -41,7 +41,7 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+_STEP, _LOW64 = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -58,14 +58,14 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     while True:
         if rest & 1:  # append the present block behind what is covered so far
             tail = block[covered:covered + count]
-            done = tail.copy() if done is None else done * factor + tail
+            done = tail.copy() if done is None else done * np.uint64(factor) + tail
             covered += width
         rest >>= 1
         if not rest:
             break
-        block = block[:-width] * factor + block[width:]
+        block = block[:-width] * np.uint64(factor) + block[width:]
         width *= 2
-        factor = factor * factor + np.uint64(2)
+        factor = (factor * factor + 2) & _LOW64
     return mixed(done)
 
 
@@ -82,7 +82,7 @@ def signed(values: np.ndarray) -> np.ndarray:
 
 def text_bytes(column: pa.Array) -> Iterator[bytes]:
     """The texts of an Arrow column as UTF-8, one at a time; null counts as empty."""
-    return (b"" if value is None else value for value in map(pa.Scalar.as_py, column.cast(pa.large_binary())))
+    return (value.as_py() or b"" for value in column.cast(pa.large_binary()))
 
 
 def rows_of(schema: pa.Schema, columns: dict[str, list | np.ndarray]) -> pa.RecordBatch:
