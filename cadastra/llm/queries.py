@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cadastra.llm import compression_quality, super_windows
+from cadastra.llm import compression_quality, packing, super_windows, trie_counts
 from cadastra.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,17 @@ WITH words AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
 FROM words LEFT JOIN kept USING (row_id)
 """
+
+
+#: Folder of public vocabulary files on every executor, and the file used here.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@register
+def op3_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_counts.count_tokens(table(spark, sf_dir, "documents"), trie_counts.piece_scores(VOCABULARY))
+
+
+@register
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
