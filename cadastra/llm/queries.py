@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cadastra.llm import compression_quality, packing, super_windows, trie_counts
+from cadastra.llm import capped_mixing, compression_quality, packing, super_windows, trie_counts
 from cadastra.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,38 @@ def op3_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@register
+def op4_capped_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = capped_mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op4_capped_mixing"] = r"""
+WITH sizes AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS draw
+  FROM documents
+), totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source
+), weighted AS (
+  SELECT *, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY source COLLATE "binary" NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight,
+    2.0::DOUBLE * source_size AS cap, (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE AS wanted
+  FROM totals
+), levels AS (
+  SELECT *, (wanted - coalesce(sum(cap) OVER before, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM weighted WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), targets AS (
+  SELECT source, source_size, least(cap, weight * (SELECT min_by(level, cap / weight) FROM levels WHERE weight * level <= cap)) AS target
+  FROM levels
+), plan AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole, target - whole * source_size AS more
+  FROM targets
+), placed AS (
+  SELECT s.*, p.source_size, p.target, p.whole, p.more,
+    sum(s.size) OVER (PARTITION BY s.source ORDER BY draw RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+    sum(s.size) OVER (PARTITION BY s.source, draw) AS own
+  FROM sizes s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target, (size * (whole + (upto - own / 2.0 < more)::BIGINT))::BIGINT AS taken FROM placed
+"""
