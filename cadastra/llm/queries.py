@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cadastra.llm import capped_mixing, compression_quality, packing, super_windows, trie_counts
+from cadastra.llm import capped_mixing, compression_quality, packing, super_windows, trie_counts, warc
 from cadastra.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,9 @@ WITH sizes AS (
 )
 SELECT doc_id, size, source_size, target, (size * (whole + (upto - own / 2.0 < more)::BIGINT))::BIGINT AS taken FROM placed
 """
+
+
+@register
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
