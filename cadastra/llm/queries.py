@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cadastra.llm import capped_mixing, compression_quality, packing, super_windows, trie_counts, warc
+from cadastra.llm import capped_mixing, compression_quality, linked_secrets, packing, super_windows, trie_counts, warc
 from cadastra.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,15 @@ SELECT doc_id, size, source_size, target, (size * (whole + (upto - own / 2.0 < m
 def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
+
+
+@register
+def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linked_secrets.secret_spans(table(spark, sf_dir, "documents"))
+    of = {kind: F.filter("spans", lambda s, kind=kind: s["kind"] == kind) for kind in linked_secrets.BASE}
+    base = F.filter("spans", lambda s: s["kind"].isin(*linked_secrets.BASE))
+    return found.select(
+        "doc_id", *[F.size(c).cast("long").alias(f"n_{kind}") for kind, c in of.items()],
+        F.sha2(linked_secrets.span_text(base), 256).alias("base_sha256"),
+        linked_secrets.span_text(F.col("spans")).alias("spans"),
+    )
