@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cadastra.llm import capped_mixing, compression_quality, linked_secrets, packing, super_windows, trie_counts, warc
 from cadastra.session import tune
@@ -125,10 +125,13 @@ def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linked_secrets.secret_spans(table(spark, sf_dir, "documents"))
-    of = {kind: F.filter("spans", lambda s, kind=kind: s["kind"] == kind) for kind in linked_secrets.BASE}
-    base = F.filter("spans", lambda s: s["kind"].isin(*linked_secrets.BASE))
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    base = of(*linked_secrets.BASE)
     return found.select(
-        "doc_id", *[F.size(c).cast("long").alias(f"n_{kind}") for kind, c in of.items()],
+        "doc_id", *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in linked_secrets.BASE],
         F.sha2(linked_secrets.span_text(base), 256).alias("base_sha256"),
         linked_secrets.span_text(F.col("spans")).alias("spans"),
     )
