@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cadastra.llm import capped_mixing, compression_quality, linked_secrets, packing, super_windows, trie_counts, warc
+from cadastra.llm import capped_mixing, compression_quality, decision_rules, linked_secrets, packing, super_windows, trie_counts, warc
 from cadastra.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,10 @@ def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(linked_secrets.span_text(base), 256).alias("base_sha256"),
         linked_secrets.span_text(F.col("spans")).alias("spans"),
     )
+
+
+@register
+def op6_decision_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    rules = decision_rules.fit(documents, table(spark, sf_dir, "labels"))
+    return decision_rules.judged(documents, rules)
