@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cadastra.llm.compression_quality import labelled_sample
-from cadastra.llm.words import WORD
+from cadastra.llm.words import WORD, fold
 
 WINDOW = 5
 #: Inputs of the rules, all computed by :func:`with_statistics`.
@@ -99,28 +99,29 @@ def _covers(rule: Rule, row: dict) -> bool:
     return all(c.holds(row) for c in rule)
 
 
-def _best_condition(bad: list[dict], good: list[dict]) -> tuple[float, Condition | None]:
-    """The condition with the largest gain of information about the covered bad rows."""
-    before = math.log2(len(bad) / (len(bad) + len(good)))
+def _best_condition(bad: list[dict], good: list[dict], weight: float) -> tuple[float, Condition | None]:
+    """The condition with the largest gain of information about the covered bad rows; a good row counts ``weight``."""
+    total = len(bad) + weight * len(good)
+    before = math.log2(len(bad) / total)
     best: tuple[float, Condition | None] = (0.0, None)
     for feature in FEATURES:
         values = sorted([(row[feature], 1) for row in bad] + [(row[feature], 0) for row in good])
-        low_bad = low = 0
+        low_bad, low = 0, 0.0
         for (value, is_bad), (following, _) in zip(values, values[1:]):
-            low, low_bad = low + 1, low_bad + is_bad
+            low, low_bad = low + (1 if is_bad else weight), low_bad + is_bad
             if value == following:
                 continue
-            for above, b, all_ in ((False, low_bad, low), (True, len(bad) - low_bad, len(values) - low)):
+            for above, b, all_ in ((False, low_bad, low), (True, len(bad) - low_bad, total - low)):
                 gain = b * (math.log2(b / all_) - before) if b else 0.0
                 if gain > best[0] + 1e-9:
                     best = gain, Condition(feature, above, (value + following) / 2)
     return best
 
 
-def grow(bad: list[dict], good: list[dict], longest: int) -> Rule:
+def grow(bad: list[dict], good: list[dict], longest: int, weight: float = 1.0) -> Rule:
     rule: Rule = ()
     while bad and good and len(rule) < longest:
-        _, condition = _best_condition(bad, good)
+        _, condition = _best_condition(bad, good, weight)
         if condition is None:
             break
         rule += (condition,)
@@ -128,26 +129,31 @@ def grow(bad: list[dict], good: list[dict], longest: int) -> Rule:
     return rule
 
 
-def prune(rule: Rule, bad: list[dict], good: list[dict]) -> Rule:
+def prune(rule: Rule, bad: list[dict], good: list[dict], weight: float = 1.0) -> Rule:
     """The beginning of the rule that separates best on rows it was not grown on."""
 
     def worth(short: Rule) -> float:
-        p, n = (sum(_covers(short, r) for r in rows) for rows in (bad, good))
+        p, n = sum(_covers(short, r) for r in bad), weight * sum(_covers(short, r) for r in good)
         return (p - n) / (p + n) if p + n else -1.0
 
     return max((rule[:k] for k in range(len(rule), 0, -1)), key=worth, default=())
 
 
-def learn(rows: list[dict], max_rules: int = 8, longest: int = 4, least_precision: float = 0.95, least_covered: int = 5) -> list[Rule]:
-    """Rejecting rules from rows of features with ``label`` (0 bad, 1 good) and ``part`` (0, 1 grow, 2 prune)."""
+def learn(
+    rows: list[dict], max_rules: int = 8, longest: int = 4, least_precision: float = 0.97, least_covered: int = 5, weight: float = 1.0,
+) -> list[Rule]:
+    """Rejecting rules from rows of features with ``label`` (0 bad, 1 good) and ``part`` (0, 1 grow, 2 prune).
+
+    ``weight`` is what a good row counts against a bad one: above 1 where the sample holds too few good rows.
+    """
     bad = [r for r in rows if r["label"] == 0]
     good = [r for r in rows if r["label"] == 1]
     rules: list[Rule] = []
     while len(rules) < max_rules:
         parts = [[r for r in side if (r["part"] == 2) == last] for last in (False, True) for side in (bad, good)]
-        rule = prune(grow(parts[0], parts[1], longest), parts[2], parts[3])
+        rule = prune(grow(parts[0], parts[1], longest, weight), parts[2], parts[3], weight)
         hit, wrong = (sum(_covers(rule, r) for r in side) for side in (bad, good))
-        if not rule or hit < least_covered or hit < least_precision * (hit + wrong):
+        if not rule or hit < least_covered or hit < least_precision * (hit + weight * wrong):
             break
         rules.append(rule)
         bad, good = ([r for r in side if not _covers(rule, r)] for side in (bad, good))
@@ -165,7 +171,12 @@ def fit(
     part = F.pmod(F.xxhash64(F.col("__id"), F.lit("part")), F.lit(3)).cast("int")
     rows = with_statistics(sample.select("__id", "__label", part.alias("part"), "__text"), "__text")
     rows = rows.select("row.__id", F.col("row.__label").alias("label"), "row.part", *FEATURES).collect()
-    return learn([r.asDict() for r in sorted(rows, key=lambda r: r["__id"])], **options)
+    rows = [r.asDict() for r in sorted(rows, key=lambda r: r["__id"])]
+    all_labels = labels.where((fold(id) != 2) & F.col(label).isin(0, 1)).agg(F.avg(label).alias("share")).first()["share"]
+    n_good = sum(r["label"] for r in rows)
+    n_bad = len(rows) - n_good
+    weight = (all_labels / n_good) / ((1 - all_labels) / n_bad) if n_good and n_bad and 0 < all_labels < 1 else 1.0
+    return learn(rows, weight=max(1.0, weight), **options)
 
 
 def verdict(rules: list[Rule]) -> Column:
