@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cadastra.llm import capped_mixing, compression_quality, decision_rules, linked_secrets, packing, super_windows, trie_counts, warc
+from cadastra.llm import capped_mixing, compression_quality, decision_rules, impact_search, linked_secrets, packing, super_windows, trie_counts, warc
 from cadastra.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,22 @@ def op6_decision_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     rules = decision_rules.fit(documents, table(spark, sf_dir, "labels"))
     return decision_rules.judged(documents, rules)
+
+
+@register
+def op5_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return impact_search.top_scores(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+ORACLES["op5_impact_search"] = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM usable
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM parts q JOIN parts c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0 GROUP BY ALL
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
