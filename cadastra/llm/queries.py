@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cadastra.llm import capped_mixing, compression_quality, decision_rules, impact_search, linked_secrets, packing, super_windows, trie_counts, warc
+from cadastra.llm import capped_mixing, combination_join, compression_quality, decision_rules, impact_search, linked_secrets, packing, super_windows, trie_counts, warc
 from cadastra.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +161,8 @@ WITH usable AS (
 ), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@register
+def op10_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combination_join.similar_documents(table(spark, sf_dir, "documents"))
