@@ -17,13 +17,18 @@ ORACLES: dict[str, str] = {}
 SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the settings the operators are designed for."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return tune(spark)
+
+
 def register(build: Callable[[SparkSession, str], DataFrame]):
     """Register a query under its name, run with the session settings of the library."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        for key, value in SETTINGS.items():
-            spark.conf.set(key, value)
-        return build(tune(spark), sf_dir.rstrip("/"))
+        return build(prepared(spark), sf_dir.rstrip("/"))
 
     run.__name__ = build.__name__
     QUERIES[build.__name__] = run
