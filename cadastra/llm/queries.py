@@ -171,3 +171,55 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 @register
 def op10_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combination_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
+def _secrets_sql() -> str:
+    """The same scan and sweep in SQL; positions from the lengths of matches and of what lies between them."""
+    scans = " UNION ALL ".join(
+        f"""SELECT row_id, '{kind}' AS pattern, unnest(range(1, len(m) + 1)) AS k, unnest(list_transform(g[:len(m)], lambda x: length(x))) AS before,
+          unnest(m) AS found, unnest(v) AS value
+        FROM (SELECT row_id, regexp_extract_all(t, '{p}') AS m, string_split_regex(t, '{p}') AS g,
+          regexp_extract_all(t, '{p}', {2 if kind == 'assign' else 0}) AS v FROM docs) WHERE len(m) > 0"""
+        for kind, p in ((kind, pattern.replace("'", "''")) for kind, pattern in linked_secrets.PATTERNS.items())
+    )
+    role = " ".join(f"WHEN kind IN {(*kinds, '')} THEN '{role}'" for role, kinds in linked_secrets.ROLES.items())
+    ranks = " ".join(f"WHEN kind = '{kind}' THEN {i}" for i, kind in enumerate(linked_secrets.KINDS, start=1))
+    near = lambda role: (
+        f"coalesce(start - max(stop) FILTER (role = '{role}') OVER earlier <= {linked_secrets.SCOPE}, false)"
+        f" OR coalesce(min(start) FILTER (role = '{role}') OVER later - stop <= {linked_secrets.SCOPE}, false)"
+    )
+    linked = " OR ".join(
+        f"(role = '{role}' AND ({' OR '.join(map(near, others))}))" for role, others in linked_secrets.COMPLEMENTS.items()
+    )
+    counts = ", ".join(f"count(*) FILTER (kind = '{kind}') AS n_{kind}" for kind in linked_secrets.BASE)
+    return f"""
+    WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS t FROM documents
+    ), scans AS ({scans}
+    ), placed AS (
+      SELECT row_id, length(found) AS width, sum(before + length(found)) OVER (PARTITION BY row_id, pattern ORDER BY k) AS stop,
+        CASE WHEN pattern = 'assign' THEN CASE WHEN length(value) >= {linked_secrets.LEAST_VALUE} THEN 'assign' END
+          WHEN pattern <> 'token' THEN pattern
+          WHEN regexp_full_match(found, '[A-Z0-9]{{16,32}}') AND regexp_matches(found, '[0-9]') AND regexp_matches(found, '[A-Z]') THEN 'key_id'
+          WHEN length(found) >= 32 AND regexp_matches(found, '[0-9]') AND regexp_matches(found, '[A-Z]') AND regexp_matches(found, '[a-z]') THEN 'blob'
+        END AS kind
+      FROM scans
+    ), ranked AS (
+      SELECT *, stop - width AS start, CASE {ranks} END AS rank, CASE {role} END AS role, rank <= 3 AS certain FROM placed WHERE kind IS NOT NULL
+    ), judged AS (
+      SELECT *, certain OR (({linked}) AND NOT coalesce(max(stop) FILTER (certain) OVER earlier > start, false)
+        AND NOT coalesce(min(start) FILTER (certain) OVER later < stop, false)) AS reported
+      FROM ranked
+      WINDOW earlier AS (PARTITION BY row_id ORDER BY start, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+        later AS (PARTITION BY row_id ORDER BY start, rank ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+    ), texts AS (
+      SELECT row_id, {counts}, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) AS spans,
+        string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) FILTER (certain) AS base
+      FROM judged WHERE reported GROUP BY row_id
+    )
+    SELECT doc_id, {', '.join(f'coalesce(n_{kind}, 0)::BIGINT AS n_{kind}' for kind in linked_secrets.BASE)},
+      sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM docs LEFT JOIN texts USING (row_id)
+    """
+
+
+ORACLES["op7_linked_secrets"] = _secrets_sql()
