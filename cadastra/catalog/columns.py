@@ -74,10 +74,9 @@ def _(t):
 
 @query("p10_all_to_text", """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
-       c_mktsegment FROM customer""")
+       CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer""")
 def _(t):
-    picked = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    return picked.select(*[F.col(c).cast("string").alias(c) for c in picked.columns])
+    return t.customer.select(*[F.col(c).cast("string").alias(c) for c in t.customer.columns])
 
 
 @query("p11_alias_reuse", """
@@ -529,6 +528,22 @@ def _(t):
     return t.orders.select("o_orderkey", *domain.one_hot("o_orderpriority", flags))
 
 
+@query("d08_one_hot_found", "SELECT o_orderkey, " + ", ".join(
+    f"CAST(o_orderpriority = '{p}' AS INTEGER) AS priority_{c}" for p, c in (
+        ("1-URGENT", "1_urgent"), ("2-HIGH", "2_high"), ("3-MEDIUM", "3_medium"), ("4-NOT SPECIFIED", "4_not_specified"), ("5-LOW", "5_low"))
+) + " FROM orders")
+def _(t):
+    return t.orders.select("o_orderkey", *domain.one_hot("o_orderpriority", names.value_names(t.orders, "o_orderpriority", "priority_")))
+
+
+@query("d09_cost_range_pence", """
+SELECT p_partkey, p_size * 1000 AS low, p_size * 1000 + 1500 AS high, p_size * 1000 + 750.0::DOUBLE AS mean FROM part""")
+def _(t):
+    low = F.concat(F.lit("£"), F.format_number(F.col("p_size") * 1000, 0), F.lit(".50"))
+    cost = F.concat(low, F.lit(" - £"), F.format_number(F.col("p_size") * 1000 + 1500, 0), F.lit(".99"))
+    return t.part.select("p_partkey", domain.cost_bounds(cost).alias("c")).select("p_partkey", "c.*")
+
+
 @query("d09_cost_range", """
 SELECT p_partkey, p_size * 1000 AS low, CASE WHEN p_type <> 'PROMO' THEN p_size * 1000 + 1500 END AS high,
        CASE WHEN p_type <> 'PROMO' THEN p_size * 1000 + 750.0::DOUBLE END AS mean FROM part""")

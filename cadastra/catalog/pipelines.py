@@ -47,6 +47,9 @@ def _postcodes(t: Tables) -> DataFrame:
     )
 
 
+_POSTCODE_COLUMNS = ["pcds", "lsoa21", "lsoa11", "lat", "msoa21"]
+
+
 def _tenure(t: Tables) -> DataFrame:
     return t.nation.select(F.col("n_nationkey").alias("lsoa21cd"), F.col("n_name").alias("lsoa_name"))
 
@@ -90,13 +93,13 @@ LEFT JOIN las ON ladcd = local_authority"""
 
 @query("i01_domestic_view", _VIEW_SQL + " WHERE cauthnm = 'EUROPE'")
 def _(t: Tables):
-    view = certificates.domestic_view(_certs(t), _postcodes(t), _tenure(t), _imd(t), _authorities(t), "EUROPE")
+    view = certificates.domestic_view(_certs(t), _postcodes(t), _tenure(t), _imd(t), _authorities(t), "EUROPE", _POSTCODE_COLUMNS)
     return view.select(*_VIEW_COLUMNS)
 
 
 @query("i01_domestic_view_all", _VIEW_SQL)
 def _(t):
-    view = certificates.domestic_view(_certs(t), _postcodes(t), _tenure(t), _imd(t), _authorities(t))
+    view = certificates.domestic_view(_certs(t), _postcodes(t), _tenure(t), _imd(t), _authorities(t), postcode_columns=_POSTCODE_COLUMNS)
     return view.select(*_VIEW_COLUMNS)
 
 
@@ -124,7 +127,7 @@ def _(t):
     certs = _certs(t).withColumn("n_nominal_construction_date", year_by_range("construction_age_band"))
     tenure = _tenure(t).withColumnRenamed("lsoa21cd", "lsoacd")
     imd = t.nation.select(F.col("n_nationkey").alias("lsoacd"), (F.col("n_regionkey") + 1).alias("imd_decile"))
-    view = certificates.portal_view(certs, _postcodes(t), tenure, imd, _authorities(t), "EUROPE")
+    view = certificates.portal_view(certs, _postcodes(t), tenure, imd, _authorities(t), "EUROPE", _POSTCODE_COLUMNS)
     return view.select(
         "rowname", "lmk_key", "local_authority", "lsoa21", "lsoa_name", "ladnm", "n_imd_decile",
         "n_nominal_construction_date", "construction_epoch",
@@ -474,12 +477,16 @@ def _(t):
     return result.withColumns(rounded)
 
 
-_LICENCE_QUARTERS = [f"{y} Q{q}" for y in (1998, 1997, 1996) for q in (4, 3, 2, 1)]
+def _quarters(t: Tables) -> list[str]:
+    """Every quarter from the first to the last order, e.g. ``1996 Q4``."""
+    first, last = t.orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    spots = range(first.year * 4 + (first.month - 1) // 3, last.year * 4 + (last.month - 1) // 3 + 1)
+    return [f"{spot // 4} Q{spot % 4 + 1}" for spot in spots]
 
 
 @query("i13_licences_long", """
-WITH q AS (SELECT unnest(['1997-01-01', '1997-04-01', '1997-07-01', '1997-10-01',
-                          '1998-01-01', '1998-04-01', '1998-07-01', '1998-10-01']) AS d),
+WITH q AS (SELECT strftime(unnest(generate_series(TIMESTAMP '1997-01-01', (SELECT max(o_orderdate) FROM orders), INTERVAL 3 MONTH)),
+                           '%Y-%m-%d') AS d),
      k AS (SELECT DISTINCT c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region
            ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE'),
      b AS (SELECT DISTINCT o_custkey, o_orderstatus FROM orders JOIN k ON o_custkey = c_custkey),
@@ -490,7 +497,7 @@ FROM b CROSS JOIN q LEFT JOIN n ON n.o_custkey = b.o_custkey AND n.o_orderstatus
 def _(t):
     quarter = F.concat(F.year("o_orderdate").cast("string"), F.lit(" Q"), F.quarter("o_orderdate").cast("string"))
     keys = [F.col("o_custkey").alias("lsoa11cd"), F.col("o_orderstatus").alias("body_type")]
-    wide = t.orders.groupBy(*keys).agg(*[F.count_if(quarter == q).alias(q) for q in _LICENCE_QUARTERS])
+    wide = t.orders.groupBy(*keys).agg(*[F.count_if(quarter == q).alias(q) for q in _quarters(t)])
     europe = _european_customers(t)
     long = indicators.licences_long(wide, europe, "c_custkey", since="1997-01-01")
     return long.withColumn("date", F.col("date").cast("string"))
@@ -576,7 +583,8 @@ def _(t):
         F.lit("yes").alias("MCA control"),
     )
     sheets = {"instructions": t.nation.select(F.col("n_name").alias("Action")), "Homes": homes, "Resilience ": resilience}
-    return indicators.action_tracker(sheets, ["instructions"], {"Resilience ": "Resilience"})
+    columns = ["pillar", "action_areas", "id", "action", "impact", "mca_control"]
+    return indicators.action_tracker(sheets, ["instructions"], {"Resilience ": "Resilience"}, columns=columns)
 
 
 @query("i18_register_report", """
@@ -656,7 +664,7 @@ def _(t):
 @query("i22_tenure_wide", """
 SELECT c_name AS lsoa_name, o_custkey AS lsoa21cd, """ + ", ".join(
     f"CAST(sum(CASE WHEN o_orderpriority = '{p}' THEN 1 END) AS BIGINT) AS \"{c}\"" for p, c in (
-        ("1-URGENT", "1_urgent"), ("2-HIGH", "2_high"), ("4-NOT SPECIFIED", "4_not_specified"))
+        ("1-URGENT", "1_urgent"), ("2-HIGH", "2_high"), ("4-NOT SPECIFIED", "4_not_specified"), ("3-MEDIUM", "3_medium"), ("5-LOW", "5_low"))
 ) + " FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2")
 def _(t):
     counts = t.orders.groupBy("o_custkey", "o_orderpriority").agg(F.count("*").alias("OBS_VALUE"))
@@ -664,4 +672,4 @@ def _(t):
         F.col("c_name").alias("GEOGRAPHY_NAME"), F.col("o_custkey").alias("GEOGRAPHY_CODE"),
         F.col("o_orderpriority").alias("C2021_TENURE_9_NAME"), "OBS_VALUE",
     )
-    return indicators.tenure_wide(long, ["1-URGENT", "2-HIGH", "4-NOT SPECIFIED"])
+    return indicators.tenure_wide(long)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cadastra.catalog.registry import Tables, query
 from cadastra.catalog.standins import UNTIED
-from cadastra.operators import dedupe, joins, sets, windows
+from cadastra.operators import dedupe, filters, joins, sets, windows
 from cadastra.operators.joins import Lookup
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -326,10 +326,10 @@ def _(t):
     return t.orders.select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(10)
 
 
-@query("o03_sample_exact_size", "SELECT least(500, count(*)) AS n, least(500, count(*)) AS n_distinct FROM orders")
+@query("o03_sample_exact_size", """
+SELECT o_orderkey, o_custkey FROM orders ORDER BY md5('42:' || o_orderkey), o_orderkey LIMIT 500""")
 def _(t):
-    sample = t.orders.select("o_orderkey").orderBy(F.rand(42)).limit(500)
-    return sample.agg(F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("n_distinct"))
+    return filters.sample_rows(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey", 500, 42)
 
 
 @query("o04_default_page", """

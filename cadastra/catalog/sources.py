@@ -198,14 +198,22 @@ def _(t):
     return view.groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
+def _database(t: Tables, name: str, tables: dict[str, DataFrame]) -> str:
+    """A database of the catalog that holds exactly the given tables, stored in the scratch folder."""
+    t.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{fresh_dir(t.spark, name)}'")
+    for table in writers.catalog_tables(t.spark, name):
+        t.spark.sql(f"DROP TABLE {name}.{table}")  # external: only the entry goes
+    for table, df in tables.items():
+        writers.replace_catalog_table(df, f"{name}.{table}", fresh_dir(t.spark, table))
+    return name
+
+
 @query("k04_export_tables", """
-SELECT 'cadastra_customer' AS table_name, count(*) AS n FROM customer
-UNION ALL SELECT 'cadastra_orders', count(*) FROM orders""")
+SELECT 'customer' AS table_name, count(*) AS n FROM customer
+UNION ALL SELECT 'orders', count(*) FROM orders""")
 def _(t):
-    tables = {"cadastra_customer": t.customer, "cadastra_orders": t.orders}
-    for name, df in tables.items():
-        writers.publish_view(df, name)
-    paths = writers.export_tables(t.spark, list(tables), fresh_dir(t.spark, "k04"))
+    database = _database(t, "cadastra_export", {"customer": t.customer, "orders": t.orders})
+    paths = writers.export_tables(t.spark, fresh_dir(t.spark, "k04"), database=database)
     counts = {name: t.spark.read.parquet(p).agg(F.count("*").alias("n")) for name, p in paths.items()}
     return sets.unite_tagged(counts, "table_name")
 
@@ -235,6 +243,29 @@ def _(t):
     return back.select("properties.*", "type", point[0].alias("x"), point[1].alias("y"))
 
 
+@query("k07_polygon_export", """
+SELECT c_custkey, c_mktsegment, 'Feature' AS type, CASE WHEN c_nationkey > 3 THEN 'Polygon' END AS kind,
+    CASE WHEN c_nationkey > 3 THEN CAST(c_nationkey + 1 AS DOUBLE) END AS corner FROM customer""")
+def _(t):
+    path = fresh_dir(t.spark, "k07p")
+    ring = F.format_string(
+        '{"type":"Polygon","coordinates":[[[0,0],[%s,0],[0,1],[0,0]]]}', (F.col("c_nationkey") + 1).cast("string")
+    )
+    shapes = t.customer.withColumn("shape", F.when(F.col("c_nationkey") > 3, ring))
+    writers.geojson_carried(shapes, "shape", ["c_custkey", "c_mktsegment"]).write.text(path)
+    shape = ("type string, geometry struct<type string, coordinates array<array<array<double>>>>, "
+             "properties struct<c_custkey long, c_mktsegment string>")
+    back = t.spark.read.schema(shape).json(path)
+    corner = F.get(F.get(F.get("geometry.coordinates", F.lit(0)), F.lit(1)), F.lit(0))
+    return back.select("properties.*", "type", F.col("geometry.type").alias("kind"), corner.alias("corner"))
+
+
+@query("k07_code_list", """
+SELECT '[' || string_agg(DISTINCT '"' || c_mktsegment || '"', ',' ORDER BY '"' || c_mktsegment || '"') || ']' AS value FROM customer""")
+def _(t):
+    return writers.json_list(t.customer, "c_mktsegment")
+
+
 @query("k08_add_and_set_column", "SELECT c_custkey, 'POINT (' || c_nationkey || ' ' || c_custkey || ')' AS geom FROM customer")
 def _(t):
     empty = t.customer.select("c_custkey", "c_nationkey", F.lit(None).cast("string").alias("geom"))
@@ -307,11 +338,8 @@ SELECT table_name, column_name, n_rows FROM (
     UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'events', count(*) FROM events) c
 JOIN (SELECT DISTINCT table_name, column_name FROM information_schema.columns) i USING (table_name)""")
 def _(t):
-    for name in _CATALOG:
-        writers.publish_view(getattr(t, name), f"cadastra_catalog_{name}")
-    report = quality.catalog_columns(t.spark, [f"cadastra_catalog_{name}" for name in _CATALOG])
-    short = F.replace("table_name", F.lit("cadastra_catalog_"), F.lit(""))
-    return report.select(short.alias("table_name"), "column_name", "n_rows")
+    database = _database(t, "cadastra_catalog", {name: getattr(t, name) for name in _CATALOG})
+    return quality.catalog_columns(t.spark, database=database).select("table_name", "column_name", "n_rows")
 
 
 @query("k15_unknown_values", """
@@ -324,6 +352,12 @@ def _(t):
     return quality.unknown_values(requested, t.orders, "o_orderpriority")
 
 
+@query("k15_outside_window", """
+SELECT DISTINCT year(o_orderdate)::INTEGER AS year FROM orders WHERE year(o_orderdate) NOT BETWEEN 1993 AND 1996""")
+def _(t):
+    return quality.outside_window(t.orders.select(F.year("o_orderdate").alias("year")), "year", 1993, 1996)
+
+
 # --- incremental -----------------------------------------------------------------------------
 
 _TODAY = dt.date(1999, 3, 15)
@@ -357,7 +391,19 @@ def _event_updates(t: Tables, *extra: str) -> DataFrame:
 
 @query("t02_keyed_upsert", _UPDATES_SQL)
 def _(t):
-    return incremental.upsert(t.events.select("event_id", "user_id", "value"), _event_updates(t), "event_id")
+    return incremental.upsert(t.events.select("event_id", "user_id", "value"), _event_updates(t), "event_id", "value")
+
+
+@query("t02_upsert_repeated_key", """
+SELECT event_id, user_id, CASE WHEN event_type = 'purchase' THEN value * 3 ELSE value END AS value FROM events""")
+def _(t):
+    # Each purchase twice in one batch; the later pull wins, wherever its rows stand.
+    columns = ["event_id", "user_id", "value"]
+    bought = t.events.where("event_type = 'purchase'")
+    pulls = [bought.select("event_id", "user_id", (F.col("value") * k).alias("value"), F.lit(k).alias("pull")) for k in (3, 2)]
+    stored = t.events.select(*columns, F.lit(0).alias("pull"))
+    later = pulls[0].unionByName(pulls[1].withColumn("pull", F.lit(1)))
+    return incremental.upsert(stored, later, "event_id", "pull").select(*columns)
 
 
 @query("t02_streamed_upsert", _UPDATES_SQL)
@@ -369,7 +415,7 @@ def _(t):
     updates = _event_updates(t, "ts").withColumn("day", F.to_date("ts")).drop("ts")
     updates.write.parquet(feed)
     stream = incremental.stream_files(t.spark, feed, updates.schema)
-    incremental.run_upserts(stream, table, checkpoint, ["event_id", "day"], "day")
+    incremental.run_upserts(stream, table, checkpoint, ["event_id", "day"], "day", "value")
     return t.spark.read.schema(events.schema).parquet(table).select("event_id", "user_id", "value")
 
 
@@ -402,8 +448,8 @@ def _(t):
         events.where(condition).write.mode("append").parquet(feed)
         stream = incremental.stream_files(t.spark, feed, events.schema)
         latest = incremental.stream_latest(stream, "user_id", ["ts", "event_id"], ["event_id", "event_type", "value"])
-        incremental.run_to_folder(latest, out, checkpoint, state_partitions=t.spark.sparkContext.defaultParallelism)
-    return incremental.newest_updates(t.spark, out, "user_id")
+        incremental.run_latest_table(latest, out, checkpoint, "user_id", 8, t.spark.sparkContext.defaultParallelism)
+    return incremental.latest_table(t.spark, out, latest.schema)
 
 
 @query("t05_stream_high_water_mark", "SELECT event_id, user_id, value FROM events")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, functions as F
 
 from cadastra.functions.cols import ColumnLike, as_col
 from cadastra.functions.numbers import floor_midpoint
-from cadastra.functions.text import extract_all_joined, extract_first
+from cadastra.functions.text import extract_all_joined, extract_first, extract_groups
 
 # What the range rule strips from a band: letters, white space, ":" and "!".
 _WORDING = string.ascii_letters + string.whitespace + ":!"
@@ -60,8 +60,9 @@ def band_struct(band: ColumnLike) -> Column:
 
     ``mean_year`` rounds half away from zero. ``only_year`` is null when it repeats ``start``.
     """
-    start = extract_first(band, r"(\b\d{4}\b)-(\b\d{4}\b)", 1).cast("int")
-    end = extract_first(band, r"(\b\d{4}\b)-(\b\d{4}\b)", 2).cast("int")
+    # Patterns and label words are fixed values of the published series.
+    span = extract_groups(band, r"(\b\d{4}\b)-(\b\d{4}\b)", ["start", "end"])
+    start, end = span["start"].cast("int"), span["end"].cast("int")
     year = extract_first(band, r"(\d{4}\b)", 1).cast("int")
     only_year = F.when(start.isNull() | (year != start), year)
     label = (

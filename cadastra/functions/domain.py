@@ -9,7 +9,7 @@ from cadastra.functions.cols import ColumnLike, as_col
 
 def tenure(text: ColumnLike) -> Column:
     """Standard tenure name, tolerant of case at the start of the word. Null becomes ``Unknown``."""
-    text = as_col(text)
+    text = as_col(text)  # the words and names below are fixed values of the published series
     return (
         F.when(text.contains("wner"), "Owner occupied")
         .when(text.contains("rivate"), "Private rented")
@@ -20,7 +20,7 @@ def tenure(text: ColumnLike) -> Column:
 
 def tenure_strict(text: ColumnLike) -> Column:
     """Standard tenure name by exact lower-case words; social is tested before private."""
-    text = as_col(text)
+    text = as_col(text)  # fixed values, as above
     return (
         F.when(text.contains("wner-occupied"), "Owner occupied")
         .when(text.contains("social"), "Social rented")
@@ -75,10 +75,12 @@ def profile_flags() -> list[Column]:
 
 
 def cost_bounds(text: ColumnLike) -> Column:
-    """``£1,500 - £4,000`` as struct(low, high, mean). The mean is null if either bound is null."""
+    """``£1,500 - £4,000`` as struct(low, high, mean) in whole pounds, pence cut off.
+
+    The mean is null if either bound is null.
+    """
     plain = F.regexp_replace(as_col(text), "£|,", "")
-    low = F.split_part(plain, F.lit(" - "), F.lit(1)).try_cast("int")
-    high = F.split_part(plain, F.lit(" - "), F.lit(2)).try_cast("int")
+    low, high = (F.split_part(plain, F.lit(" - "), F.lit(i)).try_cast("double").try_cast("int") for i in (1, 2))
     return F.struct(low.alias("low"), high.alias("high"), ((low + high) / 2).alias("mean"))
 
 

@@ -68,22 +68,35 @@ def mean_as_int(value: ColumnLike) -> Column:
 
 def pivot_wider(
     df: DataFrame, ids, names_from: str, values_from: str, values: list | None = None,
-    how: str = "sum", max_values: int = 1000,
+    how: str = "sum", max_values: int | None = None,
 ) -> DataFrame:
-    """Values of one column become columns.
+    """Values of one column become columns; a null name has no column.
 
-    Pass ``values`` where they are known. Otherwise they are looked up, and more than
-    ``max_values`` of them is an error, not a cut.
+    Pass ``values`` where they are known: a row with another value raises. Otherwise they are looked
+    up, and more than ``max_values`` of them, if given, is an error, not a cut.
     """
     if values is None:
         values = column_values(df, names_from, max_values)
+    else:
+        df = df.withColumn(names_from, listed(names_from, values))
     return df.groupBy(*as_list(ids)).pivot(names_from, values).agg(getattr(F, how)(values_from))
 
 
-def column_values(df: DataFrame, column: str, max_values: int = 1000) -> list:
-    """Sorted distinct values of a low-cardinality column."""
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_values + 1).collect()
-    if len(found) > max_values:
+def listed(column: str, values: list) -> Column:
+    """The column itself; a value that is neither null nor in ``values`` raises when it is read."""
+    value = F.col(column)
+    stray = F.raise_error(F.concat(F.lit(f"{column} has a value that is not listed: "), value.cast("string")))
+    return F.when(value.isNull() | value.isin(*values), value).otherwise(stray)
+
+
+def column_values(df: DataFrame, column: str, max_values: int | None = None) -> list:
+    """Sorted distinct values of a low-cardinality column; they come to the driver.
+
+    More than ``max_values`` of them, if given, is an error.
+    """
+    found = df.select(column).where(F.col(column).isNotNull()).distinct()
+    found = (found if max_values is None else found.limit(max_values + 1)).collect()
+    if max_values is not None and len(found) > max_values:
         raise ValueError(f"{column} has more than {max_values} values")
     return sorted(row[0] for row in found)
 
@@ -94,7 +107,8 @@ def unpivot_longer(df: DataFrame, ids, values: list[str], name: str = "name", va
 
 
 def cross_table(df: DataFrame, rows: str, columns: str, values: list) -> DataFrame:
-    """Counts of ``rows`` against the listed values of ``columns``, missing cells 0."""
+    """Counts of ``rows`` against the listed values of ``columns``, missing cells 0; another value raises."""
+    df = df.withColumn(columns, listed(columns, values))
     cells = [F.count_if(F.col(columns) == value).alias(str(value)) for value in values]
     return df.groupBy(rows).agg(*cells)
 

@@ -102,9 +102,12 @@ def latest_of_single_source(df: DataFrame, source: str, key, order) -> DataFrame
     """
     row = F.max_by(F.struct(*df.columns), F.struct(*[as_col(c) for c in as_list(order)]))
     found = df.groupBy(*as_list(key)).agg(
-        row.alias("__row"), F.min(source).alias("__first"), F.max(source).alias("__last")
+        row.alias("__row"), F.min(source).alias("__first"), F.max(source).alias("__last"),
+        F.count(source).alias("__named"), F.count("*").alias("__n"),
     )
-    return found.where(F.col("__first") == F.col("__last")).select("__row.*")
+    # A null source is a source of its own.
+    one = (F.col("__named") == 0) | ((F.col("__named") == F.col("__n")) & (F.col("__first") == F.col("__last")))
+    return found.where(one).select("__row.*")
 
 
 def latest_overall(df: DataFrame, ts: str, tiebreak) -> DataFrame:

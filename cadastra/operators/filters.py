@@ -30,6 +30,15 @@ def at_extremes(df: DataFrame, value: ColumnLike) -> DataFrame:
     return df.where((as_col(value) == minimum(df, value)) | (as_col(value) == maximum(df, value)))
 
 
+def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
+    """``n`` rows (all, if there are fewer) by a seeded hash of the key, which must identify rows.
+
+    The same rows on every run and with any partitioning; each task sends ``n`` rows at most.
+    """
+    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return df.orderBy(drawn, key).limit(n)
+
+
 def trailing_years(df: DataFrame, date: str, years: int) -> DataFrame:
     """Rows from ``years`` years before the last complete year up to and including it."""
     kind = df.schema[date].dataType

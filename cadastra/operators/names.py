@@ -9,6 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, types as T
 
+from cadastra.operators.aggs import column_values
+
 _PUNCTUATION = str.maketrans({ch: "_" for ch in string.punctuation + " "})
 _NO_DIGITS = str.maketrans("", "", string.digits)
 
@@ -75,6 +77,18 @@ def affix_names(df: DataFrame, prefix: str, new_prefix: str = "", suffix: str =
     return rename_all(df, rule)
 
 
+def value_names(df: DataFrame, column: str, prefix: str = "") -> dict[str, str]:
+    """Clean names, with a prefix, of the values found in a low-cardinality column: name -> value.
+
+    Values of one clean name are an error, since one of them would be lost.
+    """
+    found = column_values(df, column)
+    named = {prefix + clean_name(str(value)): value for value in found}
+    if len(named) < len(found):
+        raise ValueError(f"values of {column} share a name: {found}")
+    return named
+
+
 def matching(df: DataFrame, pattern: str | None = None, numeric: bool = False) -> list[str]:
     """Column names that match a regular expression and/or hold numbers."""
     return [

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from cadastra.functions.cols import as_list
 from cadastra.operators.joins import drop_listed
+from cadastra.sources.writers import catalog_tables
 
 
 class GateError(ValueError):
@@ -40,6 +41,18 @@ def require_in(value, allowed: list, what: str) -> None:
         raise GateError(f"{what} must be one of {allowed}, not {value!r}")
 
 
+def require_between(value, low, high, what: str) -> None:
+    """Raise unless ``low <= value <= high`` (a year in its window)."""
+    if value is None or not low <= value <= high:
+        raise GateError(f"{what} must lie between {low} and {high}, not {value!r}")
+
+
+def outside_window(df: DataFrame, column: str, low, high) -> DataFrame:
+    """Distinct values of a column outside ``low``..``high``, null included; must be empty to go on."""
+    inside = F.coalesce(F.col(column).between(low, high), F.lit(False))
+    return df.where(~inside).select(column).distinct()
+
+
 def missing_percent(column: str) -> Column:
     return F.avg(F.col(column).isNull().cast("int")) * 100
 
@@ -99,11 +112,17 @@ def column_notes(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
-def catalog_columns(spark: SparkSession, tables: list[str]) -> DataFrame:
-    """Columns and row count of catalog tables or views, one row per column."""
+def catalog_columns(spark: SparkSession, tables: list[str] | None = None, database: str | None = None) -> DataFrame:
+    """Columns and row count, one row per column, of all stored tables of a database, or of those named (views too)."""
+    if tables is None:
+        named = {table: f"{database}.{table}" if database else table for table in catalog_tables(spark, database)}
+    else:
+        named = {table: table for table in tables}
+    if not named:
+        raise LookupError("no table to describe")
     reports = []
-    for table in tables:
-        df = spark.table(table)
+    for table, full in named.items():
+        df = spark.table(full)
         fields = [
             F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("column_type"))
             for f in df.schema

@@ -9,15 +9,12 @@ from cadastra.functions.dates import date_parts
 from cadastra.operators import aggs, dedupe, joins, windows
 from cadastra.operators.joins import Lookup
 
+# Columns of the postcode directory that the views carry.
 POSTCODE_COLUMNS = [
     "lsoa21", "msoa21", "lsoa11", "msoa11", "lat", "long", "osnrth1m", "oseast1m", "geom_text", "imd", "pcds",
 ]
 
 
-def _present(df: DataFrame, columns: list[str]) -> list[str]:
-    return [c for c in columns if c in df.columns]
-
-
 def _others(df: DataFrame, key: str) -> list[str]:
     return [c for c in df.columns if c != key]
 
@@ -30,7 +27,7 @@ def in_region(certs: DataFrame, authorities: DataFrame, region: str) -> DataFram
 
 def domestic_view(
     certs: DataFrame, postcodes: DataFrame, tenure: DataFrame, imd: DataFrame,
-    authorities: DataFrame | None = None, region: str | None = None,
+    authorities: DataFrame | None = None, region: str | None = None, postcode_columns: list[str] = POSTCODE_COLUMNS,
 ) -> DataFrame:
     """Latest certificates per property with geography, tenure, deprivation, year, epoch and date parts.
 
@@ -42,7 +39,7 @@ def domestic_view(
     members = None if region is None else in_region(certs, authorities, region)
     latest = dedupe.latest_with_ties(certs, "uprn", "lodgement_datetime", among=members)
     geography = joins.enrich(
-        postcodes.select(*_present(postcodes, POSTCODE_COLUMNS)),
+        postcodes.select(*postcode_columns),
         Lookup(tenure, {"lsoa21": "lsoa21cd"}, _others(tenure, "lsoa21cd"), prefix="tenure"),
         Lookup(imd, {"lsoa11": "lsoa11cd"}, _others(imd, "lsoa11cd"), prefix="imd"),
     )
@@ -75,11 +72,12 @@ def non_domestic_view(certs: DataFrame, postcodes: DataFrame, authorities: DataF
 
 
 def portal_view(
-    certs: DataFrame, postcodes: DataFrame, tenure: DataFrame, imd: DataFrame, authorities: DataFrame, region: str
+    certs: DataFrame, postcodes: DataFrame, tenure: DataFrame, imd: DataFrame, authorities: DataFrame, region: str,
+    postcode_columns: list[str] = POSTCODE_COLUMNS,
 ) -> DataFrame:
     """Cleaned certificates of a region for publication, numbered in certificate-key order."""
     geography = joins.enrich(
-        postcodes.select(*_present(postcodes, POSTCODE_COLUMNS)),
+        postcodes.select(*postcode_columns),
         Lookup(tenure, {"lsoa21": "lsoacd"}, _others(tenure, "lsoacd"), prefix="tenure"),
         Lookup(imd, {"lsoa21": "lsoacd"}, ["imd_decile"], prefix="imd"),
     ).withColumnRenamed("imd_decile", "n_imd_decile")

@@ -12,6 +12,7 @@ from cadastra.operators.joins import Lookup
 from cadastra.sources.inline import local_table
 from cadastra.sources.staging import stage
 
+# The groups whose averages are weighted.
 SCORE_GROUP = ["lsoa", "current_energy_rating", "property_type", "transaction_type", "cauthnm", "year"]
 
 
@@ -194,12 +195,18 @@ def annual_means(hourly: DataFrame, pollutants: list[str]) -> DataFrame:
     return hourly.groupBy("site_id", "year").agg(*means).orderBy("year", "site_id")
 
 
+# Columns of the published tracker, besides the name of the sheet.
+TRACKER_COLUMNS = ["pillar", "action_areas", "id", "action", "update_for_march_2024", "impact", "mca_control"]
+
+
 def action_tracker(
-    sheets: dict[str, DataFrame], leave_out: list[str] = (), relabel: dict[str, str] | None = None, tag: str = "pillar"
+    sheets: dict[str, DataFrame], leave_out: list[str] = (), relabel: dict[str, str] | None = None, tag: str = "pillar",
+    columns: list[str] = TRACKER_COLUMNS,
 ) -> DataFrame:
     """Sheets of an action tracker as one text table, the sheet name in ``tag``; rows without an action go.
 
-    ``relabel`` gives the action area for all rows of some sheets.
+    ``relabel`` gives the action area for all rows of some sheets. ``columns`` are those of the result; one
+    that no sheet has is an error.
     """
     as_text = {
         name: all_text(names.clean_names(df)) for name, df in sheets.items() if name not in leave_out
@@ -209,8 +216,7 @@ def action_tracker(
     for sheet, label in (relabel or {}).items():
         area = F.when(F.col(tag) == sheet, label).otherwise(area)
     rows = rows.withColumn("action_areas", area)
-    chosen = [tag, "action_areas", "id", "action", "update_for_march_2024", "impact", "mca_control"]
-    return rows.select(*[c for c in chosen if c in rows.columns])
+    return rows.select(*columns)
 
 
 def all_text(df: DataFrame) -> DataFrame:
@@ -223,12 +229,11 @@ def register_report(published: DataFrame, registered: DataFrame) -> DataFrame:
     Columns used: operator, service_code, schema_version, quality_score, licence_number (published) and
     service_code, licence_number (registered).
     """
+    valid = F.coalesce((F.col("schema_version") == "2.4").cast("int"), F.lit(0))
     counts = published.agg(
         F.countDistinct("operator").alias("n_operators"),
         F.countDistinct("service_code").alias("n_service_codes"),
-    )
-    versions = quality.conforming_share(published, F.col("schema_version") == "2.4").select(
-        F.col("valid_pct").alias("schema_2_4_pct")
+        (F.avg(valid) * 100).alias("schema_2_4_pct"),
     )
     licences = joins.matched_share(registered, published, "licence_number").select(
         F.col("matched_pct").alias("published_licence_pct")
@@ -239,7 +244,7 @@ def register_report(published: DataFrame, registered: DataFrame) -> DataFrame:
     )
     return counts.select(
         "*",
-        *[part.select(c).scalar().alias(c) for part in (versions, licences, services) for c in part.columns],
+        *[part.select(c).scalar().alias(c) for part in (licences, services) for c in part.columns],
     )
 
 

@@ -26,22 +26,19 @@ def read_declared_csv(spark: SparkSession, path, schema: T.StructType, **options
 def read_tolerant_csv(spark: SparkSession, path, schema: T.StructType, **options) -> DataFrame:
     """Bad cells become null and the raw line is kept in ``_corrupt_record`` (null for good lines).
 
-    Continue with :func:`split_tolerant` before choosing columns.
+    Spark only checks the cells a query asks for, so the rows are parsed at once, with all their
+    columns, and written to the scratch folder: the flag is right whatever is selected later.
     """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
+    rows = (
         spark.read.schema(wide).option("header", True).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT).options(**options).csv(path)
     )
+    return stage(rows, "parsed")
 
 
-def split_tolerant(tolerant: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All rows with bad cells null, and the lines that did not parse cleanly with their raw text.
-
-    Spark only checks the cells a query asks for, so the parsed rows are written once with all
-    their columns and both results read from there.
-    """
-    parsed = stage(tolerant, "parsed")
+def split_tolerant(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All rows of :func:`read_tolerant_csv` without the flag, and the lines that did not parse cleanly with their raw text."""
     bad = parsed.where(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "line")
     return parsed.drop(CORRUPT), bad
 
@@ -97,13 +94,11 @@ def read_by_path_key(
 
 def schema_from_metadata(
     meta: DataFrame, table: str, table_col: str = "filename", name_col: str = "column", type_col: str = "datatype",
-    position_col: str | None = None, max_columns: int = 10_000,
+    position_col: str | None = None,
 ) -> T.StructType:
-    """Schema of one table from a metadata frame with one row per column."""
+    """Schema of one table from a metadata frame with one row per column; those rows come to the driver."""
     rows = meta.where(F.col(table_col) == table).select(name_col, type_col, *as_list(position_col or []))
-    found = rows.limit(max_columns + 1).collect()
-    if len(found) > max_columns:
-        raise ValueError(f"{table} describes more than {max_columns} columns")
+    found = rows.collect()
     if position_col:
         found = sorted(found, key=lambda row: row[position_col])
     return T.StructType([T.StructField(r[name_col], DATATYPES.get(r[type_col], T.StringType())) for r in found])

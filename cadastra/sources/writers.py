@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cadastra.functions.cols import ColumnLike, as_col
-from cadastra.sources.staging import fresh_dir
 
 
 def replace_table(df: DataFrame, path: str, partition_by: list[str] = ()) -> DataFrame:
@@ -45,11 +45,23 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def export_tables(spark: SparkSession, tables: list[str], directory: str) -> dict[str, str]:
-    """Write catalog tables to ``<directory>/<table>`` as Parquet."""
-    paths = {table: f"{directory}/{table}" for table in tables}
+def catalog_tables(spark: SparkSession, database: str | None = None) -> list[str]:
+    """Names of the stored tables of a database (the current one by default); temporary views are not stored."""
+    listed = spark.catalog.listTables(database)
+    return sorted(table.name for table in listed if not table.isTemporary)
+
+
+def export_tables(
+    spark: SparkSession, directory: str, tables: list[str] | None = None, database: str | None = None
+) -> dict[str, str]:
+    """Write tables to ``<directory>/<table>`` as Parquet: all stored ones of a database, or those named (views too)."""
+    if tables is None:
+        named = {table: f"{database}.{table}" if database else table for table in catalog_tables(spark, database)}
+    else:
+        named = {table: table for table in tables}
+    paths = {table: f"{directory}/{table}" for table in named}
     for table, path in paths.items():
-        spark.table(table).write.mode("overwrite").parquet(path)
+        spark.table(named[table]).write.mode("overwrite").parquet(path)
     return paths
 
 
@@ -67,6 +79,18 @@ def geojson_features(df: DataFrame, x: ColumnLike, y: ColumnLike, properties: li
     return df.select(F.to_json(feature).alias("value"))
 
 
+def geojson_carried(df: DataFrame, geometry: ColumnLike, properties: list[str]) -> DataFrame:
+    """One GeoJSON feature per row as column ``value``, its geometry a GeoJSON text carried as it is (null: none)."""
+    fields = [F.lit('{"type":"Feature","geometry":'), F.coalesce(as_col(geometry), F.lit("null"))]
+    fields += [F.lit(',"properties":'), F.to_json(F.struct(*properties)), F.lit("}")]
+    return df.select(F.concat(*fields).alias("value"))
+
+
+def json_list(df: DataFrame, column: str) -> DataFrame:
+    """One row, ``value``: the sorted distinct values of a short column (codes of areas) as a JSON list."""
+    return df.agg(F.to_json(F.sort_array(F.collect_set(column))).alias("value"))
+
+
 def write_geojson_lines(df: DataFrame, path: str, x: ColumnLike, y: ColumnLike, properties: list[str]) -> None:
     geojson_features(df, x, y, properties).write.mode("overwrite").text(path)
 
@@ -84,7 +108,7 @@ def publish_tables(
     commit record per table is appended in a single write. Readers follow the newest commit, so a
     failed load leaves the previous version in place. No rename is needed.
     """
-    path = fresh_dir(spark, "load").rsplit("/", 1)[1]
+    path = f"load-{uuid.uuid4().hex}"
     for name, df in frames.items():
         df.write.parquet(f"{root}/{path}/{name}")
     gates({name: spark.read.parquet(f"{root}/{path}/{name}") for name in frames})

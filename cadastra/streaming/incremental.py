@@ -35,37 +35,51 @@ def rows_to_load(stored: DataFrame, incoming: DataFrame, date: str, today: dt.da
     return incoming.where((start.isNull() | (F.col(date) >= start)) & (F.col(date) < stop))
 
 
-def upsert(current: DataFrame, updates: DataFrame, key, order=()) -> DataFrame:
+def upsert(current: DataFrame, updates: DataFrame, key, order) -> DataFrame:
     """Updates replace current rows of the same key; new keys are added.
 
-    ``order`` decides between several updates of one key; without it update keys must be unique.
-    The current table is only anti-joined with the update keys: while those are small it is not
-    shuffled at all.
+    ``order`` decides between several updates of one key: the last one is taken. The current table
+    is only anti-joined with the update keys: while those are small it is not shuffled at all.
     """
     keys = as_list(key)
-    newest = last_after_sort(updates, keys, order) if order else updates
+    if not as_list(order):
+        raise ValueError("order must say which of several updates of a key is the last")
+    newest = last_after_sort(updates, keys, order)
     replaced = newest.select(*[F.col(k).alias(f"__{k}") for k in keys])
     same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
     return unite(current.join(replaced, same_key, "left_anti"), newest)
 
 
 def upsert_partitions(
-    spark: SparkSession, path: str, updates: DataFrame, key, partition: str, order=()
+    spark: SparkSession, path: str, updates: DataFrame, key, partition: str, order
 ) -> None:
     """Upsert into a Parquet table partitioned by ``partition``; only touched partitions are rewritten.
 
     The partition column must follow from the key (a month of a date in the key), so that a key never
     moves. The merged rows are staged first because a table cannot be read and overwritten at once.
     A repeated run of the same updates gives the same table.
+
+    The touched partition values, one per partition of the batch, come to the driver and filter the
+    scan of the table, so other partitions are not even listed.
     """
-    touched = updates.select(partition).distinct()
-    schema = updates.schema
-    current = spark.read.schema(schema).parquet(path).join(touched, partition, "left_semi").select(*updates.columns)
-    merged = stage(upsert(current, updates, key, order), "upsert")
+    updates = stage(updates, "updates")  # read three times: partitions, keys, rows
+    touched = [row[0] for row in updates.select(partition).distinct().collect()]
+    if not touched:
+        return
+    merged = stage(upsert(touched_rows(spark, path, updates.schema, partition, touched), updates, key, order), "upsert")
     writer = rebalanced(merged, [partition]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(partition).parquet(path)
 
 
+def touched_rows(spark: SparkSession, path: str, schema: T.StructType, partition: str, values: list) -> DataFrame:
+    """Rows of a partitioned table in the partitions of some values (null included)."""
+    column = F.col(partition)
+    wanted = column.isin(*[v for v in values if v is not None])
+    if None in values:
+        wanted = wanted | column.isNull()
+    return spark.read.schema(schema).parquet(path).where(wanted).select(*schema.names)
+
+
 def update_batch(pulls: list[DataFrame], stamp: str, schema: T.StructType | None = None) -> DataFrame:
     """Per-key pulls united, brought into register form and stamped."""
     return conform_update(unite(*pulls), stamp, schema)
@@ -130,14 +144,35 @@ def run_batches(
     query.awaitTermination()
 
 
-def newest_updates(spark: SparkSession, path: str, key) -> DataFrame:
-    """Table view of :func:`run_to_folder` in update mode: the newest batch wins per key."""
-    updates = spark.read.parquet(path)
-    return last_after_sort(updates, key, "batch").drop("batch")
+_BUCKET = "__bucket"
+
+
+def run_latest_table(
+    latest: DataFrame, path: str, checkpoint: str, key, buckets: int = 64, state_partitions: int | None = None
+) -> None:
+    """Keep :func:`stream_latest` as a table of one row per key, whatever the number of batches.
+
+    The changed keys of a batch, one row each, replace their rows in a table partitioned by a hash of
+    the key; buckets without a change are not touched. Read it with :func:`latest_table`.
+    """
+    keys = as_list(key)
+
+    def merge(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        bucketed = batch.withColumn(_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        bucketed.limit(0).write.mode("ignore").partitionBy(_BUCKET).parquet(path)  # an empty table, once
+        upsert_partitions(spark, path, bucketed, keys, _BUCKET, keys)
+
+    run_batches(latest, merge, checkpoint, "update", state_partitions)
+
+
+def latest_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table of :func:`run_latest_table` in the columns of ``schema``."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def run_upserts(
-    stream: DataFrame, path: str, checkpoint: str, key, partition: str, order=()
+    stream: DataFrame, path: str, checkpoint: str, key, partition: str, order
 ) -> None:
     """Upsert every batch of a stream into a partitioned Parquet table."""
 

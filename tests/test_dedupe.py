@@ -96,3 +96,10 @@ def test_one_key_holding_a_third_of_the_rows(spark):
     assert {r.i for r in dedupe.last_after_sort(df, "k", ["t", "i"]).collect()} == {i for _, i in last.values()}
     assert {r.i for r in dedupe.latest_row(df, "k", "t", "i").collect()} == {i for _, i in last.values()}
     assert {r.i for r in dedupe.drop_repeated_keys(df, "k").collect()} == {i for k, t, i in data if counts[k] == 1}
+
+
+def test_a_null_source_is_a_source_of_its_own(spark, rows):
+    certs = spark.createDataFrame(
+        [(1, None, 5), (2, None, 1), (2, "a", 2), (3, "a", 1), (3, "a", 4), (4, "a", 1), (4, "b", 2)], "uprn int, file string, v int"
+    )
+    assert rows(dedupe.latest_of_single_source(certs, "file", "uprn", "v"), "uprn", "v") == [(1, 5), (3, 4)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from cadastra.operators import dedupe
@@ -47,7 +48,7 @@ def test_upsert_partitions_touches_only_its_partitions_and_repeats_safely(spark,
     untouched = set((tmp_path / "t" / "day=2024-02-01").iterdir())
     updates = frame(spark, (2, d(1), 20), (9, d(3), 9))
     for _ in range(2):
-        incremental.upsert_partitions(spark, path, updates, ["k", "day"], "day")
+        incremental.upsert_partitions(spark, path, updates, ["k", "day"], "day", "v")
         assert rows(spark.read.schema(SCHEMA).parquet(path), "k", "v") == [(1, 1), (2, 20), (3, 3), (9, 9)]
     assert set((tmp_path / "t" / "day=2024-02-01").iterdir()) == untouched
 
@@ -61,8 +62,8 @@ def test_streamed_upserts_equal_batch(spark, rows, tmp_path):
     for wave in waves:
         wave.coalesce(1).write.mode("append").parquet(feed)
         stream = incremental.stream_files(spark, feed, base.schema)
-        incremental.run_upserts(stream, path, checkpoint, ["k", "day"], "day")
-        expected = incremental.upsert(expected, wave, ["k", "day"])
+        incremental.run_upserts(stream, path, checkpoint, ["k", "day"], "day", "v")
+        expected = incremental.upsert(expected, wave, ["k", "day"], "v")
     assert rows(spark.read.schema(SCHEMA).parquet(path), "k", "day", "v") == rows(expected, "k", "day", "v")
 
 
@@ -72,11 +73,44 @@ def test_latest_per_key_stream_equals_batch(spark, rows, tmp_path):
     for start in (0, 100):  # the second wave holds older and newer rows of known keys
         frame(spark, *data[start:start + 100]).repartition(3).write.mode("append").parquet(feed)
         stream = incremental.stream_files(spark, feed, frame(spark, data[0]).schema, maxFilesPerTrigger=2)
-        incremental.run_to_folder(incremental.stream_latest(stream, "k", ["day", "v"], ["day", "v"]), out, checkpoint)
-    got = rows(incremental.newest_updates(spark, out, "k"), "k", "day", "v")
+        latest = incremental.stream_latest(stream, "k", ["day", "v"], ["day", "v"])
+        incremental.run_latest_table(latest, out, checkpoint, "k", buckets=3)
+    got = rows(incremental.latest_table(spark, out, latest.schema), "k", "day", "v")
     assert got == rows(dedupe.last_after_sort(frame(spark, *data), "k", ["day", "v"]), "k", "day", "v")
 
 
+def test_files_of_a_latest_table_do_not_grow_with_the_batches(spark, tmp_path):
+    feed, out, checkpoint = (str(tmp_path / n) for n in ("feed", "out", "cp"))
+    files = []
+    for wave in range(20):
+        frame(spark, *[(k, d(1 + wave // 2), wave) for k in range(6)]).coalesce(1).write.mode("append").parquet(feed)
+        stream = incremental.stream_files(spark, feed, frame(spark, (0, d(1), 0)).schema)
+        latest = incremental.stream_latest(stream, "k", ["day", "v"], ["day", "v"])
+        incremental.run_latest_table(latest, out, checkpoint, "k", buckets=2, state_partitions=2)
+        if wave in (1, 19):
+            files.append(len(spark.read.parquet(out).inputFiles()))
+    assert files[1] <= files[0] <= 4
+    assert sorted(r["v"] for r in incremental.latest_table(spark, out, latest.schema).collect()) == [19] * 6
+
+
+def test_one_key_twice_in_a_batch(spark, rows):
+    current, updates = frame(spark, (1, d(1), 1), (2, d(1), 5)), frame(spark, (1, d(1), 8), (1, d(1), 7))
+    assert rows(incremental.upsert(current, updates, "k", "v"), "k", "v") == [(1, 8), (2, 5)]
+    with pytest.raises(ValueError, match="order"):
+        incremental.upsert(current, updates, "k", ())
+
+
+def test_only_touched_partitions_are_read(spark, tmp_path):
+    path = str(tmp_path / "table")
+    frame(spark, (1, d(1), 1), (2, d(2), 2)).write.partitionBy("day").parquet(path)
+    found = incremental.touched_rows(spark, path, frame(spark, (1, d(1), 1)).schema, "day", [d(2)])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "2024-02-01" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert len(found.inputFiles()) <= 2 and found.count() == 1
+    with_null = incremental.touched_rows(spark, path, frame(spark, (1, d(1), 1)).schema, "day", [None])
+    assert with_null.count() == 0
+
+
 def test_a_checkpoint_is_the_high_water_mark(spark, tmp_path):
     feed, out, checkpoint = (str(tmp_path / n) for n in ("feed", "out", "cp"))
     for wave in range(3):

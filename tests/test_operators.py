@@ -105,6 +105,8 @@ def test_pivot_round_trip_and_value_bound(spark, rows):
     assert rows(aggs.unpivot_longer(wide, "id", ["a", "b"]).dropna()) == [(1, "a", 5), (1, "b", 6), (2, "a", 7)]
     with pytest.raises(ValueError):
         aggs.pivot_wider(df, "id", "n", "v", max_values=1)
+    with pytest.raises(Exception, match="not listed"):
+        aggs.pivot_wider(df, "id", "n", "v", [df.first()["n"]]).collect()
 
 
 def test_percent_drop_and_lump(spark, rows):

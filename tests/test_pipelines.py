@@ -34,7 +34,7 @@ def register(spark):
 
 def test_domestic_view(register, rows):
     certs, postcodes, tenure, imd, authorities = register
-    view = certificates.domestic_view(certs, postcodes, tenure, imd, authorities)
+    view = certificates.domestic_view(certs, postcodes, tenure, imd, authorities, postcode_columns=postcodes.columns)
     assert len(set(view.columns)) == len(view.columns)
     got = rows(view, "lmk_key", "lsoa21", "owned", "imd19", "ladnm", "nominal_construction_year", "construction_epoch", "lodgement_year")
     assert got == [
@@ -47,7 +47,7 @@ def test_domestic_view(register, rows):
 
 def test_domestic_view_of_a_region_leaves_out_moved_properties(register, rows):
     certs, postcodes, tenure, imd, authorities = register
-    view = certificates.domestic_view(certs, postcodes, tenure, imd, authorities, "West")
+    view = certificates.domestic_view(certs, postcodes, tenure, imd, authorities, "West", postcodes.columns)
     assert rows(view, "lmk_key", "cauthnm") == [("l2", "West"), ("l3", "West")]
 
 
@@ -65,7 +65,7 @@ def test_portal_view_numbers_rows_in_key_order(register, rows):
     dated = certs.withColumn("n_nominal_construction_date", F.lit(1925))
     tenure = tenure.withColumnRenamed("lsoa21cd", "lsoacd")
     imd = tenure.select("lsoacd", F.lit(3).alias("imd_decile"))
-    view = certificates.portal_view(dated, postcodes, tenure, imd, authorities, "West")
+    view = certificates.portal_view(dated, postcodes, tenure, imd, authorities, "West", postcodes.columns)
     assert rows(view, "rowname", "lmk_key", "n_imd_decile", "construction_epoch")[0] == (1, "l1", 3, "1900 - 1930")
     assert [r[0] for r in rows(view, "rowname")] == [1, 2, 3, 4, 5]
 
@@ -176,7 +176,10 @@ def test_sites_and_tracker_and_tenure(spark, rows):
     assert (site.site_id, site.latitude, site.colocated, site.thumbnail_photo) == (7, 51.5, 0, "base/thumbs/7.jpg")
     sheet = spark.createDataFrame([(1, "do", "x"), (2, None, "y")], "ID int, Action string, `Action areas` string")
     tracker = indicators.action_tracker({"instructions": sheet, "Climate Resilience ": sheet}, ["instructions"],
-                                        {"Climate Resilience ": "Climate Resilience"})
+                                        {"Climate Resilience ": "Climate Resilience"},
+                                        columns=["pillar", "action_areas", "id", "action"])
+    with pytest.raises(Exception, match="update_for_march_2024"):
+        indicators.action_tracker({"s": sheet}).collect()
     assert rows(tracker, "pillar", "action_areas", "id", "action") == [("Climate Resilience ", "Climate Resilience", "1", "do")]
     tenure = spark.createDataFrame([("A", "S1", "Owned: Total", 5), ("A", "S1", "Private rented", 7)],
                                    "GEOGRAPHY_NAME string, GEOGRAPHY_CODE string, C2021_TENURE_9_NAME string, OBS_VALUE bigint")

@@ -39,6 +39,13 @@ def test_tolerant_csv_keeps_rows_and_quarantines_lines(spark, rows, folder):
     assert rows(bad, "line") == [("2,two,many",), ("x,three,3",)]
 
 
+def test_flag_is_right_in_a_narrow_selection(spark, folder):
+    path = folder(a="id,name,n\n1,one,10\n2,two,many\nx,three,3\n")
+    parsed = readers.read_tolerant_csv(spark, path, SHAPE)
+    flags = {r["name"]: r["bad"] for r in parsed.selectExpr("name", f"{readers.CORRUPT} IS NOT NULL AS bad").collect()}
+    assert flags == {"one": False, "two": True, "three": True}
+
+
 def test_bad_bytes_are_tolerated(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(b"id,name,n\n1,caf\xe9,2\n")
     row = readers.read_tolerant_csv(spark, str(tmp_path), SHAPE).first()
