@@ -204,15 +204,14 @@ def _(t):
 @query("f08_rows_at_max", """
 SELECT o_orderkey, o_custkey FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)""")
 def _(t):
-    return filters.at_maximum(t.orders, F.year("o_orderdate")).select("o_orderkey", "o_custkey")
+    return filters.in_latest_year(t.orders, "o_orderdate").select("o_orderkey", "o_custkey")
 
 
 @query("f09_rows_at_extremes", """
 SELECT o_orderkey, year(o_orderdate)::INTEGER AS year FROM orders
 WHERE year(o_orderdate) IN ((SELECT min(year(o_orderdate)) FROM orders), (SELECT max(year(o_orderdate)) FROM orders))""")
 def _(t):
-    dated = t.orders.select("o_orderkey", F.year("o_orderdate").alias("year"))
-    return filters.at_extremes(dated, "year")
+    return filters.in_extreme_years(t.orders, "o_orderdate").select("o_orderkey", F.year("o_orderdate").alias("year"))
 
 
 @query("f10_boolean_predicate", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 100000")

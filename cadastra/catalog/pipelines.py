@@ -7,9 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from cadastra.catalog.registry import Tables, query
 from cadastra.catalog.standins import UNTIED, band_sql, band_text, epoch_sql, range_year_sql, words, words_sql
 from cadastra.functions.bands import year_by_range
-from cadastra.functions.dates import last_complete_year
-from cadastra.operators import joins, quality
-from cadastra.operators.aggs import percent_drop
+from cadastra.operators import filters, joins, quality
+from cadastra.operators.aggs import column_values, percent_drop
 from cadastra.operators.joins import Lookup
 from cadastra.plans import certificates, indicators
 from cadastra.sources import readers, writers
@@ -151,26 +150,35 @@ SELECT l_orderkey AS uprn, l_returnflag AS source, l_partkey, strftime(l_shipdat
         floor((CAST(d[5:8] AS INTEGER) - CAST(d[1:4] AS INTEGER)) / 2) + CAST(d[1:4] AS INTEGER)
         ELSE CAST(d[1:4] AS INTEGER) END AS INTEGER) AS n_nominal_construction_date FROM b""")
 def _(t):
+    # One folder of files per source, read tolerantly by the key in their path.
+    path = fresh_dir(t.spark, "i04")
     certs = t.lineitem.select(
-        F.col("l_orderkey").alias("uprn"), F.col("l_returnflag").alias("source"),
-        F.col("l_shipdate").alias("lodgement_datetime"), "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+        F.col("l_returnflag").alias("la"), F.col("l_orderkey").alias("uprn"), F.col("l_shipdate").alias("lodgement_datetime"),
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", F.lit("unused").alias("unused"),
         words(_TENURE_WORDS, "l_returnflag").alias("tenure"), band_text("l_partkey").alias("construction_age_band"),
     )
-    clean = certificates.ingest(certs, "source", _INGEST_ORDER)
+    writers.rebalanced(certs, ["la"]).write.partitionBy("la").option("header", True).csv(path)
+    file_columns = [c for c in certs.columns if c != "la"]
+    subset = certs.drop("la", "unused").schema
+    found = readers.read_by_path_key(
+        lambda p: readers.read_subset_csv(t.spark, p, subset, file_columns), path, r"/la=([^/]+)/",
+        column_values(t.lineitem, "l_returnflag"), "source",
+    )
+    clean = certificates.ingest(found, "source", _INGEST_ORDER)
     return clean.select("uprn", "source", "l_partkey", "date", "year", "month", "tenure_epc", "n_nominal_construction_date")
 
 
 # --- weighted scores -------------------------------------------------------------------------
 
 
-def _scored_properties(t: Tables) -> DataFrame:
+def _scored_properties(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     # Customers and nations join the orders, and the large line table then meets one lookup.
     customers = joins.enrich(
         t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"),
         Lookup(t.nation, {"c_nationkey": "n_nationkey"}, ["n_name"], "inner"),
     )
     orders = joins.enrich(
-        t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"),
+        (t.orders if orders is None else orders).select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"),
         Lookup(customers, {"o_custkey": "c_custkey"}, ["n_name", "c_mktsegment"], "inner"),
     )
     line = t.lineitem.select("l_orderkey", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice")
@@ -196,10 +204,9 @@ y AS (SELECT year(d) - CASE WHEN month(d) = 12 AND day(d) = 31 THEN 0 ELSE 1 END
 @query("i05_deprivation_weighted_scores", _SCORES_SQL + """
 SELECT cauthnm, year, round(weighted_score, 4) AS weighted_score FROM w, y WHERE year BETWEEN last_year - 10 AND last_year""")
 def _(t):
-    scores = indicators.deprivation_weighted_scores(_scored_properties(t))
-    last = t.orders.select(last_complete_year(F.max("o_orderdate"))).scalar()
-    recent = scores.where(F.col("year").between(last - 10, last))
-    return recent.withColumn("weighted_score", F.round("weighted_score", 4))
+    # Eleven years in all, as bounds on the stored date, before anything is joined.
+    scores = indicators.deprivation_weighted_scores(_scored_properties(t, filters.trailing_years(t.orders, "o_orderdate", 10)))
+    return scores.withColumn("weighted_score", F.round("weighted_score", 4))
 
 
 _ORDINAL_SQL = """CASE WHEN place % 100 BETWEEN 11 AND 13 THEN 'th' WHEN place % 10 = 1 THEN 'st'
@@ -210,8 +217,8 @@ _ORDINAL_SQL = """CASE WHEN place % 100 BETWEEN 11 AND 13 THEN 'th' WHEN place %
 p AS (SELECT cauthnm, year, rank() OVER (ORDER BY weighted_score DESC) AS place FROM w, y WHERE year = last_year)
 SELECT cauthnm, year, CAST(place AS DOUBLE) AS place, place || {_ORDINAL_SQL} AS place_text FROM p""")
 def _(t):
-    last = t.orders.select(last_complete_year(F.max("o_orderdate"))).scalar()
-    scores = indicators.deprivation_weighted_scores(_scored_properties(t).where(F.col("year") <= last))
+    # Only the last complete year is joined and aggregated.
+    scores = indicators.deprivation_weighted_scores(_scored_properties(t, filters.trailing_years(t.orders, "o_orderdate", 0)))
     return indicators.latest_places(scores, "weighted_score").select("cauthnm", "year", "place", "place_text")
 
 
@@ -287,9 +294,9 @@ def _(t):
 # --- emissions -------------------------------------------------------------------------------
 
 
-def _emissions(t: Tables) -> DataFrame:
+def _emissions(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     """Order totals as emissions of the customer's nation; account balance as population."""
-    yearly = t.orders.groupBy(
+    yearly = (t.orders if orders is None else orders).groupBy(
         "o_custkey", F.year("o_orderdate").alias("calendar_year"), F.col("o_orderpriority").alias("la_ghg_sub_sector")
     ).agg(F.sum("o_totalprice").alias("territorial_emissions_kt_co2e"))
     joined = joins.enrich(yearly, Lookup(t.customer, {"o_custkey": "c_custkey"}, ["c_nationkey"], "inner"))
@@ -319,10 +326,12 @@ WITH las AS (SELECT CAST(n_nationkey AS VARCHAR) AS ladcd, r_name AS cauthnm FRO
            GROUP BY ALL)"""
 
 
-def _per_capita(t: Tables) -> DataFrame:
-    sub_sectors = ["1-URGENT", "2-HIGH"]
+_SUB_SECTORS = ["1-URGENT", "2-HIGH"]
+
+
+def _per_capita(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     return indicators.emissions_per_capita(
-        _emissions(t), _members(t), sub_sectors, [("0", "EUROPE")], ("EUROPE", "EUROPE (inc 0)")
+        _emissions(t, orders), _members(t), _SUB_SECTORS, [("0", "EUROPE")], ("EUROPE", "EUROPE (inc 0)")
     )
 
 
@@ -339,7 +348,9 @@ r AS (SELECT cauthnm, calendar_year, rank() OVER (ORDER BY amount / population D
       WHERE calendar_year = (SELECT max(calendar_year) FROM p))
 SELECT cauthnm, calendar_year, CAST(place AS DOUBLE) AS place, place || {_ORDINAL_SQL} AS place_text FROM r""")
 def _(t):
-    places = indicators.latest_places(_per_capita(t), "per_capita", "calendar_year")
+    # The latest year of these sub-sectors is found first; only its orders are joined and aggregated.
+    latest = filters.in_latest_year(t.orders.where(F.col("o_orderpriority").isin(*_SUB_SECTORS)), "o_orderdate")
+    places = indicators.latest_places(_per_capita(t, latest), "per_capita", "calendar_year")
     return places.select("cauthnm", "calendar_year", "place", "place_text")
 
 
@@ -347,7 +358,8 @@ _SECTORS = ["PROMO", "LARGE", "SMALL"]
 
 
 def _sector_totals(t: Tables) -> DataFrame:
-    line = t.lineitem.groupBy("l_partkey", F.year("l_shipdate").alias("calendar_year")).agg(
+    recent = filters.in_years(t.lineitem, "l_shipdate", 1996)  # what sector_totals keeps, as a bound on the stored date
+    line = recent.groupBy("l_partkey", F.year("l_shipdate").alias("calendar_year")).agg(
         F.sum("l_extendedprice").alias("territorial_emissions_kt_co2e")
     )
     parts = Lookup(t.part, {"l_partkey": "p_partkey"}, ["p_type", "p_brand"], "inner")
@@ -597,7 +609,7 @@ SELECT (SELECT count(DISTINCT o_orderpriority) FROM p) AS n_operators, (SELECT c
     (SELECT count(DISTINCT o_custkey) FROM p WHERE o_custkey NOT IN (SELECT o_custkey FROM r)) AS n_published_not_registered""")
 def _(t):
     registers = [
-        t.orders.where(F.year("o_orderdate") == year).select(
+        filters.in_years(t.orders, "o_orderdate", year, year).select(
             F.col("o_orderpriority").alias("operator"), F.col("o_custkey").alias("service_code"),
             F.col("o_custkey").alias("licence_number"),
             F.when(F.col("o_orderstatus") == "F", "2.4").otherwise("2.1").alias("schema_version"),

@@ -30,6 +30,37 @@ def at_extremes(df: DataFrame, value: ColumnLike) -> DataFrame:
     return df.where((as_col(value) == minimum(df, value)) | (as_col(value) == maximum(df, value)))
 
 
+def in_years(df: DataFrame, date: str, first, last=None) -> DataFrame:
+    """Rows of the years ``first`` to ``last`` (integers or scalar columns; ``None``: without end).
+
+    Compares the stored column itself, so that files and row groups outside are skipped.
+    """
+    kind = df.schema[date].dataType
+
+    def start(year) -> Column:
+        return F.make_date(F.lit(year), F.lit(1), F.lit(1)).cast(kind)
+
+    rows = df.where(F.col(date) >= start(first))
+    return rows if last is None else rows.where(F.col(date) < start(last + 1))
+
+
+def _year_edge(df: DataFrame, end: Column, months: int = 0) -> Column:
+    """First day of the year of a bound, some months on, as a scalar."""
+    return df.select(F.add_months(F.trunc(end, "year"), months)).scalar()
+
+
+def in_latest_year(df: DataFrame, date: str) -> DataFrame:
+    """Rows of the calendar year of the latest date of the whole table."""
+    return df.where(F.col(date) >= _year_edge(df, F.max(date)).cast(df.schema[date].dataType))
+
+
+def in_extreme_years(df: DataFrame, date: str) -> DataFrame:
+    """Rows of the first or the last calendar year of the whole table."""
+    kind = df.schema[date].dataType
+    second, last = _year_edge(df, F.min(date), 12), _year_edge(df, F.max(date))
+    return df.where((F.col(date) < second.cast(kind)) | (F.col(date) >= last.cast(kind)))
+
+
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """``n`` rows (all, if there are fewer) by a seeded hash of the key, which must identify rows.
 

@@ -40,8 +40,9 @@ def domestic_view(
     latest = dedupe.latest_with_ties(certs, "uprn", "lodgement_datetime", among=members)
     geography = joins.enrich(
         postcodes.select(*postcode_columns),
-        Lookup(tenure, {"lsoa21": "lsoa21cd"}, _others(tenure, "lsoa21cd"), prefix="tenure"),
-        Lookup(imd, {"lsoa11": "lsoa11cd"}, _others(imd, "lsoa11cd"), prefix="imd"),
+        # With their keys: an area that the lookup does not know differs from an unknown postcode.
+        Lookup(tenure, {"lsoa21": "lsoa21cd"}, tenure.columns, prefix="tenure"),
+        Lookup(imd, {"lsoa11": "lsoa11cd"}, imd.columns, prefix="imd"),
     )
     arms = [Lookup(geography, {"postcode": "pcds"}, geography.columns, prefix="pc")]
     if authorities is not None:

@@ -66,7 +66,10 @@ def load(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> str:
 
 
 def define_views(spark: SparkSession, root: str, region: str) -> list[str]:
-    """Views over the newest published tables: domestic, domestic of a region, non-domestic of a region."""
+    """Views over the newest published tables: domestic, domestic of a region, non-domestic of a region.
+
+    A view reads the versions that are newest when it is defined. Call this again after a load.
+    """
     domestic, non_domestic, postcodes, tenure, imd, authorities = (
         writers.published_table(spark, root, name)
         for name in ("domestic", "non_domestic", "postcodes", "tenure", "imd", "authorities")
