@@ -235,17 +235,19 @@ def register_report(published: DataFrame, registered: DataFrame) -> DataFrame:
         F.countDistinct("service_code").alias("n_service_codes"),
         (F.avg(valid) * 100).alias("schema_2_4_pct"),
     )
-    licences = joins.matched_share(registered, published, "licence_number").select(
-        F.col("matched_pct").alias("published_licence_pct")
-    )
-    services = joins.presence(published, registered, "service_code").agg(
-        F.count_if((F.col("in_a") == 0) & (F.col("in_b") == 1)).alias("n_registered_not_published"),
-        F.count_if((F.col("in_a") == 1) & (F.col("in_b") == 0)).alias("n_published_not_registered"),
-    )
-    return counts.select(
-        "*",
-        *[part.select(c).scalar().alias(c) for part in (licences, services) for c in part.columns],
+    # Both kinds of key in one comparison: each register is scanned once for it.
+    kinds = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("key")) for c in ("service_code", "licence_number")
+    ])).alias("k")
+    both = joins.presence(*[df.select(kinds).select("k.*") for df in (published, registered)], ["kind", "key"])
+    licence, service = F.col("kind") == "licence_number", F.col("kind") == "service_code"
+    compared = both.agg(
+        (F.avg(F.when(licence & (F.col("in_b") == 1), F.col("in_a"))) * 100).alias("published_licence_pct"),
+        F.count_if(service & (F.col("in_a") == 0)).alias("n_registered_not_published"),
+        F.count_if(service & (F.col("in_b") == 0)).alias("n_published_not_registered"),
     )
+    row = compared.select(F.struct(*compared.columns)).scalar()
+    return counts.select("*", row.alias("__row")).select(*counts.columns, "__row.*")
 
 
 def tenure_wide(tenure: DataFrame, tenures: list[str] | None = None) -> DataFrame:
