@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cadastra.operators import aggs, filters, joins, quality, sets, windows
+from cadastra.operators import aggs, filters, joins, names, quality, sets, windows
 from cadastra.operators.joins import Lookup
 
 
@@ -148,3 +148,26 @@ def test_profile_and_notes(spark):
     assert got["s"].null_percentage == pytest.approx(100 / 3)
     noted = quality.column_notes(quality.with_column_notes(df, {"n": {"unit": "kWh"}})).collect()
     assert [(r.column_name, r.unit, r.n_values) for r in noted] == [("n", "kWh", 3), ("s", None, 2)]
+
+
+def test_year_window_gates(spark, rows):
+    quality.require_between(2020, 2019, 2021, "year")
+    for wrong in (2018, 2022, None):
+        with pytest.raises(quality.GateError, match="year must lie between"):
+            quality.require_between(wrong, 2019, 2021, "year")
+    df = spark.createDataFrame([(2019,), (2018,), (None,), (2018,)], "y int")
+    assert rows(quality.outside_window(df, "y", 2019, 2021), "y") == [(2018,), (None,)]
+
+
+def test_names_of_found_values(spark):
+    df = spark.createDataFrame([("Semi-Detached",), ("Flat",), (None,)], "form string")
+    assert names.value_names(df, "form", "d_") == {"d_flat": "Flat", "d_semi_detached": "Semi-Detached"}
+    with pytest.raises(ValueError, match="share a name"):
+        names.value_names(df.unionAll(spark.createDataFrame([("flat",)], "form string")), "form")
+
+
+def test_sample_does_not_depend_on_partitions(spark, rows):
+    df = spark.range(1000)
+    one, two = (rows(filters.sample_rows(d, "id", 40, 7), "id") for d in (df, df.repartition(9)))
+    assert one == two and len(one) == 40 and rows(filters.sample_rows(df, "id", 40, 8), "id") != one
+    assert filters.sample_rows(df, "id", 5000).count() == 1000

@@ -196,3 +196,14 @@ def test_catalog_table_is_replaced(spark, tmp_path):
 def test_rename_update_batch(spark):
     out = writers.conform_update(spark.createDataFrame([(1,)], "`lmk-key` int"), "2024/01/01 00:00:00")
     assert out.columns == ["LMK_KEY", "filename"] and out.first().filename == "update - 2024/01/01 00:00:00"
+
+
+def test_carried_geometry_and_code_list(spark):
+    df = spark.createDataFrame([(1, '{"type":"Point","coordinates":[1,2]}'), (2, None)], "id int, shape string")
+    values = sorted(r["value"] for r in writers.geojson_carried(df, "shape", ["id"]).collect())
+    assert values == [
+        '{"type":"Feature","geometry":null,"properties":{"id":2}}',
+        '{"type":"Feature","geometry":{"type":"Point","coordinates":[1,2]},"properties":{"id":1}}',
+    ]
+    codes = spark.createDataFrame([("E2",), ("E1",), ("E2",)], "code string")
+    assert writers.json_list(codes, "code").first()["value"] == '["E1","E2"]'
