@@ -126,6 +126,20 @@ def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+_BASE32_SQL = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(hexa, 5 * i + 1, 5))::BIGINT) >> {bits}) & 31)::INTEGER + 1, 1)"
+    for bits in (15, 10, 5, 0)
+)
+ORACLES["op8_warc_revisits"] = f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS hexa FROM pages
+), firsts AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM payloads)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes, array_to_string(list_transform(range(8), lambda i: {_BASE32_SQL}), '') AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM firsts
+"""
+
+
 
 @register
 def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
