@@ -1,21 +1,22 @@
 """Token counts under a unigram model over the pieces of a public vocabulary.
 
 A word is cut into the pieces whose log-probabilities add up to most. The best score of a prefix does
-not depend on what follows, so the distinct words of a task are inserted into a trie and the forward
-step is done once per trie node; the node a word ends in holds its number of tokens. Documents then
-only add up the counts of their words. No shuffle: what travels is one row per document.
-
-The trie lives as long as the Python worker's task. It is emptied when it has ``max_nodes`` nodes,
-and words longer than :data:`LONGEST_SHARED` are scored by the same step without being inserted, so
-its memory is bounded.
+not depend on what follows, so the distinct words of a batch are put into a trie and the forward step is
+done once per trie node; the node a word ends in holds its number of tokens. Documents then only add up
+the counts of their words. No shuffle: what travels is one row per document.
+
+The trie is laid out by depth. In sorted words, those of one prefix stand together and the first of them
+stands for the node; a level is one pass of array operations over its nodes, with the levels above as
+input. Words are taken in blocks of :data:`BLOCK`, and words longer than :data:`LONGEST_SHARED` one at a
+time by the same step, so memory is bounded.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -23,7 +24,10 @@ from cadastra.llm.words import arrow_schema, rows_of, text_bytes
 
 WORD_START = "▁"
 LONGEST_SHARED = 64
-_KEEP_WORDS = 1 << 18
+BLOCK = 1 << 15
+_KEEP_WORDS = 1 << 19
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_LETTER = np.uint64(0xD6E8FEB86659FD93)
 
 
 def zipf_scores(pieces: list[str]) -> dict[str, float]:
@@ -48,81 +52,107 @@ def piece_scores(model_file: str) -> dict[str, float]:
 
 
 class PieceTrie:
-    """Forward scores and token counts of all prefixes met so far."""
+    """Numbers of tokens of words under given scores of pieces."""
 
-    def __init__(self, scores: Mapping[str, float], max_nodes: int = 400_000):
-        self.scores, self.max_nodes = scores, max_nodes
+    def __init__(self, scores: Mapping[str, float]):
+        self.scores = scores
         self.longest = max(map(len, scores), default=1)
         # A character outside the vocabulary becomes its UTF-8 bytes; each byte is dearer than any piece.
         self.byte = min(scores.values(), default=0.0) - 1.0
-        self._reset()
-
-    def _reset(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
-        self.forward: list[tuple[float, int]] = [(0.0, 0)]  # best score and its tokens, by node
-
-    def _step(self, word: str, end: int, path: list[tuple[float, int]]) -> tuple[float, int]:
-        """Best (score, tokens) of ``word[:end]`` from those of all shorter prefixes.
-
-        Equal scores are decided for fewer tokens.
-        """
-        width = len(word[end - 1].encode("utf-8", "surrogatepass"))
-        score, tokens = path[end - 1]
-        best = (score + width * self.byte, -(tokens + width))
-        known = self.scores
-        for begin in range(max(0, end - self.longest), end):
-            add = known.get(word[begin:end])
-            if add is not None:
-                score, tokens = path[begin]
-                if (score + add, -tokens - 1) > best:
-                    best = (score + add, -tokens - 1)
-        return best[0], -best[1]
-
-    def tokens(self, word: str) -> int:
-        """Number of tokens of a word."""
-        path = [self.forward[0]]
-        if len(word) > LONGEST_SHARED:
-            for end in range(1, len(word) + 1):
-                path.append(self._step(word, end, path))
-            return path[-1][1]
-        if len(self.forward) > self.max_nodes:
-            self._reset()
-        node = 0
-        for end, char in enumerate(word, start=1):
-            following = self.child.get((node, char))
-            if following is None:
-                following = self.child[node, char] = len(self.forward)
-                self.forward.append(self._step(word, end, path))
-            node = following
-            path.append(self.forward[node])
+        # Pieces by length, each as sorted hashes with their scores.
+        self.pieces: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for length in sorted(set(map(len, scores))):
+            some = [p for p in scores if len(p) == length]
+            letters = np.array([[ord(c) for c in p] for p in some], np.uint64)
+            hashed = np.zeros(len(some), np.uint64)
+            for place in range(length):
+                hashed = hashed * _BASE + (letters[:, place] + np.uint64(1)) * _LETTER
+            order = np.argsort(hashed)
+            self.pieces[length] = hashed[order], np.array([scores[p] for p in some])[order]
+
+    def count(self, words: Iterable[str]) -> dict[str, int]:
+        """Number of tokens of each word."""
+        counts, shared = {}, []
+        for word in words:
+            if len(word) > LONGEST_SHARED:
+                counts[word] = self._alone(word)
+            else:
+                shared.append(word)
+        shared.sort()  # by code point, so that words of one prefix stand together
+        for first in range(0, len(shared), BLOCK):
+            block = shared[first:first + BLOCK]
+            counts.update(zip(block, self._levels(block).tolist()))
+        return counts
+
+    def _levels(self, words: list[str]) -> np.ndarray:
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        depth = max(int(lengths.max(initial=0)), 1)
+        letters = np.array(words, dtype=f"U{depth}").view(np.uint32).reshape(len(words), depth)
+        widths = 1 + (letters >= 0x80).astype(np.int8) + (letters >= 0x800) + (letters >= 0x10000)
+        # Length of the prefix that a word has in common with the word before it.
+        shared = np.zeros(len(words), np.int64)
+        differs = np.concatenate([letters[1:] != letters[:-1], np.ones((len(words) - 1, 1), bool)], axis=1)
+        shared[1:] = np.minimum(differs.argmax(axis=1), np.minimum(lengths[1:], lengths[:-1]))
+        rows = np.arange(len(words))
+        hashes, scores, tokens = [np.zeros(len(words), np.uint64)], [np.zeros(len(words))], [np.zeros(len(words), np.int32)]
+        power = [np.uint64(1)]
+        for end in range(1, depth + 1):
+            power.append(np.uint64(int(power[-1]) * int(_BASE) & 0xFFFFFFFFFFFFFFFF))
+            hashes.append(hashes[-1] * _BASE + (letters[:, end - 1].astype(np.uint64) + np.uint64(1)) * _LETTER)
+            node = np.flatnonzero((shared < end) & (lengths >= end))
+            width = widths[node, end - 1]
+            best, fewest = scores[end - 1][node] + width * self.byte, tokens[end - 1][node] + width
+            for length, (known, value) in self.pieces.items():
+                if length > end:
+                    break
+                piece = hashes[end][node] - hashes[end - length][node] * power[length]
+                at = np.minimum(np.searchsorted(known, piece), len(known) - 1)
+                hit = np.flatnonzero(known[at] == piece)
+                score = scores[end - length][node[hit]] + value[at[hit]]
+                count = tokens[end - length][node[hit]] + 1
+                better = (score > best[hit]) | ((score == best[hit]) & (count < fewest[hit]))
+                best[hit[better]], fewest[hit[better]] = score[better], count[better]
+            all_best, all_fewest = np.zeros(len(words)), np.zeros(len(words), np.int32)
+            all_best[node], all_fewest[node] = best, fewest
+            stands_for = np.maximum.accumulate(np.where((shared < end) & (lengths >= end), rows, 0))
+            scores.append(all_best[stands_for])
+            tokens.append(all_fewest[stands_for])
+        return np.stack(tokens)[lengths, rows]
+
+    def _alone(self, word: str) -> int:
+        """The same step for one word."""
+        path = [(0.0, 0)]
+        for end in range(1, len(word) + 1):
+            width = len(word[end - 1].encode("utf-8", "surrogatepass"))
+            best = path[end - 1][0] + width * self.byte, -(path[end - 1][1] + width)
+            for begin in range(max(0, end - self.longest), end):
+                add = self.scores.get(word[begin:end])
+                if add is not None:
+                    best = max(best, (path[begin][0] + add, -path[begin][1] - 1))
+            path.append((best[0], -best[1]))
         return path[-1][1]
 
 
-def _counter(scores: dict[str, float], max_nodes: int):
+def _counter(scores: dict[str, float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema("id long, n_words long, n_tokens long")
-        trie, known = PieceTrie(scores, max_nodes), {}
+        trie, known = PieceTrie(scores), {}
         for batch in batches:
-            words, tokens = [], []
-            for text in text_bytes(batch.column(1)):
-                counts = Counter(text.split())
-                total = 0
-                # Sorted, so that words of one prefix walk the same part of the trie one after another.
-                for word in sorted(counts.keys() - known.keys()):
-                    known[word] = trie.tokens(WORD_START + word.decode())
-                for word, times in counts.items():
-                    total += known[word] * times
-                words.append(counts.total())
-                tokens.append(total)
-                if len(known) > _KEEP_WORDS:
-                    known.clear()
-            yield rows_of(schema, {"id": batch.column(0), "n_words": words, "n_tokens": tokens})
+            texts = [text.split() for text in text_bytes(batch.column(1))]
+            new = {word for words in texts for word in words if word not in known}
+            spelled = {word: WORD_START + word.decode(errors="replace") for word in new}
+            counts = trie.count(set(spelled.values()))
+            known.update((word, counts[text]) for word, text in spelled.items())
+            sums = [sum(map(known.__getitem__, words)) for words in texts]
+            yield rows_of(schema, {"id": batch.column(0), "n_words": [len(w) for w in texts], "n_tokens": sums})
+            if len(known) > _KEEP_WORDS:
+                known.clear()
 
     return run
 
 
 def count_tokens(
-    documents: DataFrame, scores: dict[str, float], id: str = "doc_id", text: str = "text", max_nodes: int = 400_000,
+    documents: DataFrame, scores: dict[str, float], id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """One row per document: id, ``n_words`` and ``n_tokens``.
 
@@ -132,7 +162,7 @@ def count_tokens(
     shared = documents.sparkSession.sparkContext.broadcast(scores)  # one vocabulary, a few MB at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _counter(shared.value, max_nodes)(batches)
+        yield from _counter(shared.value)(batches)
 
     rows = documents.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "id bigint, n_words bigint, n_tokens bigint").withColumnRenamed("id", id)
