@@ -71,13 +71,14 @@ def _header(name: str, value: Column) -> Column:
 
 def write_archive(
     pages: DataFrame, path: str, id: str = "page_id", url: str = "url", payload: str = "html", min_bytes: int = 0,
-    date: str = "2000-01-01T00:00:00Z", records_per_file: int = 200_000,
+    date: str = "2000-01-01T00:00:00Z", records_per_file: int = 20_000, compression: str = "gzip",
 ) -> str:
     """Write one record per page below ``path`` and return the id of the archive.
 
     A null payload is empty. A null id or address leaves its header out; white space and control
     characters in an address become ``%20``, so that no address can add a header. Repeated rows
-    give repeated records. Other columns are not carried. Files hold ``records_per_file`` records at most.
+    give repeated records. Other columns are not carried. Files hold ``records_per_file`` records at most,
+    which also bounds the task that reads a compressed one; ``compression`` is ``gzip`` or ``none``.
     """
     archive = uuid.uuid4().hex  # later than all payloads, so that no payload holds it
     address = F.regexp_replace(F.col(url), r"[\x00-\x20\x7f]", "%20")
@@ -109,8 +110,8 @@ def write_archive(
     )
     # The text writer puts the bytes of a value as they are, and the empty lines between records behind it.
     whole = F.concat(F.lit(VERSION + CRLF).cast("binary"), head.cast("binary"), block).cast("string")
-    writer = records.select(whole.alias("value")).write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", records_per_file)
-    writer.text(path)
+    writer = records.select(whole.alias("value")).write.option("lineSep", CRLF * 2).option("compression", compression)
+    writer.option("maxRecordsPerFile", records_per_file).text(path)
     return archive
 
 

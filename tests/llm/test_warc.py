@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from pathlib import Path
 
@@ -35,6 +36,8 @@ def test_round_trip(spark):
     for least in (0, 9, 10**9):
         got = warc.archive_round_trip(df, min_bytes=least)
         assert sorted((tuple(r) for r in got.collect()), key=str) == expected(PAGES, least)
+    plain = warc.archive_round_trip(df, compression="none")
+    assert sorted((tuple(r) for r in plain.collect()), key=str) == expected(PAGES)
     assert warc.archive_round_trip(df.limit(0)).collect() == []
 
 
@@ -44,7 +47,7 @@ def test_files_are_warc(spark, tmp_path):
     assert len(files) >= 3
     records = []
     for file in files:
-        data, at = file.read_bytes(), 0
+        data, at = gzip.decompress(file.read_bytes()), 0
         while at < len(data):
             end = data.index(b"\r\n\r\n", at)
             lines = data[at:end].decode().split("\r\n")
