@@ -39,11 +39,11 @@ from cadastra.sources.staging import stage
 SKETCH_BITS = 22
 _SKETCH_PART = 1 << 16
 BLOCK = 2000
-#: Bits in a posting of a pair; the bitmap of a text has about as many bits as the text has tokens.
-POSTING_BITS = 2048
+#: Most bits of the short bitmap in lists; the full one of a text has about as many bits as the text has tokens.
+LIST_BITS = 2048
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-_SURVEY = "doc_id long, size long, words binary, bits binary, part int, counts binary"
-_POSTING = "sig long, doc_id long, size int, before int, bits binary"
+_SURVEY = "doc_id long, size long, words binary, bits binary, few_bits binary, part int, counts binary"
+_POSTING = "sig long, doc_id long, size int, before int, pair boolean"
 
 
 def normal_words(text: bytes) -> list[bytes]:
@@ -76,16 +76,18 @@ def _survey(n: int):
         schema = arrow_schema(_SURVEY)
         hashes, table = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
-            sizes, keys, bits = [], [], []
+            sizes, keys, bits, few_bits = [], [], [], []
             for text in text_bytes(batch.column(1)):
                 words = normal_words(text)
                 found = tokens(words, n, hashes)
                 np.add.at(table, _cells(found), 1)
                 sizes.append(len(found))
                 bits.append(_bitmap(found, len(found)) if words else None)
+                few_bits.append(_folded(bits[-1], LIST_BITS // 8).tobytes() if words else None)
                 keys.append(hashlib.md5(b" ".join(words)).digest() if words else None)
             empty = [None] * len(sizes)
-            yield rows_of(schema, {"doc_id": batch.column(0), "size": sizes, "words": keys, "bits": bits, "part": empty, "counts": empty})
+            columns = {"doc_id": batch.column(0), "size": sizes, "words": keys, "bits": bits, "few_bits": few_bits}
+            yield rows_of(schema, columns | {"part": empty, "counts": empty})
         packer = zstandard.ZstdCompressor(level=1)
         for part in range(0, len(table), _SKETCH_PART):
             counts = table[part:part + _SKETCH_PART]
@@ -97,26 +99,30 @@ def _survey(n: int):
 
 
 def _sum_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the counts of one part after another (rows sorted by part), as 64-bit counts."""
+    """Sums of the counts of one part after another (rows sorted by part), cut at 32 bits."""
+
+    def done(part: int, total: np.ndarray) -> pa.RecordBatch:
+        return rows_of(schema, {"part": [part], "counts": [np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()]})
+
     schema, unpack = arrow_schema("part int, counts binary"), zstandard.ZstdDecompressor()
     now, total = None, None
     for batch in batches:
         for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
             if part != now:
                 if total is not None:
-                    yield rows_of(schema, {"part": [now], "counts": [total.tobytes()]})
+                    yield done(now, total)
                 now, total = part, np.zeros(_SKETCH_PART, np.uint64)
             total += np.frombuffer(unpack.decompress(counts.as_py()), np.uint32)
     if total is not None:
-        yield rows_of(schema, {"part": [now], "counts": [total.tobytes()]})
+        yield done(now, total)
 
 
-def frequency_classes(counts: np.ndarray) -> np.ndarray:
-    """Class of every cell as one byte: 0 rare, above that the more the higher the count.
+def frequency_classes(counts: np.ndarray, mean: float) -> np.ndarray:
+    """Class of some cells, one byte each: 0 rare, above that the more the higher the count.
 
     Rare is what does not stand out: up to twice the mean load of a cell and 32 more.
     """
-    limit = 32 + 2 * float(counts.mean())
+    limit = 32 + 2 * mean
     steps = np.ceil(np.log2(np.maximum(counts, 1) / limit)).clip(0, 63) + 1
     return np.where(counts > limit, steps, 0).astype(np.uint8)
 
@@ -133,8 +139,8 @@ def _bitmap(values: np.ndarray, size: int) -> bytes:
     return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
 
 
-def signatures(values: np.ndarray, classes: np.ndarray, percent: int) -> list[tuple[int, int, bytes | None]]:
-    """``(signature, own tokens before it, bitmap of pairs)`` of one set of tokens."""
+def signatures(values: np.ndarray, classes: np.ndarray, percent: int) -> list[tuple[int, int, bool]]:
+    """``(signature, own rare tokens before it, whether it is of a pair)`` of one set of tokens."""
     size = len(values)
     if not size:
         return []
@@ -143,22 +149,21 @@ def signatures(values: np.ndarray, classes: np.ndarray, percent: int) -> list[tu
     rare = values[kind == 0]
     # Two different mixings: one for the order, so that it is independent of the cells.
     rare = rare[np.argsort(mixed(rare), kind="stable")]
-    out: list[tuple[int, int, bytes | None]] = [(int(s), i, None) for i, s in enumerate(signed(mixed(rare[:needed])).tolist())]
+    out: list[tuple[int, int, bool]] = [(int(s), i, False) for i, s in enumerate(signed(mixed(rare[:needed])).tolist())]
     needed -= len(out)
     if needed <= 0:
         return out
     frequent = values[kind > 0]
     frequent = mixed(frequent[np.lexsort((mixed(frequent), kind[kind > 0]))])
     if size == 1:  # a partner has one token too
-        return [(int(signed(frequent ^ np.uint64(1))[0]), 0, None)]
-    bits = _folded(_bitmap(values, size), POSTING_BITS // 8).tobytes()
+        return [(int(signed(frequent ^ np.uint64(1))[0]), 0, False)]
     for level in {_level(size), _level(100 * size // percent)}:
         n_classes = max(1, (1 << level) * (100 - percent) // 200)
         members: list[list[int]] = [[] for _ in range(n_classes)]
         left = needed
         for token, class_ in zip(frequent.tolist(), (frequent % np.uint64(n_classes)).tolist()):
             pair = members[class_]
-            out += [(_pair(other, token, level), len(rare), bits) for other in pair]
+            out += [(_pair(other, token, level), len(rare), True) for other in pair]
             left -= bool(pair)
             pair.append(token)
             if not left:
@@ -191,10 +196,10 @@ def _post(n: int, percent: int, classes_of):
                 seen = seen if len(seen) < 1 << 20 else set()
                 seen.add(key)
                 values = tokens(words, n, hashes)
-                for sig, before, bits in signatures(values, classes, percent):
+                for sig, before, pair in signatures(values, classes, percent):
                     out["sig"].append(sig)
                     out["before"].append(before)
-                    out["bits"].append(bits)
+                    out["pair"].append(pair)
                 added = len(out["sig"]) - len(out["doc_id"])
                 out["doc_id"] += [doc_id] * added
                 out["size"] += [len(values)] * added
@@ -219,7 +224,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             same[0] = True
             if not done:
                 yield held
-        keep = same[:-1] | same[1:] | batch.column(4).is_valid().to_numpy(zero_copy_only=False)
+        keep = same[:-1] | same[1:] | batch.column(4).to_numpy(zero_copy_only=False)
         held, done = batch.slice(len(sig) - 1, 1), bool(keep[-1])
         if keep.any():
             yield batch.filter(pa.array(keep))
@@ -246,10 +251,9 @@ def list_pairs(rows: list[dict], percent: int) -> Iterator[tuple[int, int]]:
     rows.sort(key=lambda r: (r["size"], r["doc_id"]))
     count = len(rows)
     ids, size, before, comp, block = (np.array([r[c] for r in rows], np.int64) for c in ("doc_id", "size", "before", "component", "block"))
-    pairs = rows[0]["bits"] is not None
-    if pairs:
-        width = min(len(r["bits"]) for r in rows)
-        bits = np.stack([_folded(r["bits"], width) for r in rows])
+    pairs = rows[0]["pair"]
+    width = min(len(r["bits"]) for r in rows)
+    bits = np.stack([_folded(r["bits"], width) for r in rows])
     across = len(set(block.tolist())) > 1
     for i in range(count - 1):
         upto = np.searchsorted(size, 100 * size[i] // percent, "right")
@@ -258,10 +262,10 @@ def list_pairs(rows: list[dict], percent: int) -> Iterator[tuple[int, int]]:
             other = other[block[other] != block[i]]
         other = other[comp[other] != comp[i]]
         least = -(-percent * (size[i] + size[other]) // (100 + percent))  # least overlap of two similar sets
-        if pairs:
-            other = other[_popcount_differs(bits[i], bits[other]) <= size[i] + size[other] - 2 * least]
-        else:
-            other = other[np.minimum(size[i] - before[i], size[other] - before[other]) >= least]
+        if not pairs:  # in the list of the first token both have, all they share comes from there on
+            can = np.minimum(size[i] - before[i], size[other] - before[other]) >= least
+            other, least = other[can], least[can]
+        other = other[_popcount_differs(bits[i], bits[other]) <= size[i] + size[other] - 2 * least]
         for j in ids[other].tolist():
             yield (int(ids[i]), j) if ids[i] < j else (j, int(ids[i]))
 
@@ -290,11 +294,11 @@ def _cross(percent: int):
 def _lists(postings: DataFrame, nodes: DataFrame) -> DataFrame:
     """Postings of signatures that several different texts have, ids replaced by those of the first copy."""
     # Lists of rare tokens are short. Frequent pairs surely have partners: they need not meet here.
-    salt = F.when(F.col("bits").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.lit(1024))).otherwise(F.lit(0))
+    salt = F.when(F.col("pair"), F.pmod(F.xxhash64("doc_id"), F.lit(1024))).otherwise(F.lit(0))
     sorted_ = postings.repartition("sig", salt).sortWithinPartitions("sig")
     shared = stage(sorted_.mapInArrow(_shared, postings.schema), "lists")
     first = nodes.select(F.col("doc_id").alias("__id"), "node").distinct()
-    named = shared.join(first, F.col("doc_id") == F.col("__id")).select("sig", F.col("node").alias("doc_id"), "size", "before", "bits").distinct()
+    named = shared.join(first, F.col("doc_id") == F.col("__id")).select("sig", F.col("node").alias("doc_id"), "size", "before", "pair").distinct()
     named = stage(named, "lists")
     several = named.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1")
     return named.join(several, "sig")
@@ -310,21 +314,22 @@ def _hub_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return both.where(likely).select(F.col("hub.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
 
 
-def _open_pairs(lists: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one list that are in different components and can be similar."""
+def _open_pairs(lists: DataFrame, components: DataFrame, few_bits: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one list that are in different components and can be similar by size, position and bitmap."""
     known = components.select(F.col("node").alias("__node"), "component")
     rows = lists.drop("n").join(known, F.col("doc_id") == F.col("__node"), "left")
-    rows = rows.select("sig", "doc_id", "size", "before", "bits", F.coalesce("component", "doc_id").alias("component"))
+    rows = rows.select("sig", "doc_id", "size", "before", "pair", F.coalesce("component", "doc_id").alias("component"))
     open_ = rows.groupBy(F.col("sig").alias("__sig")).agg(
         F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("n")
     ).where("first < last")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = rows.join(open_.select("__sig", blocks.alias("blocks")), F.col("sig") == F.col("__sig"))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    named = few_bits.toDF("__id", "bits")
+    dealt = dealt.join(named, F.col("doc_id") == F.col("__id")).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     spread = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     spread = spread.select(
         "sig", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "doc_id", "size", "before", "bits", "component", "block",
+        "doc_id", "size", "before", "pair", "bits", "component", "block",
     )
     keyed = spread.repartition("sig", "low", "high").sortWithinPartitions("sig", "low", "high")
     return keyed.mapInArrow(_cross(percent), "a bigint, b bigint").distinct()
@@ -394,10 +399,12 @@ def _classes(spark: SparkSession, surveyed: DataFrame) -> Callable[[], np.ndarra
     """A function that gives the class table in a task. Its size is fixed: one byte per cell."""
     parts = surveyed.where("part is not null").select("part", "counts").repartition("part").sortWithinPartitions("part")
     sums = parts.mapInArrow(_sum_parts, "part int, counts binary").collect()  # 2**SKETCH_BITS counts in all
-    counts = np.zeros(1 << SKETCH_BITS, np.uint64)
-    for row in sums:
-        counts[row["part"]:row["part"] + _SKETCH_PART] = np.frombuffer(row["counts"], np.uint64)
-    shared = spark.sparkContext.broadcast(zstandard.compress(frequency_classes(counts).tobytes()))
+    parts = {row["part"]: np.frombuffer(row["counts"], np.uint32) for row in sums}
+    mean = sum(float(counts.sum(dtype=np.float64)) for counts in parts.values()) / (1 << SKETCH_BITS)
+    classes = np.zeros(1 << SKETCH_BITS, np.uint8)
+    for part, counts in parts.items():
+        classes[part:part + _SKETCH_PART] = frequency_classes(counts, mean)
+    shared = spark.sparkContext.broadcast(zstandard.compress(classes.tobytes()))
     return lambda: np.frombuffer(zstandard.decompress(shared.value), np.uint8)
 
 
@@ -415,7 +422,8 @@ def similar_documents(documents: DataFrame, id: str = "doc_id", text: str = "tex
     texts = documents.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     surveyed = stage(texts.mapInArrow(_survey(n), _SURVEY.replace("long", "bigint")), "survey")
     rows = surveyed.where("part is null").select("doc_id", "size", "words")
-    bitmaps = surveyed.where("part is null AND bits is not null AND doc_id is not null").select("doc_id", "size", "bits").distinct()
+    with_words = surveyed.where("part is null AND words is not null AND doc_id is not null")
+    bitmaps, few_bits = (with_words.select("doc_id", *columns).distinct() for columns in (("size", "bits"), ("few_bits",)))
     copies = rows.where("words is not null").groupBy(F.col("words").alias("__words")).agg(F.min("doc_id").alias("node"))
     nodes = rows.join(copies, F.col("words") == F.col("__words"), "left").select("doc_id", "size", F.coalesce("node", "doc_id").alias("node"))
     nodes = stage(nodes, "nodes")
@@ -426,7 +434,7 @@ def similar_documents(documents: DataFrame, id: str = "doc_id", text: str = "tex
     near = _verified(_hub_pairs(lists, percent), texts, bitmaps, n, percent)
     # Several texts of one id make one document, whatever their words.
     same_id = known.where(F.col("doc_id") != F.col("node")).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    rest = _verified(_open_pairs(lists, connected_components(near), percent), texts, bitmaps, n, percent)
+    rest = _verified(_open_pairs(lists, connected_components(near), few_bits, percent), texts, bitmaps, n, percent)
     found = connected_components(near.unionAll(rest).unionAll(same_id))
     labelled = nodes.join(found.toDF("__node", "component"), F.col("node") == F.col("__node"), "left")
     return labelled.select(F.col("doc_id").alias(id), F.col("size").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))

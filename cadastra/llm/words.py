@@ -15,7 +15,7 @@ from pyspark.sql import Column, functions as F
 from cadastra.functions.cols import ColumnLike, as_col
 
 WORD = r"[^\x20\x09-\x0D]+"
-_CACHED_WORDS = 1 << 19
+_CACHED_WORDS = 1 << 18
 
 
 def n_words(text: ColumnLike) -> Column:

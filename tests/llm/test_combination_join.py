@@ -52,7 +52,7 @@ def test_equals_all_pairs(spark, monkeypatch, n, percent, limit, block):
     rows = texts(n + block) + [(900, None), (901, ""), (902, " \t "), (903, "one"), (904, "ONE"), (905, "one two"), (1, texts(n + block)[0][1])]
     rows += [(None, rows[3][1]), (None, "nowhere else " * 3), (906, "y " * 400), (907, "y " * 300)]
     if limit:  # most tokens count as frequent, so pairs are at work
-        monkeypatch.setattr(cj, "frequency_classes", lambda counts: (counts >= limit).astype(np.uint8))
+        monkeypatch.setattr(cj, "frequency_classes", lambda counts, mean: (counts >= limit).astype(np.uint8))
         monkeypatch.setattr(cj, "BLOCK", block)
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'q' AS size", "1 AS component", "2 AS node").repartition(3)
     got = cj.similar_documents(df, n=n, percent=percent)
@@ -74,9 +74,10 @@ def test_signatures_of_similar_sets_meet():
         common = len(np.intersect1d(a, b))
         if 100 * common < 85 * (len(a) + len(b) - common):
             continue
-        one, two = ({s: (before, bits) for s, before, bits in cj.signatures(v, classes, 85)} for v in (a, b))
+        one, two = ({s: (before, pair) for s, before, pair in cj.signatures(v, classes, 85)} for v in (a, b))
+        bits = [cj._folded(cj._bitmap(v, len(v)), cj.LIST_BITS // 8).tobytes() for v in (a, b)]
         rows = [
-            [{"doc_id": i, "size": len(v), "before": d[s][0], "bits": d[s][1], "component": i, "block": 0} for i, v, d in ((1, a, one), (2, b, two))]
+            [{"doc_id": i, "size": len(v), "before": d[s][0], "pair": d[s][1], "bits": bits[i - 1], "component": i, "block": 0} for i, v, d in ((1, a, one), (2, b, two))]
             for s in one.keys() & two.keys()
         ]
         assert any(list(cj.list_pairs(r, 85)) == [(1, 2)] for r in rows), (trial, size)
