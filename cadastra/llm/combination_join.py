@@ -425,6 +425,8 @@ def similar_documents(documents: DataFrame, id: str = "doc_id", text: str = "tex
     with_words = surveyed.where("part is null AND words is not null AND doc_id is not null")
     bitmaps, few_bits = (with_words.select("doc_id", *columns).distinct() for columns in (("size", "bits"), ("few_bits",)))
     copies = rows.where("words is not null").groupBy(F.col("words").alias("__words")).agg(F.min("doc_id").alias("node"))
+    # Written first: a join with exchanges of its own can be split where one text is a third of all rows.
+    copies = stage(copies, "copies")
     nodes = rows.join(copies, F.col("words") == F.col("__words"), "left").select("doc_id", "size", F.coalesce("node", "doc_id").alias("node"))
     nodes = stage(nodes, "nodes")
     known = nodes.where(F.col("doc_id").isNotNull())
