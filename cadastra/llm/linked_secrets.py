@@ -3,7 +3,10 @@
 Credentials come in parts: an identifier, a secret, and the endpoint they belong to. What looks weakly
 like one part (an upper-case code, a long mixed token, an address) is common in clean text and only
 reported when a complementary part stands within ``scope`` characters of it in the same text:
-identifiers need a secret, secrets an identifier or an endpoint, endpoints a secret.
+identifiers need a secret, secrets an identifier or an endpoint, endpoints a secret. A mixed token that
+lies in an address, such as the title in the path of a page, is no part beside addresses, its own or
+others: it counts with identifiers only. Of an address with credentials (``scheme://user:secret@host``)
+the endpoint is what follows them.
 
 The interval join is a sweep: the parts of a text in the order of their start, with the largest end of
 each role so far and the smallest start of each role still to come. It is linear in the parts, no
@@ -35,7 +38,16 @@ ENDPOINT = r"""https?://[^\x00-\x20"'<>]+|[0-9]{1,3}(?:\.[0-9]{1,3}){3}"""
 
 SCOPE = 200
 LEAST_VALUE = 6
+#: Shared with the SQL counterpart, whose expressions have no look-around.
 PATTERNS = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "token": TOKEN, "endpoint": ENDPOINT}
+_ADDRESS = r"""[^\x00-\x20"'<>]+"""
+_NAME = r"""[^\x00-\x20"'<>/?#@:]"""
+#: Name or name:secret; what looks like a port is no secret.
+_LOGIN = rf"""(?:{_NAME}{{1,200}}|{_NAME}{{0,200}}:(?![0-9]{{1,5}}[/?#])[^\x00-\x20"'<>?#@]{{1,300}})@"""
+#: What is looked for here: an address begins behind its credentials, if it has some.
+SOUGHT = PATTERNS | {
+    "endpoint": rf"https?://(?!{_LOGIN}){_ADDRESS}|(?<=@)(?<=://{_LOGIN}){_ADDRESS}|[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}",
+}
 BASE = ("assign", "access", "hex")
 #: Order of kinds at one start; "token" runs become "key_id" or "blob" or nothing.
 KINDS = (*BASE, "key_id", "blob", "endpoint")
@@ -47,9 +59,9 @@ COMPLEMENTS = {"identifier": ("secret",), "secret": ("identifier", "endpoint"),
 
 def _lengths(text: Column, kind: str) -> Column:
     """Array of (kind, number, characters before since the last match, width, verdict) of all matches."""
-    found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
-    between = F.split(text, PATTERNS[kind], -1)
-    value = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(2)) if kind == "assign" else found
+    found = F.regexp_extract_all(text, F.lit(SOUGHT[kind]), F.lit(0))
+    between = F.split(text, SOUGHT[kind], -1)
+    value = F.regexp_extract_all(text, F.lit(SOUGHT[kind]), F.lit(2)) if kind == "assign" else found
 
     def one(match: Column, number: Column) -> Column:
         name = F.lit(kind)
@@ -94,20 +106,29 @@ def spans(scanned: DataFrame, scope: int = SCOPE) -> DataFrame:
     sweep = W.partitionBy(*key).orderBy("start", rank)
     earlier, later = sweep.rowsBetween(W.unboundedPreceding, -1), sweep.rowsBetween(1, W.unboundedFollowing)
     certain = F.col("kind").isin(*BASE)
-    overlaps = (F.max(F.when(certain, F.col("end"))).over(earlier) > F.col("start")) | (
-        F.min(F.when(certain, F.col("start"))).over(later) < F.col("end")
-    )
 
-    def near(role: str) -> Column:
-        member = F.col("kind").isin(*ROLES[role])
+    def overlaps(members: Column) -> Column:
+        before = F.max(F.when(members, F.col("end"))).over(earlier) > F.col("start")
+        after = F.min(F.when(members, F.col("start"))).over(later) < F.col("end")
+        return F.coalesce(before, F.lit(False)) | F.coalesce(after, F.lit(False))
+
+    placed = placed.withColumn("__inside", (F.col("kind") == "blob") & overlaps(F.col("kind") == "endpoint"))
+
+    def near(role: str, other: str) -> Column:
+        member = F.col("kind").isin(*ROLES[other])
+        if role == "endpoint":
+            member = member & ~F.col("__inside")
         before = F.col("start") - F.max(F.when(member, F.col("end"))).over(earlier) <= scope
         after = F.min(F.when(member, F.col("start"))).over(later) - F.col("end") <= scope
         return F.coalesce(before, F.lit(False)) | F.coalesce(after, F.lit(False))
 
-    linked = [
-        F.col("kind").isin(*kinds) & reduce(or_, [near(other) for other in COMPLEMENTS[role]]) for role, kinds in ROLES.items()
+    def linked(role: str, other: str) -> Column:
+        return near(role, other) & ~F.col("__inside") if other == "endpoint" else near(role, other)
+
+    confirmed = [
+        F.col("kind").isin(*kinds) & reduce(or_, [linked(role, other) for other in COMPLEMENTS[role]]) for role, kinds in ROLES.items()
     ]
-    weak = ~F.coalesce(overlaps, F.lit(False)) & reduce(or_, linked)
+    weak = ~overlaps(certain) & reduce(or_, confirmed)
     reported = placed.withColumn("__keep", certain | weak).where("__keep")
     return reported.select(*key, "kind", F.col("start").cast("int"), F.col("end").cast("int"))
 

@@ -86,3 +86,33 @@ def test_redaction(spark):
 def test_weak_parts_alone_are_not_reported(spark):
     alone = ["see https://a.example/x and https://b.example/y", "code ABCDEFGH12345678 in a text", "1.2.3.4"]
     assert [brute(t) for t in alone] == ["", "", ""]
+
+
+def spans_of(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = ls.secret_spans(rows).select("doc_id", ls.span_text(__import__("pyspark").sql.functions.col("spans")))
+    return [[s.split(":")[0] + " " + text[int(s.split(":")[1]):int(s.split(":")[2])] for s in found.split(",") if s] for text, (_, found) in zip(texts, sorted(map(tuple, got.collect())))]
+
+
+PAGE = "https://en.wikipedia.org/wiki/2024_Summer_Olympics_opening_ceremony"
+BLOB = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzEXAMPLEKEY"
+
+
+def test_clean_addresses_do_not_confirm_themselves(spark):
+    clean = [f"see {PAGE}", f"see {PAGE} and {PAGE.replace('2024', '2020')}", f"see {PAGE} or https://a.example/ or 1.2.3.4"]
+    assert spans_of(spark, clean) == [[], [], []]
+    rows = spark.createDataFrame([(1, clean[0])], "doc_id long, text string")
+    assert ls.redacted(rows).collect() == [(1, clean[0])]
+
+
+def test_other_parts_still_confirm(spark):
+    code = "ASIAQ3EGRTY7ABCD1234"
+    texts = [
+        f"{PAGE} {BLOB}", f"{BLOB} at {PAGE}", f"{code} https://a.example/?s={BLOB}", f"https://me:{BLOB}@a.example/x and me@b.example",
+        f"https://{BLOB.replace('/', '_')}@a.example/x", f"https://a.example:80/me@b.example {BLOB}",
+    ]
+    assert spans_of(spark, texts) == [
+        [f"endpoint {PAGE}", f"blob {BLOB}"], [f"blob {BLOB}", f"endpoint {PAGE}"],
+        [f"key_id {code}", f"blob s={BLOB}"], [f"blob {BLOB}", "endpoint a.example/x"],
+        [f"blob //{BLOB.replace('/', '_')}", "endpoint a.example/x"], ["endpoint https://a.example:80/me@b.example", f"blob {BLOB}"],
+    ]
