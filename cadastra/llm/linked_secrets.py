@@ -44,9 +44,19 @@ _ADDRESS = r"""[^\x00-\x20"'<>]+"""
 _NAME = r"""[^\x00-\x20"'<>/?#@:]"""
 #: Name or name:secret; what looks like a port is no secret.
 _LOGIN = rf"""(?:{_NAME}{{1,200}}|{_NAME}{{0,200}}:(?![0-9]{{1,5}}[/?#])[^\x00-\x20"'<>?#@]{{1,300}})@"""
-#: What is looked for here: an address begins behind its credentials, if it has some.
+#: Any scheme; one that begins amid letters and digits is found by its web name only.
+_SCHEME = r"(?:https?|(?<![A-Za-z])[A-Za-z][A-Za-z0-9+.-]{0,30})://"
+#: Dotted names and localhost with any port, bare names with one of four or five digits.
+_HOST = r"(?:localhost|(?:[A-Za-z0-9_-]++\.)++[A-Za-z][A-Za-z0-9-]*+):[0-9]{2,5}(?![A-Za-z0-9])"
+_BARE_HOST = r"[A-Za-z][A-Za-z0-9-]*+:[0-9]{4,5}(?![A-Za-z0-9])"
+#: What is looked for here. An address begins behind its credentials, if it has some. "=" ends a token
+#: only as padding, so that NAME=VALUE falls into two.
 SOUGHT = PATTERNS | {
-    "endpoint": rf"https?://(?!{_LOGIN}){_ADDRESS}|(?<=@)(?<=://{_LOGIN}){_ADDRESS}|[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}",
+    "token": r"[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?",
+    "endpoint": "|".join((
+        rf"{_SCHEME}(?!{_LOGIN}){_ADDRESS}", rf"(?<=@)(?<=://{_LOGIN}){_ADDRESS}", r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}",
+        rf"(?<![A-Za-z0-9._-])(?:{_HOST}|{_BARE_HOST})",
+    )),
 }
 BASE = ("assign", "access", "hex")
 #: Order of kinds at one start; "token" runs become "key_id" or "blob" or nothing.

@@ -113,6 +113,27 @@ def test_other_parts_still_confirm(spark):
     ]
     assert spans_of(spark, texts) == [
         [f"endpoint {PAGE}", f"blob {BLOB}"], [f"blob {BLOB}", f"endpoint {PAGE}"],
-        [f"key_id {code}", f"blob s={BLOB}"], [f"blob {BLOB}", "endpoint a.example/x"],
+        [f"key_id {code}", f"blob {BLOB}"], [f"blob {BLOB}", "endpoint a.example/x"],
         [f"blob //{BLOB.replace('/', '_')}", "endpoint a.example/x"], ["endpoint https://a.example:80/me@b.example", f"blob {BLOB}"],
     ]
+
+
+def test_name_value_pairs(spark):
+    code = "ASIAQ3EGRTY7ABCD1234"
+    texts = [
+        f"AWS_ACCESS_KEY_ID={code}\nAWS_SECRET_ACCESS_KEY={BLOB}", f"aws_access_key_id={code}\naws_secret_access_key={BLOB}",
+        f"?AccessKeyId={code}&Signature={BLOB}==&v=1", f"first_setting_value={BLOB[:-1]}a\nsecond_setting_value={BLOB}",
+        f"aws_access_key_id={code} and http://a.example",
+    ]
+    pair = [f"key_id {code}", f"blob {BLOB}"]
+    assert spans_of(spark, texts) == [pair, pair, [pair[0], f"{pair[1]}=="], [], []]
+    rows = spark.createDataFrame([(1, texts[1])], "doc_id long, text string")
+    assert ls.redacted(rows).collect() == [(1, "aws_access_key_id=[secret]\naws_secret_access_key=[secret]")]
+
+
+def test_endpoints_of_any_scheme_and_port(spark):
+    ends = ["postgres://db/x", "redis://cache:6379/0", "s3+x://b", "db.example.com:5432", "my_db.internal:80", "localhost:80", "cache:6379"]
+    texts = [f"{end} K={BLOB}" for end in ends] + [f"HOST={end}\nK={BLOB}" for end in ends] + [f"at 10:30, note:12, 3.14:1592 K={BLOB}"]
+    both = [[f"endpoint {end}", f"blob {BLOB}"] for end in ends]
+    assert spans_of(spark, texts) == both + both + [[]]
+    assert spans_of(spark, [f"postgres://me:{BLOB}@db:5432/x"]) == [[f"blob {BLOB}", "endpoint db:5432/x"]]
