@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cadastra.llm import capped_mixing, combination_join, compression_quality, decision_rules, impact_search, linked_secrets, packing, super_windows, trie_counts, warc
+from cadastra.llm import capped_mixing, combination_join, compression_quality, covering_simhash, decision_rules, impact_search, linked_secrets, packing, super_windows, trie_counts, warc
 from cadastra.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -237,3 +237,8 @@ def _secrets_sql() -> str:
 
 
 ORACLES["op7_linked_secrets"] = _secrets_sql()
+
+
+@register
+def op11_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covering_simhash.near_duplicates(table(spark, sf_dir, "documents"))
