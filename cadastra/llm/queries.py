@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cadastra.llm import capped_mixing, combination_join, compression_quality, covering_simhash, decision_rules, impact_search, linked_secrets, packing, super_windows, trie_counts, warc
+from cadastra.llm import capped_mixing, combination_join, compression_quality, covering_simhash, decision_rules, impact_search, linked_secrets, packing, super_windows, threshold_negatives, trie_counts, warc
 from cadastra.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -242,3 +242,33 @@ ORACLES["op7_linked_secrets"] = _secrets_sql()
 @register
 def op11_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covering_simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op13_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = threshold_negatives.taking_part(vectors.withColumn("label", moved))
+    return threshold_negatives.hard_negatives(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
+ORACLES["op13_threshold_negatives"] = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (SELECT vec_id, label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM usable
+), scores AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, sum(a.x * c.x)::BIGINT AS score
+  FROM parts a JOIN parts c ON a.i = c.i AND a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0 GROUP BY ALL
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
