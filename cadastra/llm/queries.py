@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cadastra.llm import capped_mixing, combination_join, compression_quality, covering_simhash, decision_rules, impact_search, linked_secrets, packing, super_windows, threshold_negatives, trie_counts, warc
+from cadastra.llm import capped_mixing, combination_join, compression_quality, covering_simhash, decision_rules, impact_search, linked_secrets, packing, prefix_trie, super_windows, threshold_negatives, trie_counts, warc
 from cadastra.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -272,3 +272,47 @@ FROM positives JOIN scores USING (anchor_id)
 WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
 QUALIFY rank <= 3
 """
+
+
+@register
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+# CRC-32 of a decimal number, bit by bit: every character is followed by eight shifts.
+_CRC32_SQL = """xor(4294967295::BIGINT, list_reduce(
+    [4294967295::BIGINT] || flatten(list_transform(string_split({0}::VARCHAR, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END))"""
+ORACLES["op12_conversation_trie"] = f"""
+WITH own AS (
+  SELECT conv_id, concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')) AS t, length(coalesce(text, '')) AS chars,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(t)) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS donor, {_CRC32_SQL.format('conv_id')} % 6 AS h FROM own GROUP BY conv_id
+), plan AS (
+  SELECT c.*, least(c.h, coalesce(d.n, 0)) AS taken FROM convs c LEFT JOIN convs d ON d.conv_id = c.donor
+), turns AS (
+  SELECT p.conv_id, pos, t, chars FROM plan p JOIN own o ON o.conv_id = p.donor AND pos < taken
+  UNION ALL SELECT p.conv_id, pos - h + taken, t, chars FROM plan p JOIN own o ON o.conv_id = p.conv_id AND pos >= h
+), prefixes AS (
+  SELECT conv_id, pos + 1 AS depth, list(t) OVER (PARTITION BY conv_id ORDER BY pos) AS prefix, chars FROM turns
+  UNION ALL SELECT conv_id, 0, [], 0 FROM plan
+), paths AS (
+  SELECT *, min(conv_id) OVER (PARTITION BY depth, prefix) AS top, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM prefixes
+), nodes AS (
+  SELECT top AS conv_id, depth, count(*) AS n_convs, min(chars) AS chars,
+    sha256(coalesce(string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM paths p GROUP BY top, depth
+), linked AS (
+  SELECT n.*, p.top AS parent_conv_id FROM nodes n LEFT JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1
+), counted AS (
+  SELECT l.*, coalesce(c.n, 0) AS n_children FROM linked l
+  LEFT JOIN (SELECT parent_conv_id, depth, count(*) AS n FROM linked GROUP BY ALL) c ON c.parent_conv_id = l.conv_id AND c.depth = l.depth + 1
+), totals AS (
+  SELECT p.top, p.depth, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * c.chars) AS saved
+  FROM counted c JOIN paths p ON p.conv_id = c.conv_id AND p.depth <= c.depth GROUP BY ALL
+)
+SELECT c.conv_id, c.depth::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved::BIGINT AS saved_tokens, ends_sha256
+FROM counted c JOIN totals t ON t.top = c.conv_id AND t.depth = c.depth
+"""
