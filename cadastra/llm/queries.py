@@ -132,15 +132,16 @@ _BASE32_SQL = " || ".join(
 )
 ORACLES["op8_warc_revisits"] = f"""
 WITH payloads AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS hexa FROM pages
-), firsts AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM payloads)
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY h) AS first, row_number() OVER (PARTITION BY h ORDER BY page_id NULLS LAST) = 1 AS is_first FROM payloads
+)
 SELECT page_id, strlen(h)::BIGINT AS payload_bytes, array_to_string(list_transform(range(8), lambda i: {_BASE32_SQL}), '') AS payload_digest,
-  CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+  CASE WHEN is_first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN NOT is_first THEN first END AS refers_to
 FROM firsts
 """
 
 
-
 @register
 def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linked_secrets.secret_spans(table(spark, sf_dir, "documents"))

@@ -1,25 +1,30 @@
 """WARC archives with revisit records instead of repeated payloads.
 
 Writing: every page becomes a header row with the digest of its payload. The headers, without
-payloads, are grouped by digest; the smallest id of a digest becomes the response, the others become
-revisit records that name it. The archive is then written from the pages joined with the few columns
-of that decision, each record with a fresh header.
+payloads, are counted and grouped by digest; one row of the smallest id of a digest becomes the response,
+all others become revisit records that name it. Revisits are written from the headers alone; payloads meet
+the decision only for the responses, after equal rows have been brought together. Every record gets a fresh
+header.
 
 Reading: the archive is split at its record boundaries by Spark's text reader. Digest and length of a
 response are calculated anew from its payload; a revisit gets them from the response it refers to.
 
-Everything is DataFrame expressions. Digests are grouped with map-side combine, and the join back is
-an ordinary equi-join that adaptive execution splits, so one payload may belong to a third of all pages.
+Everything is DataFrame expressions. Headers and payloads of equal rows are combined before they are
+shuffled, and headers meet their digest in a join of written tables, which adaptive execution splits; so one
+payload, or one whole row, may be a third of all pages.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cadastra.functions.cols import ColumnLike, as_col
-from cadastra.sources.staging import fresh_dir
+from cadastra.sources.staging import fresh_dir, stage
 
 #: Fixed values of the format: line end, version line, profile of a revisit by payload digest.
 CRLF = "\r\n"
@@ -28,6 +33,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 #: Digits of base 32 as Spark's ``conv`` writes them, and as the format wants them.
 _CONV_DIGITS, _BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _MARK = "WARC-Archive-Id"
+#: Copies of one row that are written by one task at most.
+_COPIES = 1000
 
 
 def sha1_base32(data: ColumnLike) -> Column:
@@ -37,30 +44,49 @@ def sha1_base32(data: ColumnLike) -> Column:
     return F.translate(F.concat(*parts), _CONV_DIGITS, _BASE32_DIGITS)
 
 
-def resolve_revisits(pages: DataFrame, id: str = "page_id", payload: str = "html", min_bytes: int = 0) -> DataFrame:
-    """``page_id, payload_digest, payload_bytes, refers_to`` of every distinct (id, payload).
+def _payloads(pages: DataFrame, id: str, url: str, payload: str) -> DataFrame:
+    """``page_id, url, payload, payload_bytes, sha256`` of every row."""
+    data = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
+    address = F.regexp_replace(F.col(url), r"[\x00-\x20\x7f]", "%20")
+    rows = pages.select(F.col(id).cast("long").alias("page_id"), address.alias("url"), data.alias("payload"))
+    return rows.select("*", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("sha256"))
 
-    ``refers_to`` is the smallest id with an equal payload, null for that id itself, for payloads under
-    ``min_bytes``, and where no id of the payload is known. Payloads are equal when SHA-256 and length are.
-    """
-    headers = _payloads(pages, id, payload).select("page_id", "payload_digest", "payload_bytes", "__sha256").distinct()
-    first = headers.groupBy(F.col("__sha256").alias("__key"), F.col("payload_bytes").alias("__length")).agg(F.min("page_id").alias("first"))
-    same = (F.col("__sha256") == F.col("__key")) & (F.col("payload_bytes") == F.col("__length"))
-    refers = F.when((F.col("payload_bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    return headers.join(first, same).select("page_id", "payload_digest", "payload_bytes", "__sha256", refers.alias("refers_to"))
 
+def resolve_revisits(pages: DataFrame, id: str = "page_id", url: str = "url", payload: str = "html", min_bytes: int = 0) -> DataFrame:
+    """One row per distinct (id, address, payload): ``responses`` and ``revisits``, the numbers of its records.
 
-def _payloads(pages: DataFrame, id: str, payload: str, *more: Column) -> DataFrame:
-    data = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
-    return pages.select(F.col(id).cast("long").alias("page_id"), data.alias("payload"), *more).select(
-        "*", sha1_base32("payload").alias("payload_digest"), F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.sha2("payload", 256).alias("__sha256"),
+    Of all rows with one payload, one is the response: the one with the smallest id, the smallest address
+    among those; all others, repeated rows of that id included, revisit it. ``refers_to`` and ``refers_url``
+    name it. Payloads under ``min_bytes``, and those of which no id is known, are responses throughout.
+    Payloads are equal when SHA-256 and length are.
+    """
+    headers = _payloads(pages, id, url, payload).withColumn("payload_digest", sha1_base32("payload")).drop("payload")
+    # Written, so that the join below has exchanges of its own, which Spark can split at a hot payload.
+    counted = stage(headers.groupBy("page_id", "url", "payload_bytes", "payload_digest", "sha256").agg(F.count("*").alias("n")), "headers")
+    known = counted.where(F.col("page_id").isNotNull() & (F.col("payload_bytes") >= min_bytes))
+    first = known.groupBy(F.col("sha256").alias("__key"), F.col("payload_bytes").alias("__length")).agg(F.min(F.struct("page_id", "url")).alias("first"))
+    same = (F.col("sha256") == F.col("__key")) & (F.col("payload_bytes") == F.col("__length"))
+    joined = counted.join(stage(first, "headers"), same, "left")
+    is_first = F.col("page_id").eqNullSafe(F.col("first.page_id")) & F.col("url").eqNullSafe(F.col("first.url"))
+    responses = F.when(F.col("first").isNull(), F.col("n")).otherwise(is_first.cast("long"))
+    return joined.select(
+        *counted.columns, responses.alias("responses"), (F.col("n") - responses).alias("revisits"),
+        F.col("first.page_id").alias("refers_to"), F.col("first.url").alias("refers_url"),
     )
 
 
-def _record_id(page_id: ColumnLike, sha256: ColumnLike) -> Column:
-    """The same id for the same page and payload, in the form of a UUID."""
-    h = F.md5(F.concat_ws(":", F.coalesce(as_col(page_id).cast("string"), F.lit("")), as_col(sha256)))
+def _times(rows: DataFrame, number: str) -> DataFrame:
+    """Each row as often as ``number`` says, numbered in ``copy`` from 0; many copies of one row are dealt to several tasks."""
+    parts = rows.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(number) - 1) / _COPIES))))
+    first = F.col("__part") * _COPIES
+    copies = F.sequence(first, F.least(first + _COPIES, F.col(number)) - 1)
+    return parts.hint("rebalance").withColumn("copy", F.explode(copies)).drop("__part")
+
+
+def _record_id(page_id: ColumnLike, url: ColumnLike, sha256: ColumnLike, record_type: str, copy: ColumnLike) -> Column:
+    """An id in the form of a UUID, the same whenever the record is written again."""
+    parts = [F.coalesce(as_col(c).cast("string"), F.lit("")) for c in (page_id, sha256, copy, url)]
+    h = F.md5(F.concat_ws(":", F.lit(record_type), *parts))
     return F.concat(F.lit("<urn:uuid:"), *[x for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)) for x in (F.substring(h, a, n), F.lit(">" if a == 21 else "-"))])
 
 
@@ -71,46 +97,61 @@ def _header(name: str, value: Column) -> Column:
 
 def write_archive(
     pages: DataFrame, path: str, id: str = "page_id", url: str = "url", payload: str = "html", min_bytes: int = 0,
-    date: str = "2000-01-01T00:00:00Z", records_per_file: int = 20_000, compression: str = "gzip",
+    date: str | None = None, records_per_file: int = 20_000, compression: str = "gzip",
 ) -> str:
     """Write one record per page below ``path`` and return the id of the archive.
 
     A null payload is empty. A null id or address leaves its header out; white space and control
     characters in an address become ``%20``, so that no address can add a header. Repeated rows
-    give repeated records. Other columns are not carried. Files hold ``records_per_file`` records at most,
-    which also bounds the task that reads a compressed one; ``compression`` is ``gzip`` or ``none``.
+    give a record each, with an id of its own. Other columns are not carried. Files hold ``records_per_file``
+    records at most, which also bounds the task that reads a compressed one; ``compression`` is ``gzip`` or
+    ``none``. The date of the records is that of the call unless one is given.
     """
     archive = uuid.uuid4().hex  # later than all payloads, so that no payload holds it
-    address = F.regexp_replace(F.col(url), r"[\x00-\x20\x7f]", "%20")
-    records = _payloads(pages, id, payload, address.alias("__url"))
-    decided = resolve_revisits(pages, id, payload, min_bytes).select(
-        F.col("page_id").alias("__id"), F.col("__sha256").alias("__key"), "refers_to"
+    date = date or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    decided = stage(resolve_revisits(pages, id, url, payload, min_bytes), "records")
+
+    # Payloads travel for responses only, one of each id, address and payload.
+    key = ["page_id", "url", "sha256"]
+    bodies = _payloads(pages, id, url, payload).groupBy(*key).agg(F.first("payload").alias("payload"))
+    wanted = decided.where("responses > 0").withColumnsRenamed({c: f"__{c}" for c in key})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key])
+    responses = _times(bodies.join(wanted, same), "responses").select(
+        *key, "copy", "payload", "payload_bytes", "payload_digest", *[F.lit(None).cast(kind).alias(c) for c, kind in (("refers_to", "long"), ("refers_url", "string"))]
     )
-    same = F.col("page_id").eqNullSafe(F.col("__id")) & (F.col("__sha256") == F.col("__key"))
-    records = records.join(decided, same)
-    revisit = F.col("refers_to").isNotNull()
-    http = F.concat(
-        F.lit("HTTP/1.1 200 OK" + CRLF + "Content-Type: text/html; charset=utf-8" + CRLF + "Content-Length: "),
-        F.col("payload_bytes").cast("string"), F.lit(CRLF + CRLF),
-    ).cast("binary")
-    block = F.when(revisit, http).otherwise(F.concat(http, F.col("payload")))
-    head = F.concat(
-        _header(_MARK, F.lit(archive)),
-        _header("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        _header("WARC-Record-ID", _record_id("page_id", "__sha256")),
-        _header("WARC-Date", F.lit(date)),
-        _header("WARC-Target-URI", F.col("__url")),
-        _header("WARC-Page-Number", F.col("page_id")),
-        _header("WARC-Profile", F.when(revisit, F.lit(REVISIT_PROFILE))),
-        _header("WARC-Refers-To", F.when(revisit, _record_id("refers_to", "__sha256"))),
-        _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
-        _header("Content-Type", F.lit("application/http; msgtype=response")),
-        _header("Content-Length", F.octet_length(block)),
-        F.lit(CRLF),
+    revisits = _times(decided.where("revisits > 0"), "revisits").select(
+        *key, "copy", F.lit(None).cast("binary").alias("payload"), "payload_bytes", "payload_digest", "refers_to", "refers_url"
     )
+
+    def written(records: DataFrame, record_type: str) -> DataFrame:
+        http = F.concat(
+            F.lit("HTTP/1.1 200 OK" + CRLF + "Content-Type: text/html; charset=utf-8" + CRLF + "Content-Length: "),
+            F.col("payload_bytes").cast("string"), F.lit(CRLF + CRLF),
+        ).cast("binary")
+        is_response = record_type == "response"
+        block = F.concat(http, F.col("payload")) if is_response else http
+        about_first = [] if is_response else [
+            _header("WARC-Profile", F.lit(REVISIT_PROFILE)),
+            _header("WARC-Refers-To", _record_id("refers_to", "refers_url", "sha256", "response", F.lit(0))),
+        ]
+        head = F.concat(
+            _header(_MARK, F.lit(archive)),
+            _header("WARC-Type", F.lit(record_type)),
+            _header("WARC-Record-ID", _record_id("page_id", "url", "sha256", record_type, "copy")),
+            _header("WARC-Date", F.lit(date)),
+            _header("WARC-Target-URI", F.col("url")),
+            _header("WARC-Page-Number", F.col("page_id")),
+            *about_first,
+            _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
+            _header("Content-Type", F.lit("application/http; msgtype=response")),
+            _header("Content-Length", F.octet_length(block)),
+            F.lit(CRLF),
+        )
+        return records.select(F.concat(F.lit(VERSION + CRLF).cast("binary"), head.cast("binary"), block).cast("string").alias("value"))
+
     # The text writer puts the bytes of a value as they are, and the empty lines between records behind it.
-    whole = F.concat(F.lit(VERSION + CRLF).cast("binary"), head.cast("binary"), block).cast("string")
-    writer = records.select(whole.alias("value")).write.option("lineSep", CRLF * 2).option("compression", compression)
+    records = written(responses, "response").unionAll(written(revisits, "revisit"))
+    writer = records.write.option("lineSep", CRLF * 2).option("compression", compression)
     writer.option("maxRecordsPerFile", records_per_file).text(path)
     return archive
 
