@@ -11,7 +11,10 @@ misses its target by half a text at most and a rerun takes the same texts. The o
 sorting a source: sizes are summed per leading hash digits (4,096 sums a source), and only the rows of
 the one slice in which the cut falls are put in order, 1/4096 of the source.
 
-Only sizes, hashes and sources are shuffled, not texts. Rows with equal id and text are taken alike.
+Rows with equal id and text have one place in that order. Where the cut falls among them, as many of them
+are taken as the target asks for; they are equal, so any will do, and they are numbered in a range
+partitioning, however many they are. Only sizes, hashes and sources are shuffled, not texts, but for the
+rows of that one place.
 """
 
 from __future__ import annotations
@@ -89,11 +92,13 @@ def _with_cuts(sizes: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFra
     plan = stage(plan, "mixing")
 
     inside = sizes.withColumnRenamed("source", "__source").join(plan, same).where(_slice("draw") == F.col("cut"))
-    drawn = inside.groupBy("source", "draw", "more", "before").agg(F.sum("size").alias("size"))
-    before = F.sum("size").over(W.partitionBy("source").orderBy("draw").rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
-    middle = F.col("before") + before + F.col("size") / 2
-    taken = drawn.withColumn("__middle", middle).where(F.col("__middle") < F.col("more"))
-    return plan, taken.select(F.col("source").alias("__source"), F.col("draw").alias("__draw"))
+    drawn = inside.groupBy("source", "draw", "more", "before").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
+    earlier = F.sum("size").over(W.partitionBy("source").orderBy("draw").rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
+    # Rows of equal id and text, each of the same size: those whose middle lies before the cut.
+    each = F.try_divide(F.col("size"), F.col("n"))
+    inside_cut = F.ceil(F.try_divide(F.col("more") - F.col("before") - earlier, each) - 0.5)
+    taken = drawn.withColumn("take", F.least("n", F.coalesce(inside_cut, F.lit(0)))).where("take > 0")
+    return plan, stage(taken.select(F.col("source").alias("__source"), F.col("draw").alias("__draw"), "take", F.col("n").alias("of")), "mixing")
 
 
 def with_copies(rows: DataFrame, plan: DataFrame, taken: DataFrame, source: str, hashed: str) -> DataFrame:
@@ -103,13 +108,19 @@ def with_copies(rows: DataFrame, plan: DataFrame, taken: DataFrame, source: str,
     # Without a cut the fraction takes everything, or there is nothing to take.
     at = F.coalesce(F.col("cut"), F.lit(1 << 4 * SLICE_DIGITS))
     more = (_slice(hashed) < at) & (F.col("more") > 0)
-    sure = wide.where(_slice(hashed) != at).withColumn("copies", F.col("whole") + more.cast("int"))
+    keep = [*rows.columns, "source_size", "target"]
+    sure = wide.where(_slice(hashed) != at).select(*keep, (F.col("whole") + more.cast("int")).alias("copies"))
     # Only the slices with a cut meet the drawn hashes.
-    edge = wide.where(_slice(hashed) == at)
     hit = F.col(source).eqNullSafe(F.col("__source")) & (F.col(hashed) == F.col("__draw"))
-    edge = edge.join(taken, hit, "left").withColumn("copies", F.col("whole") + F.col("__draw").isNotNull().cast("int"))
-    keep = [*rows.columns, "source_size", "target", "copies"]
-    return sure.select(*keep).unionAll(edge.select(*keep))
+    edge = wide.where(_slice(hashed) == at).join(taken, hit, "left")
+    split = F.col("take") < F.col("of")
+    alike = edge.where(F.col("take").isNull() | ~split).select(*keep, (F.col("whole") + F.col("__draw").isNotNull().cast("int")).alias("copies"))
+    # Equal rows of which some are taken: one place in the order of each source at most.
+    parts = row_numbers(edge.where(split).withColumn("__place", F.monotonically_increasing_id()), [source, hashed, "__place"], "__number")
+    first = parts.groupBy(F.col(source).alias("__s"), F.col(hashed).alias("__h")).agg(F.min("__number").alias("__first"))
+    parts = parts.join(first, F.col(source).eqNullSafe(F.col("__s")) & (F.col(hashed) == F.col("__h")))
+    some = F.col("whole") + (F.col("__number") - F.col("__first") < F.col("take")).cast("int")
+    return sure.unionAll(alike).unionAll(parts.select(*keep, some.alias("copies")))
 
 
 def mixing(

@@ -94,7 +94,7 @@ def op4_capped_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op4_capped_mixing"] = r"""
 WITH sizes AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+  SELECT row_number() OVER () AS row_id, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
     md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS draw
   FROM documents
 ), totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source
@@ -113,11 +113,10 @@ WITH sizes AS (
   FROM targets
 ), placed AS (
   SELECT s.*, p.source_size, p.target, p.whole, p.more,
-    sum(s.size) OVER (PARTITION BY s.source ORDER BY draw RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
-    sum(s.size) OVER (PARTITION BY s.source, draw) AS own
+    sum(s.size) OVER (PARTITION BY s.source ORDER BY draw, row_id ROWS UNBOUNDED PRECEDING) AS upto
   FROM sizes s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
 )
-SELECT doc_id, size, source_size, target, (size * (whole + (upto - own / 2.0 < more)::BIGINT))::BIGINT AS taken FROM placed
+SELECT doc_id, size, source_size, target, (size * (whole + (upto - size / 2.0 < more)::BIGINT))::BIGINT AS taken FROM placed
 """
 
 
