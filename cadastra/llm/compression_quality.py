@@ -27,6 +27,8 @@ from cadastra.llm.words import fold
 PIECE = 4096
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
+#: Bytes of a piece of sampled text for a dictionary.
+SAMPLE_PIECE = 1024
 #: Added to the length, so that a text of a few bytes stays near the middle.
 SMOOTHING = 32
 #: Repetition only matters below this share of the length.
@@ -136,24 +138,33 @@ def labelled_sample(
     return found.groupBy("__id", "__label").agg(F.min("__text").alias("__text"))
 
 
+def chosen_pieces(text: ColumnLike, count: int) -> Column:
+    """``count`` pieces of :data:`SAMPLE_PIECE` bytes from anywhere in a text: those with the smallest hashes."""
+    data = F.coalesce(as_col(text), F.lit("")).cast("binary")
+    starts = F.sequence(F.lit(0), F.floor((F.greatest(F.octet_length(data), F.lit(1)) - 1) / SAMPLE_PIECE).cast("int"))
+    pieces = F.transform(starts, lambda i: F.substring(data, i * SAMPLE_PIECE + 1, F.lit(SAMPLE_PIECE)))
+    ordered = F.array_sort(F.transform(pieces, lambda p: F.struct(F.xxhash64(p).alias("hash"), p.alias("piece"))))
+    return F.slice(ordered, 1, count)["piece"]
+
+
 def fit(
-    documents: DataFrame, labels: DataFrame, per_class: int = 1200, sample_chars: int = 4096, id: str = "doc_id",
+    documents: DataFrame, labels: DataFrame, per_class: int = 1200, pieces: int = 2, id: str = "doc_id",
     text: str = "text", label: str = "quality",
 ) -> CompressionModel:
     """Model from a bounded sample: ``per_class`` labelled texts of either label.
 
-    Every other sampled text, its first ``sample_chars`` characters, goes into the dictionaries; the rest,
-    whole, into the curve. At most ``per_class * sample_chars`` characters come to the driver. Without
-    labels the score is 0.5 for every text; with one label only it is near 1 or 0.
+    Every other sampled text goes into the dictionaries: ``pieces`` of its pieces of :data:`SAMPLE_PIECE`
+    bytes, chosen by hash over the whole text. The rest, whole, goes into the curve. At most ``per_class *
+    pieces`` pieces come to the driver. Without labels the score is 0.5 for every text; with one label only it
+    is near 1 or 0.
     """
     sample = labelled_sample(documents, labels, per_class, id, text, label)
     half = F.shiftright(F.xxhash64(F.col("__id"), F.lit("half")), 7) % 2 == 0
-    rows = sample.where(half).select("__id", "__label", F.substring("__text", 1, sample_chars).alias("t")).collect()
-    pieces: dict[int, list[bytes]] = {0: [], 1: []}
+    rows = sample.where(half).select("__id", "__label", chosen_pieces("__text", pieces).alias("pieces")).collect()
+    samples: dict[int, list[bytes]] = {0: [], 1: []}
     for row in sorted(rows, key=lambda r: r["__id"]):
-        data = (row["t"] or "").encode()
-        pieces[row["__label"]] += [data[i:i + 1024] for i in range(0, min(len(data), 2048), 1024)]
-    model = CompressionModel(build_dictionary(pieces[1]), build_dictionary(pieces[0]))
+        samples[row["__label"]] += [bytes(p) for p in row["pieces"]]
+    model = CompressionModel(build_dictionary(samples[1]), build_dictionary(samples[0]))
     share = labels.where((fold(id) != 2) & F.col(label).isin(0, 1)).agg(F.avg(label).alias("share")).collect()[0]["share"]
     rest = sample.where(~half).select("__id", "__label", size_features(model, "__text").alias("f")).select("__id", "__label", "f.*")
     scored = sorted(rest.collect())

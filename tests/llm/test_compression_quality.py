@@ -58,3 +58,38 @@ def test_few_or_odd_labels(spark):
         assert len(scores) == 14 and all(0 <= s <= 1 for s in scores)
         if not votes:
             assert set(scores) == {0.5}
+
+
+def test_pieces_come_from_whole_texts(spark):
+    """A mark that stands only late in long texts reaches the dictionary; pieces are those a plain cut gives."""
+    import xxhash
+
+    rows = [(1, "é" * 700 + "x" * 5000 + "late" * 300), (2, ""), (3, None), (4, "short")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [bytes(p) for p in r["p"]] for r in frame.select("doc_id", cq.chosen_pieces("text", 3).alias("p")).collect()}
+    for doc_id, text in rows:
+        data = (text or "").encode()
+        cut = [data[i:i + cq.SAMPLE_PIECE] for i in range(0, max(len(data), 1), cq.SAMPLE_PIECE)]
+        signed = lambda p: (h := xxhash.xxh64_intdigest(p, 42)) - (h >> 63 << 64)
+        assert got[doc_id] == sorted(cut, key=signed)[:3]
+    documents = spark.createDataFrame([(i, f"{'plain words here ' * 400} {i} " + f"mark{i % 5}-{'zebra' * 250}" * 6) for i in range(80)], "doc_id long, text string")
+    fitted = cq.fit(documents, spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int"), pieces=20)
+    assert b"zebra" in fitted.good
+
+
+def test_scores_equal_plain_compression(tables, model):
+    """Every score, worked out text by text with the library of the format."""
+    import math
+
+    import zstandard
+
+    documents, _ = tables
+    settings = zstandard.ZstdCompressionParameters.from_level(cq.LEVEL, write_content_size=0, write_checksum=0, write_dict_id=0)
+    good, bad = (zstandard.ZstdCompressor(compression_params=settings, dict_data=zstandard.ZstdCompressionDict(d)) for d in (model.good, model.bad))
+    scores = {r["doc_id"]: r["score"] for r in cq.score_documents(documents, model).collect()}
+    for row in documents.select("doc_id", "text").collect():
+        data = (row["text"] or "").encode()
+        sizes = [sum(len(c.compress(data[i:i + cq.PIECE])) for i in range(0, len(data), cq.PIECE)) for c in (good, bad)]
+        difference, size = (sizes[1] - sizes[0]) / (len(data) + cq.SMOOTHING), min(sizes[0] / (len(data) + cq.SMOOTHING), cq.SIZE_CEILING)
+        x = model.weights[0] * (difference if data else 0) + model.weights[1] * (size if data else cq.SIZE_CEILING) + model.weights[2]
+        assert abs(scores[row["doc_id"]] - 1 / (1 + math.exp(-max(-40, min(40, x))))) < 1e-12
