@@ -3,10 +3,18 @@
 Credentials come in parts: an identifier, a secret, and the endpoint they belong to. What looks weakly
 like one part (an upper-case code, a long mixed token, an address) is common in clean text and only
 reported when a complementary part stands within ``scope`` characters of it in the same text:
-identifiers need a secret, secrets an identifier or an endpoint, endpoints a secret. A mixed token that
-lies in an address, such as the title in the path of a page, is no part beside addresses, its own or
-others: it counts with identifiers only. Of an address with credentials (``scheme://user:secret@host``)
-the endpoint is what follows them.
+identifiers need a secret, secrets an identifier or an endpoint, endpoints a secret.
+
+What keeps clean text clean:
+
+* A token most of whose characters stand in runs of small letters is made of words, such as a path, and
+  no candidate.
+* A mixed token that lies in an address, such as the title in the path of a page, is no part beside
+  addresses, its own or others: it counts with identifiers only.
+* A host with a port is an endpoint if its name has a dot or is ``localhost``; ``section:2024`` is none.
+
+An address with credentials (``scheme://user:secret@host``, or a long token before the ``@``) holds two
+parts that complement each other: the secret is reported as ``login``, the whole address as ``endpoint``.
 
 The interval join is a sweep: the parts of a text in the order of their start, with the largest end of
 each role so far and the smallest start of each role still to come. It is linear in the parts, no
@@ -14,7 +22,8 @@ pairs are made. Positions come from the lengths of the matches and of what lies
 in a window over the matches of one text.
 
 All of it is DataFrame expressions. Texts are scanned once, into a table of match lengths that is
-written down; texts are not shuffled, and windows hold the matches of a single text.
+written down; texts are not shuffled, and windows hold the matches of a single text. The patterns look
+neither ahead nor behind and bound no length, so the SQL counterpart and the tests take the same ones.
 """
 
 from __future__ import annotations
@@ -32,62 +41,54 @@ from cadastra.sources.staging import stage
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-#: Weak ones: token runs, told apart below, and addresses.
-TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
-ENDPOINT = r"""https?://[^\x00-\x20"'<>]+|[0-9]{1,3}(?:\.[0-9]{1,3}){3}"""
+#: Weak ones: token runs, told apart below; secrets in addresses; addresses.
+TOKEN = r"[A-Za-z0-9+/_-]{16,}"
+#: Behind "://": a name and a secret that is not just a port, or a long token alone.
+LOGIN = r"""://(?:[^\x00-\x20"'<>/?#@:]*:(?:[0-9]*[^\x00-\x20"'<>/?#@0-9][^\x00-\x20"'<>?#@]*|[0-9]+)|[^\x00-\x20"'<>/?#@:]{20,})@"""
+ENDPOINT = (
+    r"""[A-Za-z][A-Za-z0-9+.-]*://[^\x00-\x20"'<>]+|[0-9]{1,3}(?:\.[0-9]{1,3}){3}"""
+    r"""|(?:localhost|(?:[A-Za-z0-9_-]+\.)+[A-Za-z][A-Za-z0-9-]*):[0-9]{2,5}"""
+)
+#: Runs of small letters, as words have them.
+WORDY = r"[a-z]{4,}"
 
 SCOPE = 200
 LEAST_VALUE = 6
-#: Shared with the SQL counterpart, whose expressions have no look-around.
-PATTERNS = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "token": TOKEN, "endpoint": ENDPOINT}
-_ADDRESS = r"""[^\x00-\x20"'<>]+"""
-_NAME = r"""[^\x00-\x20"'<>/?#@:]"""
-#: Name or name:secret; what looks like a port is no secret.
-_LOGIN = rf"""(?:{_NAME}{{1,200}}|{_NAME}{{0,200}}:(?![0-9]{{1,5}}[/?#])[^\x00-\x20"'<>?#@]{{1,300}})@"""
-#: Any scheme; one that begins amid letters and digits is found by its web name only.
-_SCHEME = r"(?:https?|(?<![A-Za-z])[A-Za-z][A-Za-z0-9+.-]{0,30})://"
-#: Dotted names and localhost with any port, bare names with one of four or five digits.
-_HOST = r"(?:localhost|(?:[A-Za-z0-9_-]++\.)++[A-Za-z][A-Za-z0-9-]*+):[0-9]{2,5}(?![A-Za-z0-9])"
-_BARE_HOST = r"[A-Za-z][A-Za-z0-9-]*+:[0-9]{4,5}(?![A-Za-z0-9])"
-#: What is looked for here. An address begins behind its credentials, if it has some. "=" ends a token
-#: only as padding, so that NAME=VALUE falls into two.
-SOUGHT = PATTERNS | {
-    "token": r"[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?",
-    "endpoint": "|".join((
-        rf"{_SCHEME}(?!{_LOGIN}){_ADDRESS}", rf"(?<=@)(?<=://{_LOGIN}){_ADDRESS}", r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}",
-        rf"(?<![A-Za-z0-9._-])(?:{_HOST}|{_BARE_HOST})",
-    )),
-}
+PATTERNS = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "token": TOKEN, "login": LOGIN, "endpoint": ENDPOINT}
 BASE = ("assign", "access", "hex")
 #: Order of kinds at one start; "token" runs become "key_id" or "blob" or nothing.
-KINDS = (*BASE, "key_id", "blob", "endpoint")
+KINDS = (*BASE, "key_id", "blob", "login", "endpoint")
 ROLES = {
-    "identifier": ("access", "key_id"), "secret": ("assign", "hex", "blob"), "endpoint": ("endpoint",),
+    "identifier": ("access", "key_id"), "secret": ("assign", "hex", "blob", "login"), "endpoint": ("endpoint",),
 }
 COMPLEMENTS = {"identifier": ("secret",), "secret": ("identifier", "endpoint"), "endpoint": ("secret",)}
 
 
 def _lengths(text: Column, kind: str) -> Column:
-    """Array of (kind, number, characters before since the last match, width, verdict) of all matches."""
-    found = F.regexp_extract_all(text, F.lit(SOUGHT[kind]), F.lit(0))
-    between = F.split(text, SOUGHT[kind], -1)
-    value = F.regexp_extract_all(text, F.lit(SOUGHT[kind]), F.lit(2)) if kind == "assign" else found
+    """Array of the matches: kind, number, characters before the span since the last match, width, and characters of the match behind the span."""
+    found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
+    between = F.split(text, PATTERNS[kind], -1)
+    value = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(2)) if kind == "assign" else found
 
     def one(match: Column, number: Column) -> Column:
-        name = F.lit(kind)
+        name, skipped, behind = F.lit(kind), F.lit(0), F.lit(0)
         if kind == "assign":
             name = F.when(F.char_length(F.get(value, number)) >= LEAST_VALUE, F.lit(kind))
         if kind == "token":
             digit = match.rlike("[0-9]")
+            mixed = digit & match.rlike("[A-Z]") & match.rlike("[a-z]")
+            wordy = 2 * F.char_length(F.regexp_replace(match, WORDY, "")) < F.char_length(match)
             name = F.when(match.rlike("^[A-Z0-9]{16,32}$") & digit & match.rlike("[A-Z]"), F.lit("key_id")).when(
-                (F.char_length(match) >= 32) & digit & match.rlike("[A-Z]") & match.rlike("[a-z]"), F.lit("blob")
+                (F.char_length(match) >= 32) & mixed & ~wordy, F.lit("blob")
             )
+        if kind == "login":  # the secret stands behind the first colon after "://", if there is one, and before "@"
+            skipped, behind = 3 + F.instr(F.substring(match, 4, 2**31 - 1), ":"), F.lit(1)
         return F.struct(
-            F.lit(kind).alias("pattern"), number.alias("number"), F.char_length(F.get(between, number)).alias("before"),
-            F.char_length(match).alias("width"), name.alias("kind"),
+            F.lit(kind).alias("pattern"), number.alias("number"), (F.char_length(F.get(between, number)) + skipped).alias("before"),
+            (F.char_length(match) - skipped - behind).alias("width"), behind.alias("behind"), name.alias("kind"),
         )
 
-    none = F.array().cast("array<struct<pattern:string,number:int,before:int,width:int,kind:string>>")
+    none = F.array().cast("array<struct<pattern:string,number:int,before:int,width:int,behind:int,kind:string>>")
     return F.when(F.size(found) > 0, F.transform(found, one)).otherwise(none)
 
 
@@ -109,8 +110,8 @@ def spans(scanned: DataFrame, scope: int = SCOPE) -> DataFrame:
     # Repeated rows have the same matches; one of them stands for all.
     matches = scanned.where(F.size("matches") > 0).distinct().select(*key, F.explode("matches").alias("m")).select(*key, "m.*")
     order = W.partitionBy(*key, "pattern").orderBy("number").rowsBetween(W.unboundedPreceding, 0)
-    placed = matches.withColumn("end", F.sum(F.col("before") + F.col("width")).over(order)).where(F.col("kind").isNotNull())
-    placed = placed.withColumn("start", F.col("end") - F.col("width"))
+    placed = matches.withColumn("end", F.sum(F.col("before") + F.col("width") + F.col("behind")).over(order) - F.col("behind"))
+    placed = placed.where(F.col("kind").isNotNull()).withColumn("start", F.col("end") - F.col("width"))
 
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     sweep = W.partitionBy(*key).orderBy("start", rank)

@@ -198,33 +198,46 @@ def _secrets_sql() -> str:
     )
     role = " ".join(f"WHEN kind IN {(*kinds, '')} THEN '{role}'" for role, kinds in linked_secrets.ROLES.items())
     ranks = " ".join(f"WHEN kind = '{kind}' THEN {i}" for i, kind in enumerate(linked_secrets.KINDS, start=1))
-    near = lambda role: (
-        f"coalesce(start - max(stop) FILTER (role = '{role}') OVER earlier <= {linked_secrets.SCOPE}, false)"
-        f" OR coalesce(min(start) FILTER (role = '{role}') OVER later - stop <= {linked_secrets.SCOPE}, false)"
-    )
+
+    def over(members: str) -> str:
+        """Whether a span overlaps one of the members."""
+        return (f"coalesce(max(stop) FILTER ({members}) OVER earlier > start, false)"
+                f" OR coalesce(min(start) FILTER ({members}) OVER later < stop, false)")
+
+    def near(role: str, other: str) -> str:
+        members = f"role = '{other}'" + (" AND NOT inside" if role == "endpoint" else "")
+        found = (f"(coalesce(start - max(stop) FILTER ({members}) OVER earlier <= {linked_secrets.SCOPE}, false)"
+                 f" OR coalesce(min(start) FILTER ({members}) OVER later - stop <= {linked_secrets.SCOPE}, false))")
+        return found + (" AND NOT inside" if other == "endpoint" else "")
+
     linked = " OR ".join(
-        f"(role = '{role}' AND ({' OR '.join(map(near, others))}))" for role, others in linked_secrets.COMPLEMENTS.items()
+        f"(role = '{role}' AND ({' OR '.join(near(role, other) for other in others)}))" for role, others in linked_secrets.COMPLEMENTS.items()
     )
     counts = ", ".join(f"count(*) FILTER (kind = '{kind}') AS n_{kind}" for kind in linked_secrets.BASE)
+    windows = """WINDOW earlier AS (PARTITION BY row_id ORDER BY start, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+        later AS (PARTITION BY row_id ORDER BY start, rank ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"""
     return f"""
     WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS t FROM documents
     ), scans AS ({scans}
+    ), measured AS (
+      SELECT *, CASE WHEN pattern = 'login' THEN 3 + instr(found[4:], ':') ELSE 0 END AS skipped,
+        CASE WHEN pattern = 'login' THEN 1 ELSE 0 END AS behind, sum(before + length(found)) OVER (PARTITION BY row_id, pattern ORDER BY k) AS ending
+      FROM scans
     ), placed AS (
-      SELECT row_id, length(found) AS width, sum(before + length(found)) OVER (PARTITION BY row_id, pattern ORDER BY k) AS stop,
+      SELECT row_id, ending - behind AS stop, ending - length(found) + skipped AS start,
         CASE WHEN pattern = 'assign' THEN CASE WHEN length(value) >= {linked_secrets.LEAST_VALUE} THEN 'assign' END
           WHEN pattern <> 'token' THEN pattern
           WHEN regexp_full_match(found, '[A-Z0-9]{{16,32}}') AND regexp_matches(found, '[0-9]') AND regexp_matches(found, '[A-Z]') THEN 'key_id'
-          WHEN length(found) >= 32 AND regexp_matches(found, '[0-9]') AND regexp_matches(found, '[A-Z]') AND regexp_matches(found, '[a-z]') THEN 'blob'
+          WHEN length(found) >= 32 AND regexp_matches(found, '[0-9]') AND regexp_matches(found, '[A-Z]') AND regexp_matches(found, '[a-z]')
+            AND 2 * length(regexp_replace(found, '{linked_secrets.WORDY}', '', 'g')) >= length(found) THEN 'blob'
         END AS kind
-      FROM scans
+      FROM measured
     ), ranked AS (
-      SELECT *, stop - width AS start, CASE {ranks} END AS rank, CASE {role} END AS role, rank <= 3 AS certain FROM placed WHERE kind IS NOT NULL
+      SELECT *, CASE {ranks} END AS rank, CASE {role} END AS role, rank <= 3 AS certain FROM placed WHERE kind IS NOT NULL
+    ), within AS (
+      SELECT *, kind = 'blob' AND ({over("kind = 'endpoint'")}) AS inside FROM ranked {windows}
     ), judged AS (
-      SELECT *, certain OR (({linked}) AND NOT coalesce(max(stop) FILTER (certain) OVER earlier > start, false)
-        AND NOT coalesce(min(start) FILTER (certain) OVER later < stop, false)) AS reported
-      FROM ranked
-      WINDOW earlier AS (PARTITION BY row_id ORDER BY start, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
-        later AS (PARTITION BY row_id ORDER BY start, rank ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+      SELECT *, certain OR (({linked}) AND NOT ({over('certain')})) AS reported FROM within {windows}
     ), texts AS (
       SELECT row_id, {counts}, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) AS spans,
         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) FILTER (certain) AS base
