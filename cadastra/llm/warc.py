@@ -18,8 +18,6 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -111,16 +109,19 @@ def write_archive(
     date = date or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     decided = stage(resolve_revisits(pages, id, url, payload, min_bytes), "records")
 
-    # Payloads travel for responses only, one of each id, address and payload.
+    # Payloads travel once and for responses only, one of each id, address and payload. The join is on the
+    # column they are grouped by; only rows that are several responses are dealt anew.
     key = ["page_id", "url", "sha256"]
-    bodies = _payloads(pages, id, url, payload).groupBy(*key).agg(F.first("payload").alias("payload"))
-    wanted = decided.where("responses > 0").withColumnsRenamed({c: f"__{c}" for c in key})
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key])
-    responses = _times(bodies.join(wanted, same), "responses").select(
-        *key, "copy", "payload", "payload_bytes", "payload_digest", *[F.lit(None).cast(kind).alias(c) for c, kind in (("refers_to", "long"), ("refers_url", "string"))]
+    about = F.md5(F.concat("sha256", F.to_json(F.struct("page_id", "url")))).alias("__row")
+    bodies = _payloads(pages, id, url, payload).select("payload", about).groupBy("__row").agg(F.first("payload").alias("payload"))
+    wanted = decided.where("responses > 0").select(*decided.columns, about.alias("__wanted"))
+    columns = [*key, "copy", "payload", "payload_bytes", "payload_digest"]
+    one, several = (
+        bodies.join(wanted.where(which), F.col("__row") == F.col("__wanted")) for which in ("responses = 1", "responses > 1")
     )
+    responses = one.withColumn("copy", F.lit(0).cast("long")).select(*columns).unionAll(_times(several, "responses").select(*columns))
     revisits = _times(decided.where("revisits > 0"), "revisits").select(
-        *key, "copy", F.lit(None).cast("binary").alias("payload"), "payload_bytes", "payload_digest", "refers_to", "refers_url"
+        *key, "copy", "payload_bytes", "payload_digest", "refers_to", "refers_url"
     )
 
     def written(records: DataFrame, record_type: str) -> DataFrame:
