@@ -13,6 +13,7 @@ from cadastra.operators.joins import Lookup
 from cadastra.plans import certificates, indicators
 from cadastra.sources import readers, writers
 from cadastra.sources.staging import fresh_dir, stage
+from cadastra.streaming import retract
 
 # --- the register seen in the test tables ----------------------------------------------------
 #
@@ -266,21 +267,26 @@ _PROFILE_FLAGS_SQL = ",\n    ".join(
 )
 
 
-@query("i07_housing_profile", f"""
+def _profile_sql(lines: str) -> str:
+    """The profile over some form of ``lineitem``."""
+    return f"""
 WITH c AS (SELECT p_brand AS local_authority, p_size AS lsoa21, {words_sql(_ROOF, 'p_type')} AS roof,
     {words_sql(_ROOF, "CASE WHEN l_returnflag = 'R' THEN p_type ELSE 'LARGE' END")} AS walls,
     {words_sql(_FUEL, 'p_type')} AS fuel, {words_sql(_TENURE, 'p_type')} AS tenure,
     nullif({words_sql(_FORM, 'p_type')}, 'NO DATA!') AS form,
     CASE l_linestatus WHEN 'F' THEN 'House' ELSE 'Flat' END AS kind, CASE l_returnflag WHEN 'A' THEN 'A' WHEN 'N' THEN 'B' END
-    AS rating, l_quantity FROM lineitem JOIN part ON l_partkey = p_partkey)
+    AS rating, l_quantity FROM {lines} JOIN part ON l_partkey = p_partkey)
 SELECT local_authority, lsoa21, {_PROFILE_FLAGS_SQL}, round_even(avg(l_quantity), 0) AS quantity,
-    count(*) AS epc_properties_count FROM c GROUP BY 1, 2""")
-def _(t):
-    line = t.lineitem.select("l_partkey", "l_returnflag", "l_linestatus", "l_quantity")
+    count(*) AS epc_properties_count FROM c GROUP BY 1, 2"""
+
+
+def _certificates(t: Tables, lines: DataFrame, *keep: str) -> DataFrame:
+    """Order lines as certificates: what the part is made of as roof, walls, fuel, tenure and form."""
+    line = lines.select("l_partkey", "l_returnflag", "l_linestatus", "l_quantity", *keep)
     parts = Lookup(t.part, {"l_partkey": "p_partkey"}, ["p_brand", "p_size", "p_type"], "inner")
     walls_key = F.when(F.col("l_returnflag") == "R", F.col("p_type")).otherwise("LARGE")
-    certs = joins.enrich(line, parts).withColumn("walls_key", walls_key).select(
-        F.col("p_brand").alias("local_authority"), F.col("p_size").alias("lsoa21"),
+    return joins.enrich(line, parts).withColumn("walls_key", walls_key).select(
+        *keep, F.col("p_brand").alias("local_authority"), F.col("p_size").alias("lsoa21"),
         words(_ROOF, "p_type").alias("roof_energy_eff"), words(_ROOF, "walls_key").alias("walls_energy_eff"),
         words(_FUEL, "p_type").alias("main_fuel"), words(_TENURE, "p_type").alias("tenure"),
         words(_FORM, "p_type").alias("built_form"),
@@ -288,7 +294,41 @@ def _(t):
         words({"A": "A", "N": "B"}, "l_returnflag").alias("current_energy_rating"),
         F.col("l_quantity").alias("n_quantity"),
     )
-    return certificates.housing_profile(certs, _PROPERTY, _RATINGS, ["n_quantity"])
+
+
+@query("i07_housing_profile", _profile_sql("lineitem"))
+def _(t):
+    return certificates.housing_profile(_certificates(t, t.lineitem), _PROPERTY, _RATINGS, ["n_quantity"])
+
+
+@query("i07_refreshed_profile", _profile_sql("""(
+    SELECT CASE WHEN l_suppkey % 5 = 1 AND l_partkey > 0 THEN l_partkey - 1 ELSE l_partkey END AS l_partkey, l_linestatus,
+        CASE WHEN l_suppkey % 5 IN (0, 1) THEN 'A' ELSE l_returnflag END AS l_returnflag,
+        CASE WHEN l_suppkey % 5 = 0 THEN l_quantity * 2 ELSE l_quantity END AS l_quantity
+    FROM lineitem WHERE l_suppkey % 5 <> 3 OR l_linestatus = 'F')"""))
+def _(t):
+    # A register without the lines of some suppliers, then two batches: lines rated anew and larger; new lines,
+    # and lines that move to another part, and so to another authority and area.
+    key = ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice"]
+    numbered = t.lineitem.withColumn("l_part", F.col("l_orderkey") % 16).withColumn("stamp", F.lit(0))
+    rated = numbered.where("l_suppkey % 5 = 0").withColumns({"l_returnflag": F.lit("A"), "l_quantity": F.col("l_quantity") * 2})
+    moved = numbered.where("l_suppkey % 5 = 1").withColumns({"l_returnflag": F.lit("A"), "l_partkey": F.greatest(F.col("l_partkey") - 1, F.lit(0))})
+    added = numbered.where("l_suppkey % 5 = 2 OR (l_suppkey % 5 = 3 AND l_linestatus = 'F')")
+    outdated = rated.withColumn("l_returnflag", F.lit("N"))  # repeated in the batch, the later stamp wins
+    waves = [rated.withColumn("stamp", F.lit(2)).unionByName(outdated), moved.unionByName(added)]
+
+    def flagged(lines: DataFrame) -> DataFrame:
+        certs = _certificates(t, lines, *key, "l_part", "stamp")
+        return certificates.profile_flags(certs, _PROPERTY, _RATINGS, ["n_quantity"], [*key, "l_part", "stamp"])
+
+    register, sums = fresh_dir(t.spark, "i07-register"), fresh_dir(t.spark, "i07-sums")
+    first = stage(flagged(numbered.where("l_suppkey % 5 NOT IN (2, 3)")), "i07")
+    writers.replace_table(first, register, ["l_part"])
+    spec = retract.Sums(("local_authority", "lsoa21"), tuple(c for c in first.columns if c.startswith("d_")), ("n_quantity",))
+    retract.start_profile(first, sums, spec)
+    for number, wave in enumerate(waves, start=1):
+        retract.refresh(t.spark, register, sums, flagged(wave), [*key, "l_part"], "l_part", "stamp", spec, number)
+    return retract.profile(retract.stored_sums(t.spark, sums, first.schema, spec), spec, "epc_properties_count")
 
 
 # --- emissions -------------------------------------------------------------------------------

@@ -448,8 +448,8 @@ def _(t):
         events.where(condition).write.mode("append").parquet(feed)
         stream = incremental.stream_files(t.spark, feed, events.schema)
         latest = incremental.stream_latest(stream, "user_id", ["ts", "event_id"], ["event_id", "event_type", "value"])
-        incremental.run_latest_table(latest, out, checkpoint, "user_id", 8, t.spark.sparkContext.defaultParallelism)
-    return incremental.latest_table(t.spark, out, latest.schema)
+        incremental.run_latest_table(latest, out, checkpoint, "user_id", t.spark.sparkContext.defaultParallelism)
+    return incremental.latest_table(t.spark, out, latest.schema, "user_id")
 
 
 @query("t05_stream_high_water_mark", "SELECT event_id, user_id, value FROM events")

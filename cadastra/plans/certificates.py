@@ -105,15 +105,23 @@ def ingest(certs: DataFrame, source: str, order: list) -> DataFrame:
     )
 
 
+def profile_flags(
+    certs: DataFrame, property_types: dict[str, str], ratings: dict[str, str], means: list[str] = (), keep: list[str] = ()
+) -> DataFrame:
+    """Authority, small area and 0/1 features of every certificate, with numbers and columns to keep."""
+    extra = domain.one_hot("property_type", property_types) + domain.one_hot("current_energy_rating", ratings)
+    return certs.select(*keep, "local_authority", "lsoa21", *means, *domain.profile_flags(), *extra)
+
+
 def housing_profile(
     certs: DataFrame, property_types: dict[str, str], ratings: dict[str, str], means: list[str] = ()
 ) -> DataFrame:
     """Per authority and small area: percent and number of properties with each feature, in one pass.
 
-    ``property_types`` and ``ratings`` map flag names to the values they stand for.
+    ``property_types`` and ``ratings`` map flag names to the values they stand for. For a profile that follows
+    update batches without a new pass see :mod:`cadastra.streaming.retract`.
     """
-    extra = domain.one_hot("property_type", property_types) + domain.one_hot("current_energy_rating", ratings)
-    flagged = certs.select("local_authority", "lsoa21", *means, *domain.profile_flags(), *extra)
+    flagged = profile_flags(certs, property_types, ratings, means)
     flags = [c for c in flagged.columns if c.startswith("d_")]
     return aggs.flag_profile(flagged, ["local_authority", "lsoa21"], flags, means, "epc_properties_count")
 

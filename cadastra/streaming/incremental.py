@@ -7,14 +7,16 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cadastra.functions.cols import as_list
 from cadastra.functions.dates import month_after, month_before
 from cadastra.operators.dedupe import last_after_sort
 from cadastra.operators.sets import unite
-from cadastra.sources.staging import stage
+from cadastra.sources.staging import fresh_dir, stage
 from cadastra.sources.writers import conform_update, rebalanced
+from cadastra.streaming import deltas
 
 
 def load_window(stored: DataFrame, date: str, today: dt.date) -> DataFrame:
@@ -56,19 +58,47 @@ def upsert_partitions(
     """Upsert into a Parquet table partitioned by ``partition``; only touched partitions are rewritten.
 
     The partition column must follow from the key (a month of a date in the key), so that a key never
-    moves. The merged rows are staged first because a table cannot be read and overwritten at once.
-    A repeated run of the same updates gives the same table.
-
-    The touched partition values, one per partition of the batch, come to the driver and filter the
+    moves. The touched partition values, one per partition of the batch, come to the driver and filter the
     scan of the table, so other partitions are not even listed.
+
+    The merged rows of the touched partitions are staged, noted beside the table in ``<path>.pending``, and
+    only then written over it. A run that dies while partitions are being replaced leaves the note, and the
+    next run writes the staged rows again before it reads the table (:func:`finish_upsert`): no row is lost,
+    and a repeated run of the same updates gives the same table. Staged rows must outlive the run, so the
+    scratch folder is the shared one. Readers of a touched partition see it missing for the time of its swap.
     """
+    finish_upsert(spark, path)
     updates = stage(updates, "updates")  # read three times: partitions, keys, rows
     touched = [row[0] for row in updates.select(partition).distinct().collect()]
     if not touched:
         return
-    merged = stage(upsert(touched_rows(spark, path, updates.schema, partition, touched), updates, key, order), "upsert")
-    writer = rebalanced(merged, [partition]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(partition).parquet(path)
+    staged = fresh_dir(spark, "upsert")
+    upsert(touched_rows(spark, path, updates.schema, partition, touched), updates, key, order).write.parquet(staged)
+    _note_pending(spark, path, staged, partition)
+    finish_upsert(spark, path)
+
+
+_PENDING = "staged string, part string"
+
+
+def _note_pending(spark: SparkSession, path: str, staged: str | None, part: str | None) -> None:
+    note = spark.range(1 if staged else 0).select(F.lit(staged).cast("string").alias("staged"), F.lit(part).cast("string").alias("part"))
+    note.coalesce(1).write.mode("overwrite").parquet(f"{path}.pending")
+
+
+def finish_upsert(spark: SparkSession, path: str) -> None:
+    """Write the rows of an upsert that was staged and not confirmed; without one, nothing happens."""
+    try:
+        notes = spark.read.schema(_PENDING).parquet(f"{path}.pending").collect()  # one row at most
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return
+    for note in notes:
+        merged = spark.read.parquet(note["staged"])
+        writer = rebalanced(merged, [note["part"]]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(note["part"]).parquet(path)
+        _note_pending(spark, path, None, None)
 
 
 def touched_rows(spark: SparkSession, path: str, schema: T.StructType, partition: str, values: list) -> DataFrame:
@@ -144,31 +174,31 @@ def run_batches(
     query.awaitTermination()
 
 
-_BUCKET = "__bucket"
-
-
-def run_latest_table(
-    latest: DataFrame, path: str, checkpoint: str, key, buckets: int = 64, state_partitions: int | None = None
-) -> None:
+def run_latest_table(latest: DataFrame, path: str, checkpoint: str, key, state_partitions: int | None = None) -> None:
     """Keep :func:`stream_latest` as a table of one row per key, whatever the number of batches.
 
-    The changed keys of a batch, one row each, replace their rows in a table partitioned by a hash of
-    the key; buckets without a change are not touched. Read it with :func:`latest_table`.
+    A batch writes its changed keys, one row each; now and then all parts are merged into one (see
+    :mod:`deltas`). So the bytes written follow the batches, not the table. A repeated batch counts once. Read
+    it with :func:`latest_table`.
     """
     keys = as_list(key)
 
-    def merge(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        bucketed = batch.withColumn(_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-        bucketed.limit(0).write.mode("ignore").partitionBy(_BUCKET).parquet(path)  # an empty table, once
-        upsert_partitions(spark, path, bucketed, keys, _BUCKET, keys)
+    def store(batch: DataFrame, batch_id: int) -> None:
+        deltas.add_batch(batch, path, batch_id, lambda parts: _newest_rows(parts, keys))
+
+    run_batches(latest, store, checkpoint, "update", state_partitions)
+
 
-    run_batches(latest, merge, checkpoint, "update", state_partitions)
+def _newest_rows(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: that of its last batch, which holds the latest values the stream has seen."""
+    values = [c for c in parts.columns if c not in (*keys, deltas.BATCH)]
+    newest = parts.groupBy(*keys).agg(F.max_by(F.struct(*values), deltas.BATCH).alias("__row"))
+    return newest.select(*keys, "__row.*")
 
 
-def latest_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def latest_table(spark: SparkSession, path: str, schema: T.StructType, key) -> DataFrame:
     """The table of :func:`run_latest_table` in the columns of ``schema``."""
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    return _newest_rows(deltas.parts(spark, path, schema), as_list(key)).select(*schema.names)
 
 
 def run_upserts(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from cadastra.operators import dedupe
 from cadastra.sources import writers
-from cadastra.streaming import incremental
+from cadastra.streaming import deltas, incremental
 
 SCHEMA = "k int, day date, v int"
 
@@ -74,23 +75,79 @@ def test_latest_per_key_stream_equals_batch(spark, rows, tmp_path):
         frame(spark, *data[start:start + 100]).repartition(3).write.mode("append").parquet(feed)
         stream = incremental.stream_files(spark, feed, frame(spark, data[0]).schema, maxFilesPerTrigger=2)
         latest = incremental.stream_latest(stream, "k", ["day", "v"], ["day", "v"])
-        incremental.run_latest_table(latest, out, checkpoint, "k", buckets=3)
-    got = rows(incremental.latest_table(spark, out, latest.schema), "k", "day", "v")
+        incremental.run_latest_table(latest, out, checkpoint, "k")
+    got = rows(incremental.latest_table(spark, out, latest.schema, "k"), "k", "day", "v")
     assert got == rows(dedupe.last_after_sort(frame(spark, *data), "k", ["day", "v"]), "k", "day", "v")
 
 
-def test_files_of_a_latest_table_do_not_grow_with_the_batches(spark, tmp_path):
+def written(path) -> dict:
+    return {file: file.stat().st_size for file in path.rglob("part-*.parquet") if file.parent.name != "log"}
+
+
+def test_a_latest_table_writes_what_its_batches_hold(spark, tmp_path):
+    """Small batches into a large table: few rows are written, and few parts are read, however many batches there are."""
     feed, out, checkpoint = (str(tmp_path / n) for n in ("feed", "out", "cp"))
-    files = []
-    for wave in range(20):
-        frame(spark, *[(k, d(1 + wave // 2), wave) for k in range(6)]).coalesce(1).write.mode("append").parquet(feed)
-        stream = incremental.stream_files(spark, feed, frame(spark, (0, d(1), 0)).schema)
-        latest = incremental.stream_latest(stream, "k", ["day", "v"], ["day", "v"])
-        incremental.run_latest_table(latest, out, checkpoint, "k", buckets=2, state_partitions=2)
-        if wave in (1, 19):
-            files.append(len(spark.read.parquet(out).inputFiles()))
-    assert files[1] <= files[0] <= 4
-    assert sorted(r["v"] for r in incremental.latest_table(spark, out, latest.schema).collect()) == [19] * 6
+    spark.range(20_000).selectExpr("cast(id AS int) k", "date'2024-01-01' day", "0 v").coalesce(1).write.parquet(feed)
+    schema, sizes = frame(spark, (0, d(1), 0)).schema, []
+    for wave in range(12):
+        if wave:
+            frame(spark, *[(7 * wave + k, d(2), wave) for k in range(6)]).coalesce(1).write.mode("append").parquet(feed)
+        before = written(tmp_path / "out")
+        latest = incremental.stream_latest(incremental.stream_files(spark, feed, schema), "k", ["day", "v"], ["day", "v"])
+        incremental.run_latest_table(latest, out, checkpoint, "k", state_partitions=2)
+        sizes.append(sum(size for file, size in written(tmp_path / "out").items() if file not in before))
+    assert max(sizes[3:]) < sizes[0] / 10
+    table = incremental.latest_table(spark, out, latest.schema, "k")
+    assert table.count() == 20_000 and sorted(r["v"] for r in table.where("v > 0").collect())[-6:] == [11] * 6
+    assert table.where("k = 83").first()["v"] == 11 and table.where("k = 75").first()["v"] == 10
+
+
+def test_parts_are_merged_when_they_outgrow_their_base(spark, rows, tmp_path):
+    root = str(tmp_path / "t")
+    schema = frame(spark, (0, d(1), 0)).schema
+    for batch in (*range(9), 8, 3):  # the last two are repeats
+        part = frame(spark, *[(k, d(1), 100 * batch + k) for k in range(batch % 3, 4)])
+        deltas.add_batch(part, root, batch, lambda parts: incremental._newest_rows(parts, ["k"]))
+    assert rows(incremental._newest_rows(deltas.parts(spark, root, schema), ["k"]), "k", "v") == [(0, 600), (1, 701), (2, 802), (3, 803)]
+    assert len(deltas._log(spark, root)) <= 4 and deltas.is_stored(spark, root, 2) and not deltas.is_stored(spark, root, 9)
+    assert deltas.parts(spark, str(tmp_path / "none"), schema).count() == 0
+
+
+def test_a_batch_that_died_is_not_read(spark, rows, tmp_path, monkeypatch):
+    """Written without a log entry: it does not count, and the repeated batch writes it again."""
+    root, schema = str(tmp_path / "t"), frame(spark, (0, d(1), 0)).schema
+    merge = lambda parts: incremental._newest_rows(parts, ["k"])
+    deltas.add_batch(frame(spark, (1, d(1), 1)), root, 0, merge)
+    frame(spark, (1, d(1), 99), (5, d(1), 99)).write.parquet(f"{root}/batch=1")
+    assert rows(merge(deltas.parts(spark, root, schema)), "k", "v") == [(1, 1)]
+    deltas.add_batch(frame(spark, (1, d(1), 2)), root, 1, merge)
+    assert rows(merge(deltas.parts(spark, root, schema)), "k", "v") == [(1, 2)]
+
+
+def test_an_upsert_that_died_between_two_partitions_is_finished(spark, rows, tmp_path, monkeypatch):
+    """A touched partition is deleted and its replacement never written: nothing is lost."""
+    path = str(tmp_path / "t")
+    writers.replace_table(frame(spark, (1, d(1), 1), (2, d(1), 2), (3, d(2), 3), (4, d(3), 4)), path, ["day"])
+    updates = frame(spark, (2, d(1), 20), (9, d(2), 9))
+
+    def die(*_):
+        shutil.rmtree(tmp_path / "t" / "day=2024-01-01")
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "rebalanced", die)
+        with pytest.raises(RuntimeError, match="lost"):
+            incremental.upsert_partitions(spark, path, updates, ["k", "day"], "day", "v")
+    assert not (tmp_path / "t" / "day=2024-01-01").exists()
+    incremental.upsert_partitions(spark, path, updates, ["k", "day"], "day", "v")
+    assert rows(spark.read.schema(SCHEMA).parquet(path), "k", "v") == [(1, 1), (2, 20), (3, 3), (4, 4), (9, 9)]
+    # Also by a later upsert of other keys, which would otherwise go on from the damaged table.
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "rebalanced", die)
+        with pytest.raises(RuntimeError, match="lost"):
+            incremental.upsert_partitions(spark, path, frame(spark, (1, d(1), 10)), ["k", "day"], "day", "v")
+    incremental.upsert_partitions(spark, path, frame(spark, (2, d(1), 21)), ["k", "day"], "day", "v")
+    assert rows(spark.read.schema(SCHEMA).parquet(path), "k", "v") == [(1, 10), (2, 21), (3, 3), (4, 4), (9, 9)]
 
 
 def test_one_key_twice_in_a_batch(spark, rows):
