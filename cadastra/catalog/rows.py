@@ -332,6 +332,13 @@ def _(t):
     return filters.sample_rows(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey", 500, 42)
 
 
+@query("o03_sample_per_area", """
+SELECT o_orderkey, o_orderpriority FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('7:' || o_orderkey), o_orderkey) <= 40""")
+def _(t):
+    return filters.sample_rows_per_area(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderpriority", "o_orderkey", 40, 7)
+
+
 @query("o04_default_page", """
 SELECT event_id, user_id, event_type, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 20""")
 def _(t):

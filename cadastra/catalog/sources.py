@@ -13,9 +13,10 @@ from cadastra.catalog.registry import Tables, query
 from cadastra.operators import quality, sets
 from cadastra.operators.joins import Lookup, enrich
 from cadastra.operators.names import rename_all
-from cadastra.sources import readers, writers
+from cadastra.sources import gates, readers, writers
+from cadastra.sources.inline import local_table
 from cadastra.sources.staging import fresh_dir, stage
-from cadastra.streaming import incremental
+from cadastra.streaming import event_time, incremental
 
 _ORDER_FIELDS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
@@ -329,6 +330,36 @@ def _(t):
     return stored.groupBy("o_orderpriority").agg(F.count("*").alias("n"))
 
 
+@query("k13_gated_load", """
+SELECT 'customer' AS table_name, 'segment is known' AS gate, count(*) FILTER (c_mktsegment NOT IN ('BUILDING', 'MACHINERY')) AS n_rows FROM customer
+UNION ALL SELECT 'orders', 'year is in window', count(*) FILTER (year(o_orderdate) NOT BETWEEN 1993 AND 1996) FROM orders
+UNION ALL SELECT 'customer', 'c_custkey is unique', 0
+UNION ALL SELECT 'orders', 'o_orderkey is unique', count(*) FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'orders', 'o_custkey is in customer', count(DISTINCT o_custkey) FROM orders
+    WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0)
+UNION ALL SELECT 'stored customers', 'rows', count(*) FROM customer""")
+def _(t):
+    # A good load, then one that every gate has something against: it is refused and the first one stays.
+    root = fresh_dir(t.spark, "k13g")
+    gates.publish_checked(t.spark, root, {"customer": t.customer}, {"customer": gates.Checks(unique=("c_custkey",), least_rows=1)})
+    broken = {
+        "customer": t.customer.withColumn("c_custkey", F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey"))),
+        "orders": t.orders.unionAll(t.orders.where("o_orderstatus = 'F'").withColumn("o_orderdate", F.lit("1995-01-01").cast("timestamp_ntz"))),
+    }
+    checks = {
+        "customer": gates.Checks({"segment is known": F.col("c_mktsegment").isin("BUILDING", "MACHINERY")}, ("c_custkey",)),
+        "orders": gates.Checks({"year is in window": F.year("o_orderdate").between(1993, 1996)}, ("o_orderkey",), {"customer": {"o_custkey": "c_custkey"}}),
+    }
+    report = []
+    try:
+        gates.publish_checked(t.spark, root, broken, checks)
+    except gates.RefusedLoad as refused:
+        report = refused.report
+    stored = writers.published_table(t.spark, root, "customer").select(F.lit("stored customers").alias("table_name"), F.lit("rows").alias("gate"))
+    counted = stored.groupBy("table_name", "gate").agg(F.count("*").alias("n_rows"))
+    return local_table(t.spark, report, "table_name string, gate string, n_rows bigint").unionAll(counted)
+
+
 _CATALOG = ["customer", "orders", "lineitem", "events"]
 
 
@@ -462,3 +493,50 @@ def _(t):
         stream = incremental.stream_files(t.spark, feed, events.schema).drop("event_type")
         incremental.run_to_folder(stream, out, checkpoint, "append")
     return t.spark.read.parquet(out).drop("batch")
+
+
+#: Three waves of events in the order of their arrival: their days, and which of the days before come again or late.
+_WAVES = ((1, 10, "false"), (11, 20, "event_id % 5 = 0"), (21, 31, "event_id % 3 = 0"))
+_DELAY_DAYS = 2
+
+
+def _wave(first: int, last: int, again: str) -> str:
+    """Events of a wave: its own days without every seventh event, some of all earlier ones (repeats), and, late, what was left out before."""
+    return (f"(day(ts) BETWEEN {first} AND {last} AND event_id % 7 <> 0) OR (day(ts) < {first} AND {again})"
+            f" OR (day(ts) BETWEEN {first - 10} AND {first - 1} AND event_id % 7 = 0)")
+
+
+# An event counts at its first arrival, if that is not behind the newest time of the waves before less the delay.
+_ARRIVALS_SQL = f"""
+WITH arrivals AS ({" UNION ALL ".join(f"SELECT {i} AS wave, * FROM events WHERE {_wave(*w)}" for i, w in enumerate(_WAVES))}
+), marks AS (
+  SELECT wave, max(max(ts)) OVER (ORDER BY wave ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL {_DELAY_DAYS} DAY AS mark
+  FROM arrivals GROUP BY wave
+), counted AS (
+  SELECT a.* FROM arrivals a JOIN marks USING (wave) WHERE mark IS NULL OR ts > mark QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY wave) = 1
+), last_mark AS (SELECT max(ts) - INTERVAL {_DELAY_DAYS} DAY AS mark FROM arrivals)"""
+
+
+def _event_waves(t: Tables, label: str, build):
+    """Run ``build(stream)`` over the three waves, each a run of its own on one checkpoint; the folder of results."""
+    feed, out, checkpoint = (fresh_dir(t.spark, f"{label}-{part}") for part in ("feed", "out", "checkpoint"))
+    for wave in _WAVES:
+        t.events.where(_wave(*wave)).write.mode("append").parquet(feed)
+        stream = event_time.with_watermark(incremental.stream_files(t.spark, feed, t.events.schema), "ts", f"{_DELAY_DAYS} days")
+        built = build(event_time.first_arrivals(stream, "event_id"))
+        incremental.run_to_folder(built, out, checkpoint, "append", t.spark.sparkContext.defaultParallelism)
+    return t.spark.read.schema(built.schema).parquet(out).select(*built.columns)
+
+
+@query("t05_first_arrivals", _ARRIVALS_SQL + " SELECT event_id, user_id, value FROM counted")
+def _(t):
+    return _event_waves(t, "t05-arrivals", lambda s: s).select("event_id", "user_id", "value")
+
+
+@query("t05_closed_windows", _ARRIVALS_SQL + """
+SELECT date_trunc('day', ts)::DATE AS day, event_type, count(*) AS n_events, round(sum(value), 4) AS value
+FROM counted, last_mark GROUP BY 1, 2, mark HAVING date_trunc('day', ts)::DATE + INTERVAL 1 DAY <= mark""")
+def _(t):
+    sums = [F.count("*").alias("n_events"), F.round(F.sum("value"), 4).alias("value")]
+    windows = _event_waves(t, "t05-windows", lambda s: event_time.closed_windows(s, "ts", "1 day", sums, "event_type"))
+    return windows.select(F.to_date("window_start").alias("day"), "event_type", "n_events", "value")

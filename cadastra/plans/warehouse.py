@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cadastra.functions.dates import parse_timestamp
 from cadastra.functions.geo import point_text
-from cadastra.operators import names, quality
+from cadastra.operators import names
 from cadastra.operators.sets import append_rows
 from cadastra.plans import certificates
-from cadastra.sources import readers, schemas, writers
+from cadastra.sources import gates, readers, schemas, writers
 
 # Table -> column that must be unique in it. The 2011 area lookup has none: it is known to repeat.
 UNIQUE_KEYS = {
@@ -52,28 +52,21 @@ def read_authorities(spark: SparkSession, path, extra: list[tuple] = ()) -> Data
     return append_rows(lookup, list(extra)) if extra else lookup
 
 
-def check_keys(stored: dict[str, DataFrame], unique: dict[str, str] = UNIQUE_KEYS) -> None:
-    """Every present table must have its key at most once."""
-    for table, key in unique.items():
-        if table in stored:
-            found = quality.repeated_keys(stored[table].where(F.col(key).isNotNull()), key)
-            quality.require_none(found, f"{table} repeats {key}")
+def load(spark: SparkSession, root: str, tables: dict[str, DataFrame], unique: dict[str, str] = UNIQUE_KEYS) -> list[tuple[str, str, int]]:
+    """Store all tables, or none of them when a key repeats; the report of the gates.
 
-
-def load(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> str:
-    """Store all tables, or none of them when a key repeats."""
-    return writers.publish_tables(spark, root, tables, check_keys)
+    Tables are evaluated once; their keys are checked on the stored key columns.
+    """
+    return gates.publish_checked(spark, root, tables, {table: gates.Checks(unique=(key,)) for table, key in unique.items() if table in tables})
 
 
 def define_views(spark: SparkSession, root: str, region: str) -> list[str]:
     """Views over the newest published tables: domestic, domestic of a region, non-domestic of a region.
 
-    A view reads the versions that are newest when it is defined. Call this again after a load.
+    All views read the versions that are newest when they are defined. Call this again after a load.
     """
-    domestic, non_domestic, postcodes, tenure, imd, authorities = (
-        writers.published_table(spark, root, name)
-        for name in ("domestic", "non_domestic", "postcodes", "tenure", "imd", "authorities")
-    )
+    tables = writers.published_tables(spark, root, ["domestic", "non_domestic", "postcodes", "tenure", "imd", "authorities"])
+    domestic, non_domestic, postcodes, tenure, imd, authorities = tables.values()
     views = {
         "epc_domestic_vw": certificates.domestic_view(domestic, postcodes, tenure, imd),
         "epc_domestic_region_vw": certificates.domestic_view(domestic, postcodes, tenure, imd, authorities, region),

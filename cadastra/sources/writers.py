@@ -86,9 +86,15 @@ def geojson_carried(df: DataFrame, geometry: ColumnLike, properties: list[str])
     return df.select(F.concat(*fields).alias("value"))
 
 
-def json_list(df: DataFrame, column: str) -> DataFrame:
-    """One row, ``value``: the sorted distinct values of a short column (codes of areas) as a JSON list."""
-    return df.agg(F.to_json(F.sort_array(F.collect_set(column))).alias("value"))
+def json_list(df: DataFrame, column: str, most: int = 100_000) -> DataFrame:
+    """One row, ``value``: the sorted distinct values of a short column (codes of areas) as a JSON list.
+
+    The list is one cell, so a column with more than ``most`` values raises when the result is evaluated.
+    """
+    values = df.where(F.col(column).isNotNull()).select(column).distinct()
+    few = values.limit(most + 1).agg(F.sort_array(F.collect_list(column)).alias("values"))
+    too_many = F.raise_error(F.lit(f"{column} has more than {most} values"))
+    return few.select(F.to_json(F.when(F.size("values") <= most, F.col("values")).otherwise(too_many)).alias("value"))
 
 
 def write_geojson_lines(df: DataFrame, path: str, x: ColumnLike, y: ColumnLike, properties: list[str]) -> None:
@@ -101,6 +107,7 @@ _COMMITS = "version string, committed_at timestamp, table string"
 def publish_tables(
     spark: SparkSession, root: str, frames: dict[str, DataFrame],
     gates: Callable[[dict[str, DataFrame]], None] = lambda stored: None,
+    write: Callable[[DataFrame, str, str], None] = lambda df, name, path: df.write.parquet(path),
 ) -> str:
     """All-or-nothing load of several tables.
 
@@ -110,7 +117,7 @@ def publish_tables(
     """
     path = f"load-{uuid.uuid4().hex}"
     for name, df in frames.items():
-        df.write.parquet(f"{root}/{path}/{name}")
+        write(df, name, f"{root}/{path}/{name}")
     gates({name: spark.read.parquet(f"{root}/{path}/{name}") for name in frames})
     commit = spark.range(1).select(
         F.lit(path).alias("version"), F.current_timestamp().alias("committed_at"),
@@ -120,10 +127,20 @@ def publish_tables(
     return path
 
 
+def published_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
+    """The newest committed versions of several tables, from one look at the commits.
+
+    A load that commits meanwhile is seen by none of them. Of equal commit times the larger version counts.
+    """
+    commits = spark.read.schema(_COMMITS).parquet(f"{root}/commits").where(F.col("table").isin(*names))
+    newest = commits.groupBy("table").agg(F.max(F.struct("committed_at", "version"))["version"].alias("version"))
+    versions = {row["table"]: row["version"] for row in newest.collect()}  # one row per table
+    for name in names:
+        if name not in versions:
+            raise LookupError(f"{name} was never published under {root}")
+    return {name: spark.read.parquet(f"{root}/{versions[name]}/{name}") for name in names}
+
+
 def published_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The newest committed version of a table."""
-    commits = spark.read.schema(_COMMITS).parquet(f"{root}/commits").where(F.col("table") == name)
-    newest = commits.agg(F.max_by("version", "committed_at").alias("version")).first()
-    if newest.version is None:
-        raise LookupError(f"{name} was never published under {root}")
-    return spark.read.parquet(f"{root}/{newest.version}/{name}")
+    return published_tables(spark, root, [name])[name]

@@ -139,23 +139,24 @@ def stream_latest(stream: DataFrame, key, order, value_columns: list[str]) -> Da
 
 def run_to_folder(
     stream: DataFrame, path: str, checkpoint: str, mode: str = "update", state_partitions: int | None = None
-) -> None:
+) -> list:
     """Process all available files; every batch goes to a folder of its own.
 
-    A batch that is repeated after a failure overwrites its own folder, so nothing counts twice.
+    A batch that is repeated after a failure overwrites its own folder, so nothing counts twice. Returns the
+    progress of the batches.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    run_batches(stream, write, checkpoint, mode, state_partitions)
+    return run_batches(stream, write, checkpoint, mode, state_partitions)
 
 
 def run_batches(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append",
     state_partitions: int | None = None,
-) -> None:
-    """Run a stream over all available files and wait for it.
+) -> list:
+    """Run a stream over all available files, wait for it, and return the progress of its batches.
 
     ``state_partitions`` sets how many partitions hold the state. The number is fixed by the first
     run on a checkpoint; without it the session's shuffle partitions are taken.
@@ -172,6 +173,7 @@ def run_batches(
     finally:
         conf.set(key, before)  # a started query keeps its own copy of the settings
     query.awaitTermination()
+    return query.recentProgress
 
 
 def run_latest_table(latest: DataFrame, path: str, checkpoint: str, key, state_partitions: int | None = None) -> None:

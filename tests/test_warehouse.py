@@ -62,7 +62,7 @@ def test_load_then_views(spark, rows, tables, tmp_path):
 def test_a_repeated_key_refuses_the_whole_load(spark, tables, tmp_path):
     root = str(tmp_path / "db")
     twice = {**tables, "postcodes": tables["postcodes"].union(tables["postcodes"])}
-    with pytest.raises(quality.GateError, match="postcodes repeats pcds"):
+    with pytest.raises(quality.GateError, match="postcodes: pcds is unique"):
         warehouse.load(spark, root, twice)
     with pytest.raises(Exception):
         warehouse.define_views(spark, root, "West")
