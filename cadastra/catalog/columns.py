@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cadastra.catalog.registry import Tables, query
 from cadastra.catalog.standins import band_sql, band_text, epoch_sql, range_year_sql, words, words_sql
-from cadastra.functions import bands, dates, domain, geo, numbers, text
+from cadastra.functions import bands, dates, domain, geo, grid_shift, numbers, polygons, text
 from cadastra.operators import aggs, filters, joins, names, windows
+from cadastra.sources.staging import stage
 
 # --- projections -----------------------------------------------------------------------------
 
@@ -613,6 +614,51 @@ def _(t):
     return back.select("c_custkey", F.round("lat", 5).alias("lat"), F.round("long", 5).alias("long"))
 
 
+def _squares(t: Tables) -> DataFrame:
+    """A polygon with a hole per customer, of two parts for every third, in degrees; null and broken texts for some."""
+    lat, long = F.lit(50) + F.col("c_nationkey") / 10.0, F.lit(-3) + (F.col("c_custkey") % 100) / 50.0
+    ring = lambda a, b: F.concat(F.lit("("), F.array_join(F.array(*[
+        F.concat_ws(" ", F.round(long + dx, 5).cast("string"), F.round(lat + dy, 5).cast("string")) for dx, dy in ((a, a), (b, a), (b, b), (a, b), (a, a))
+    ]), ", "), F.lit(")"))
+    with_hole = F.concat(F.lit("("), ring(0, 0.5), F.lit(", "), ring(0.125, 0.25), F.lit(")"))
+    two = F.concat(F.lit("MULTIPOLYGON ("), with_hole, F.lit(", ("), ring(0.625, 0.75), F.lit("))"))
+    text = F.when(F.col("c_custkey") % 3 == 0, two).otherwise(F.concat(F.lit("POLYGON "), with_hole))
+    text = F.when(F.col("c_custkey") % 10 == 1, None).when(F.col("c_custkey") % 10 == 2, F.lit("POLYGON ((0 0, 1 1, 0 0))")).otherwise(text)
+    return t.customer.select("c_custkey", text.alias("wkt"))
+
+
+@query("g03_polygon_round_trip", """
+WITH rings(part, ring, a, b) AS (VALUES (0, 0, 0.0, 0.5), (0, 1, 0.125, 0.25), (1, 0, 0.625, 0.75))
+SELECT c_custkey, part, ring, CASE WHEN part IS NULL THEN NULL ELSE 5 END::BIGINT AS n_vertices,
+    round(-3 + (c_custkey % 100) / 50.0 + a, 5)::DOUBLE AS west, round(50 + c_nationkey / 10.0 + a, 5)::DOUBLE AS south,
+    round(-3 + (c_custkey % 100) / 50.0 + b, 5)::DOUBLE AS east, round(50 + c_nationkey / 10.0 + b, 5)::DOUBLE AS north
+FROM customer LEFT JOIN rings ON c_custkey % 10 NOT IN (1, 2) AND (part = 0 OR c_custkey % 3 = 0)""")
+def _(t):
+    shapes = _squares(t).select("c_custkey", polygons.polygon_parts("wkt").alias("shape"))
+    moved = polygons.reprojected(shapes, "c_custkey", "shape", lambda df, x, y: geo.wgs84_to_grid(df, y, x), "easting", "northing")
+    through_text = moved.select("c_custkey", polygons.polygon_parts(polygons.polygon_text("shape")).alias("shape"))
+    back = polygons.reprojected(through_text, "c_custkey", "shape", geo.grid_to_wgs84, "long", "lat")
+    rings = polygons.vertices(back, "shape").groupBy("c_custkey", "part", "ring").agg(
+        F.count("*").alias("n_vertices"), F.round(F.min("x"), 5).alias("west"), F.round(F.min("y"), 5).alias("south"),
+        F.round(F.max("x"), 5).alias("east"), F.round(F.max("y"), 5).alias("north"),
+    )
+    return t.customer.select("c_custkey").join(rings, "c_custkey", "left")
+
+
+@query("g03_grid_shift", """
+SELECT c_custkey, true AS shift_is_known, round(50 + c_nationkey / 10.0, 5) AS lat, round(-3 + (c_custkey % 100) / 50.0, 5) AS long FROM customer""")
+def _(t):
+    # Nodes every 25 km with a shift that is linear in the place, so that its value is known everywhere.
+    nodes = t.spark.range(40 * 60).selectExpr("(id % 40) * 25000D AS east", "(id DIV 40) * 25000D AS north")
+    grid = nodes.select("*", (F.col("east") * 1e-5 + 90).alias("shift_east"), (F.col("north") * -2e-5 - 75).alias("shift_north"))
+    points = t.customer.select("c_custkey", (F.lit(50) + F.col("c_nationkey") / 10.0).alias("lat0"), (F.lit(-3) + (F.col("c_custkey") % 100) / 50.0).alias("long0"))
+    plain = stage(grid_shift.wgs84_to_grid(points, "lat0", "long0", east="plain_e", north="plain_n"), "g03")
+    there = grid_shift.wgs84_to_grid(plain, "lat0", "long0", grid, 25_000.0)
+    known = (F.abs(F.col("easting") - F.col("plain_e") * (1 + 1e-5) - 90) < 1e-6) & (F.abs(F.col("northing") - F.col("plain_n") * (1 - 2e-5) + 75) < 1e-6)
+    back = grid_shift.grid_to_wgs84(there, "easting", "northing", grid, 25_000.0)
+    return back.select("c_custkey", known.alias("shift_is_known"), F.round("lat", 5).alias("lat"), F.round("long", 5).alias("long"))
+
+
 @query("g04_features_by_code", """
 SELECT c_custkey, 'POLYGON-' || c_custkey AS geometry, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from cadastra.catalog.registry import Tables, query
@@ -10,7 +12,7 @@ from cadastra.functions.bands import year_by_range
 from cadastra.operators import filters, joins, quality
 from cadastra.operators.aggs import column_values, percent_drop
 from cadastra.operators.joins import Lookup
-from cadastra.plans import certificates, indicators
+from cadastra.plans import certificates, indicators, sql_layer, star
 from cadastra.sources import readers, writers
 from cadastra.sources.staging import fresh_dir, stage
 from cadastra.streaming import retract
@@ -103,6 +105,25 @@ def _(t):
     return view.select(*_VIEW_COLUMNS)
 
 
+@query("i01_bucketed_view", _VIEW_SQL)
+def _(t):
+    prefix, path = f"i01_{uuid.uuid4().hex}", fresh_dir(t.spark, "i01-star")
+    star.store_star(t.spark, prefix, path, _certs(t), _postcodes(t), _tenure(t), _imd(t), 8, _POSTCODE_COLUMNS)
+    return star.star_view(t.spark, prefix, _authorities(t)).select(*_VIEW_COLUMNS)
+
+
+@query("i01_sql_view", _VIEW_SQL + " WHERE cauthnm = 'EUROPE'")
+def _(t):
+    # Defined over a first load; read in another session after a second one.
+    root, database = fresh_dir(t.spark, "i01-sql"), f"i01_{uuid.uuid4().hex}"
+    tables = {"domestic": _certs(t), "postcodes": _postcodes(t), "tenure": _tenure(t), "imd": _imd(t), "authorities": _authorities(t)}
+    for frames in ({**tables, "domestic": tables["domestic"].where("lmk_key % 3 = 0")}, tables):
+        writers.publish_tables(t.spark, root, frames)
+        sql_layer.publish(t.spark, root, database)
+    other = t.spark.newSession()
+    return other.sql(f"SELECT {', '.join(_VIEW_COLUMNS)} FROM {database}.epc_domestic_vw WHERE cauthnm = 'EUROPE'")
+
+
 @query("i02_non_domestic_view", f"""
 WITH {_CERTS}, {_LATEST}, {_AUTHORITIES}
 SELECT lmk_key, uprn, local_authority, total_floor_area, ladcd, ladnm, cauthcd, cauthnm, c_nationkey AS lsoa21,

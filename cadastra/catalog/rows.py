@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from cadastra.catalog.registry import Tables, query
 from cadastra.catalog.standins import UNTIED
-from cadastra.operators import dedupe, filters, joins, sets, windows
+from cadastra.operators import dedupe, digests, filters, joins, sets, windows
 from cadastra.operators.joins import Lookup
+from cadastra.sources.staging import fresh_dir
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 _ORDER_SQL = ", ".join(ORDER_COLUMNS)
@@ -414,3 +415,21 @@ def _(t):
     )
     reports = {"same": sets.same_rows(orders, reread), "changed": sets.same_rows(orders, changed)}
     return sets.unite_tagged(reports, "pair")
+
+
+@query("u07_stored_differences", """
+SELECT o_orderkey, o_totalprice, side::BIGINT AS surplus FROM (
+    SELECT o_orderkey, o_totalprice, 1 AS side FROM orders WHERE o_orderkey % 997 = 5
+    UNION ALL SELECT o_orderkey, o_totalprice + 1, -1 FROM orders WHERE o_orderkey % 997 = 5
+    UNION ALL SELECT o_orderkey, o_totalprice, -1 FROM orders WHERE o_orderkey % 1999 = 7
+    UNION ALL SELECT -o_orderkey, o_totalprice, -1 FROM orders WHERE o_orderkey % 1499 = 3)""")
+def _(t):
+    # The second version has changed, repeated and added rows.
+    orders = t.orders.select("o_orderkey", "o_totalprice")
+    changed = orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 997 == 5, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    repeated = orders.where("o_orderkey % 1999 = 7")
+    added = orders.where("o_orderkey % 1499 = 3").withColumn("o_orderkey", -F.col("o_orderkey"))
+    one, two = (fresh_dir(t.spark, f"u07-{version}") for version in ("one", "two"))
+    digests.store_digested(orders, one, "o_orderkey", 64)
+    digests.store_digested(changed.unionAll(repeated).unionAll(added), two, "o_orderkey", 64)
+    return digests.stored_differences(t.spark, one, two, orders.schema)

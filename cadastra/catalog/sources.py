@@ -13,7 +13,7 @@ from cadastra.catalog.registry import Tables, query
 from cadastra.operators import quality, sets
 from cadastra.operators.joins import Lookup, enrich
 from cadastra.operators.names import rename_all
-from cadastra.sources import gates, readers, writers
+from cadastra.sources import gates, open_features, readers, writers
 from cadastra.sources.inline import local_table
 from cadastra.sources.staging import fresh_dir, stage
 from cadastra.streaming import event_time, incremental
@@ -123,6 +123,32 @@ def _(t):
     return readers.features_to_rows(t.spark.read.schema(shape).json(path))
 
 
+_OPEN_FEATURES = {"event_id": "bigint", "k": "int", "name of customer": "string", "balance": "double", "geometry.x": "double"}
+
+
+@query("s08_open_features", """
+SELECT 'events' AS layer, event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, NULL::VARCHAR AS customer, NULL::DOUBLE AS balance,
+    CAST(user_id AS DOUBLE) AS x, 'OBJECT<event_id: BIGINT, k: BIGINT>' AS attributes_type FROM events
+UNION ALL SELECT 'customers', NULL, NULL, c_mktsegment, c_acctbal, NULL, 'OBJECT<balance: DOUBLE, `name of customer`: STRING>' FROM customer""")
+def _(t):
+    # Two layers with nothing in common, in pages of features.
+    path = fresh_dir(t.spark, "s08-open")
+    k = F.get_json_object("props", "$.k").cast("int").alias("k")
+    events = t.events.select(F.pmod(F.xxhash64("event_id"), F.lit(200)).alias("page"), F.struct(
+        F.struct("event_id", k).alias("attributes"), F.struct(F.col("user_id").cast("double").alias("x"), F.col("value").alias("y")).alias("geometry")).alias("f"))
+    customers = t.customer.select(F.pmod(F.xxhash64("c_custkey"), F.lit(200)).alias("page"), F.struct(
+        F.struct(F.col("c_mktsegment").alias("name of customer"), (F.col("c_acctbal") + 0.0).alias("balance")).alias("attributes")).alias("f"))
+    for layer, features in (("events", events), ("customers", customers)):
+        pages = features.groupBy("page").agg(F.collect_list("f").alias("features"))
+        pages.select(F.to_json(F.struct("features")).alias("value")).write.text(f"{path}/layer={layer}")
+    stored = stage(open_features.read_open_features(t.spark, f"{path}/*", whole_files=False), "s08-open")
+    types = open_features.found_types(stored).select(F.col("layer").alias("__layer"), "attributes_type")
+    # A decimal and a whole number are both found as numbers; here all balances count as doubles.
+    types = types.withColumn("attributes_type", F.regexp_replace("attributes_type", r"DECIMAL\(\d+,\d+\)", "DOUBLE"))
+    typed = open_features.typed_attributes(stored, _OPEN_FEATURES).withColumnRenamed("name of customer", "customer")
+    return typed.join(types, F.col("layer") == F.col("__layer")).drop("__layer")
+
+
 @query("s09_catalog_scan", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
 def _(t):
     view = writers.publish_view(t.orders, "cadastra_orders_scan")

@@ -25,6 +25,18 @@ def in_region(certs: DataFrame, authorities: DataFrame, region: str) -> DataFram
     return joins.keep_listed(certs, members, {"local_authority": "ladcd"})
 
 
+def directory(postcodes: DataFrame, tenure: DataFrame, imd: DataFrame) -> DataFrame:
+    """Postcodes with the tenure and deprivation of their small areas.
+
+    With the keys of both: an area that a lookup does not know differs from an unknown postcode.
+    """
+    return joins.enrich(
+        postcodes,
+        Lookup(tenure, {"lsoa21": "lsoa21cd"}, tenure.columns, prefix="tenure"),
+        Lookup(imd, {"lsoa11": "lsoa11cd"}, imd.columns, prefix="imd"),
+    )
+
+
 def domestic_view(
     certs: DataFrame, postcodes: DataFrame, tenure: DataFrame, imd: DataFrame,
     authorities: DataFrame | None = None, region: str | None = None, postcode_columns: list[str] = POSTCODE_COLUMNS,
@@ -38,12 +50,7 @@ def domestic_view(
     """
     members = None if region is None else in_region(certs, authorities, region)
     latest = dedupe.latest_with_ties(certs, "uprn", "lodgement_datetime", among=members)
-    geography = joins.enrich(
-        postcodes.select(*postcode_columns),
-        # With their keys: an area that the lookup does not know differs from an unknown postcode.
-        Lookup(tenure, {"lsoa21": "lsoa21cd"}, tenure.columns, prefix="tenure"),
-        Lookup(imd, {"lsoa11": "lsoa11cd"}, imd.columns, prefix="imd"),
-    )
+    geography = directory(postcodes.select(*postcode_columns), tenure, imd)
     arms = [Lookup(geography, {"postcode": "pcds"}, geography.columns, prefix="pc")]
     if authorities is not None:
         arms.append(Lookup(authorities, {"local_authority": "ladcd"}, ["ladnm", "cauthnm", "ladcd"], prefix="la"))

@@ -27,6 +27,16 @@ def replace_catalog_table(df: DataFrame, name: str, path: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def replace_bucketed_table(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Create or replace a catalog table of ``buckets`` files, bucketed and sorted by ``key``.
+
+    Tables of one bucket number join on their keys, and aggregate by them, without a shuffle.
+    """
+    dealt = df.repartition(buckets, key)
+    dealt.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def append_table(df: DataFrame, path: str, schema: T.StructType) -> None:
     """Append after bringing columns into the order and types of ``schema``; a mismatch raises."""
     df.to(schema).write.mode("append").parquet(path)
@@ -127,8 +137,8 @@ def publish_tables(
     return path
 
 
-def published_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
-    """The newest committed versions of several tables, from one look at the commits.
+def published_paths(spark: SparkSession, root: str, names: list[str]) -> dict[str, str]:
+    """Folders of the newest committed versions of several tables, from one look at the commits.
 
     A load that commits meanwhile is seen by none of them. Of equal commit times the larger version counts.
     """
@@ -138,7 +148,12 @@ def published_tables(spark: SparkSession, root: str, names: list[str]) -> dict[s
     for name in names:
         if name not in versions:
             raise LookupError(f"{name} was never published under {root}")
-    return {name: spark.read.parquet(f"{root}/{versions[name]}/{name}") for name in names}
+    return {name: f"{root}/{versions[name]}/{name}" for name in names}
+
+
+def published_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
+    """The newest committed versions of several tables; see :func:`published_paths`."""
+    return {name: spark.read.parquet(path) for name, path in published_paths(spark, root, names).items()}
 
 
 def published_table(spark: SparkSession, root: str, name: str) -> DataFrame:
