@@ -60,3 +60,44 @@ def test_small_groups(spark):
         used[r["bin_id"], r["capacity"]] += r["length"]
     assert all(words <= (cap or 0) for (_, cap), words in used.items())
     assert sum(used.values()) == sum(i % 17 for i in range(300))
+
+
+def plain_best_fit(lengths, capacities, overhead):
+    """The method step by step: every open sequence is looked at, every filling is tried piece by piece."""
+    order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
+    place, room, used = [0] * len(lengths), [], []
+    for step, i in enumerate(order):
+        fitting = [(room[n], n) for n in range(len(room)) if room[n] >= lengths[i]]
+        if fitting:
+            number = min(fitting)[1]
+        else:
+            costs = []
+            for size in sorted(c for c in capacities if c >= lengths[i]):
+                words = lengths[i]
+                for j in order[step + 1:]:  # the longest that fits, again and again
+                    words += lengths[j] if lengths[j] <= size - words else 0
+                costs.append(((min(c for c in capacities if c >= words) + overhead) / words, size))
+            number = len(room)
+            room.append(min(costs, key=lambda c: c[0])[1])
+            used.append(0)
+        place[i] = number
+        room[number] -= lengths[i]
+        used[number] += lengths[i]
+    return place, [min(c for c in capacities if c >= words) for words in used]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 40), max_size=60), st.sampled_from([(40,), (10, 40), (5, 13, 29, 40)]), st.integers(0, 9))
+def test_equals_the_plain_method(lengths, capacities, overhead):
+    assert packing.best_fit(lengths, capacities, overhead) == plain_best_fit(lengths, capacities, overhead)
+
+
+def test_fill_does_not_depend_on_partitions(spark):
+    """A table of very many small partitions fills its sequences as one of two does."""
+    df = spark.createDataFrame([(i, "w " * (1 + i * 7919 % 13)) for i in range(1200)], "doc_id long, text string")
+    filled = []
+    for frame in (df.coalesce(2), df.repartition(150)):
+        rows = packing.pack_documents(frame, capacities=(8, 16)).collect()
+        bins = {r["bin_id"]: r["capacity"] for r in rows}
+        filled.append(sum(r["length"] for r in rows) / sum(bins.values()))
+    assert abs(filled[0] - filled[1]) < 0.003 and min(filled) > 0.97
