@@ -11,9 +11,10 @@ Scale and skew
   repeated: its places are marked at once, and one copy without places travels on. So a passage
   held by a third of all texts sends one string per chunk to its bucket.
 * Strings of one chunk and bucket are compressed together.
-* A bucket is read as a stream of such packets. If its strings outgrow ``bucket_bytes`` (one
-  minimiser in very many contexts), its windows are handed on one by one and counted by an ordinary
-  aggregate on the whole window, which spreads over all tasks. The result is the same.
+* The number of buckets follows from the bytes of all texts, so that an even bucket holds a third of
+  ``bucket_bytes`` at any size of the corpus. A bucket is read as a stream of such packets. Only if its strings
+  outgrow ``bucket_bytes`` all the same (one minimiser in very many contexts), its windows are handed on one by
+  one and counted by an ordinary aggregate on the whole window, which spreads over all tasks. The result is the same.
 * The marks are written down before they meet the texts again, so a lost executor repeats one step.
 
 Rows are told apart by id and a hash of the text: repeated rows and null ids are ordinary rows.
@@ -33,6 +34,9 @@ from cadastra.sources.staging import stage
 
 CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 48 << 20
+PLACE_BYTES = 130
+#: Packed strings and their bookkeeping take about so many times the text.
+_STRINGS_PER_TEXT = 6
 _PACKETS = (
     "bucket int, strings binary, doc_id array<bigint>, fingerprint array<bigint>, at array<int>, upto array<int>"
 )
@@ -74,6 +78,7 @@ class _Chunk:
             place = (row, first, end - 1)
             if packed in self.places:
                 self.places[packed].append(place)
+                self.bytes += PLACE_BYTES  # a partition of copies has few strings and many places
             else:
                 self.places[packed] = [place]
                 self.bucket_of[packed] = smallest % self.buckets
@@ -260,7 +265,8 @@ def _count(size: int, limit: int):
 def repeated_places(documents: DataFrame, id: str, text: str, size: int, anchor: int, bucket_bytes: int) -> DataFrame:
     """``doc_id, fingerprint, runs``: for each text its runs (first, last) of windows found elsewhere as well."""
     spark = documents.sparkSession
-    buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = documents.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    buckets = max(8 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-3 * _STRINGS_PER_TEXT * total // bucket_bytes))
     texts = documents.select(F.col(id).cast("long").alias("doc_id"), F.xxhash64(text).alias("fingerprint"), text)
     packets = texts.mapInArrow(_pack(size, anchor, buckets), _PACKETS).repartition("bucket").sortWithinPartitions("bucket")
     marks = stage(packets.mapInArrow(_count(size, bucket_bytes), _MARKS.replace("long", "bigint")), "windows")
