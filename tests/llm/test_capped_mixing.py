@@ -37,16 +37,16 @@ def plain(rows, weights=(3, 1, 2), share=1.5, cap=2.0, seed="mix"):
         totals[s] += n
     targets = plain_targets(totals, weights, share, cap)
     groups = defaultdict(list)
-    for i, s, n, h in sized:
-        groups[s].append((h, i, n))
-    out = []
+    for place, (_, s, n, h) in enumerate(sized):
+        groups[s].append((h, place, n))
+    copies = [0] * len(sized)
     for s, members in groups.items():
         whole = int(targets[s] // totals[s]) if totals[s] else 0
         rest, at = targets[s] - whole * totals[s], 0
-        for _, i, n in sorted(members, key=lambda m: m[0]):
-            out.append((i, s, n, targets[s], whole + (at + n / 2 < rest)))
+        for _, place, n in sorted(members):
+            copies[place] = whole + (at + n / 2 < rest)
             at += n
-    return out
+    return [(i, s, n, targets[s], c) for (i, s, n, _), c in zip(sized, copies)]
 
 
 @pytest.fixture
