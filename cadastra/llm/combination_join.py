@@ -12,14 +12,16 @@ tokens of either miss in the other, so they share tokens near the beginning of t
 
 Rare and frequent are told by counts of all tokens of the corpus in a table of fixed size
 (:data:`SKETCH_BITS`); counts that share a cell only move a token to the other class, which is always
-correct. Candidates are then restricted by size, position and a parity bitmap, and verified on the
-n-grams themselves.
+correct. On a large corpus every cell is loaded, so frequent is what stands out of the spread of the loads
+(:func:`rare_limit`); the lists of rare tokens then grow with that spread, not with the mean load.
+Candidates are then restricted by size, position and a parity bitmap, and verified on the n-grams
+themselves.
 
 Large groups of near copies would give all pairs. So each list of a signature is first compared with one
 hub, the member with the fewest rare tokens; verified links make components, and only members of
 different components are compared with each other. Connected components need no more links than that.
 Identical texts are one node from the start. Lists beyond :data:`BLOCK` members are compared block by
-block in as many tasks.
+block in as many tasks, and the texts of an id with more than :data:`HEADS` rows are verified in parts.
 """
 
 from __future__ import annotations
@@ -39,6 +41,11 @@ from cadastra.sources.staging import stage
 SKETCH_BITS = 22
 _SKETCH_PART = 1 << 16
 BLOCK = 2000
+#: List length that makes a token frequent, beside the load its cell has anyway.
+WANTED_LIST = 32
+#: Texts of one id that a task holds to compare others with.
+HEADS = 100
+_KNOWN_BYTES = 8 << 20
 #: Most bits of the short bitmap in lists; the full one of a text has about as many bits as the text has tokens.
 LIST_BITS = 2048
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -70,21 +77,34 @@ def _cells(values: np.ndarray) -> np.ndarray:
 
 
 def _survey(n: int):
-    """Per text: id, number of n-grams, key of its words, bitmap. Per task: counts of all tokens, by part of the table."""
+    """Per text: id, number of n-grams, key of its words, bitmap. Per task: counts of all tokens, by part of the table.
+
+    Copies in a task count once, as they do in the lists.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(_SURVEY)
         hashes, table = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
+        known: dict[bytes, tuple[int, bytes, bytes]] = {}
+        held = 0
         for batch in batches:
             sizes, keys, bits, few_bits = [], [], [], []
             for text in text_bytes(batch.column(1)):
                 words = normal_words(text)
-                found = tokens(words, n, hashes)
-                np.add.at(table, _cells(found), 1)
-                sizes.append(len(found))
-                bits.append(_bitmap(found, len(found)) if words else None)
-                few_bits.append(_folded(bits[-1], LIST_BITS // 8).tobytes() if words else None)
-                keys.append(hashlib.md5(b" ".join(words)).digest() if words else None)
+                key = hashlib.md5(b" ".join(words)).digest() if words else None
+                if words and key not in known:
+                    found = tokens(words, n, hashes)
+                    np.add.at(table, _cells(found), 1)
+                    bitmap = _bitmap(found, len(found))
+                    held += 200 + len(bitmap)
+                    if held > _KNOWN_BYTES:
+                        known, held = {}, 0
+                    known[key] = len(found), bitmap, _folded(bitmap, LIST_BITS // 8).tobytes()
+                size, bitmap, few = known[key] if words else (0, None, None)
+                sizes.append(size)
+                bits.append(bitmap)
+                few_bits.append(few)
+                keys.append(key)
             empty = [None] * len(sizes)
             columns = {"doc_id": batch.column(0), "size": sizes, "words": keys, "bits": bits, "few_bits": few_bits}
             yield rows_of(schema, columns | {"part": empty, "counts": empty})
@@ -117,12 +137,18 @@ def _sum_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done(now, total)
 
 
-def frequency_classes(counts: np.ndarray, mean: float) -> np.ndarray:
-    """Class of some cells, one byte each: 0 rare, above that the more the higher the count.
+def rare_limit(counts: np.ndarray) -> float:
+    """Most that the cell of a rare token counts: the median load, four times its spread, and a list of the wanted length.
 
-    Rare is what does not stand out: up to twice the mean load of a cell and 32 more.
+    The spread is that between the median and the 84th percentile, one standard deviation of an even load;
+    tokens that do stand out move neither.
     """
-    limit = 32 + 2 * mean
+    middle, high = np.percentile(counts, (50, 84))
+    return WANTED_LIST + float(middle + 4 * (high - middle))
+
+
+def frequency_classes(counts: np.ndarray, limit: float) -> np.ndarray:
+    """Class of some cells, one byte each: 0 rare, above that the more the higher the count."""
     steps = np.ceil(np.log2(np.maximum(counts, 1) / limit)).clip(0, 63) + 1
     return np.where(counts > limit, steps, 0).astype(np.uint8)
 
@@ -355,13 +381,13 @@ def _verify(n: int, percent: int):
         schema, now, heads = arrow_schema("a long, b long"), None, []
         for batch in batches:
             found = []
-            keys = zip(*(batch.column(i).to_pylist() for i in range(4)))
-            for (a, chunk, order, b), text in zip(keys, text_bytes(batch.column(4))):
+            keys = zip(*(batch.column(i).to_pylist() for i in range(5)))
+            for (a, chunk, part, order, b), text in zip(keys, text_bytes(batch.column(5))):
                 own = shingles(normal_words(text), n)
                 if order == 0:  # several only if several texts have the id
-                    heads = [*heads, own] if (a, chunk) == now else [own]
-                    now = a, chunk
-                elif own and (a, chunk) == now:
+                    heads = [*heads, own] if (a, chunk, part) == now else [own]
+                    now = a, chunk, part
+                elif own and (a, chunk, part) == now:
                     overlaps = ((len(own & head), len(head)) for head in heads)
                     if any(100 * common >= percent * (len(own) + size - common) for common, size in overlaps):
                         found.append((a, b))
@@ -371,11 +397,14 @@ def _verify(n: int, percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, documents: DataFrame, bitmaps: DataFrame, n: int, percent: int, chunk: int = 200) -> DataFrame:
+def _verified(
+    pairs: DataFrame, documents: DataFrame, many: DataFrame, bitmaps: DataFrame, n: int, percent: int, chunk: int = 200,
+) -> DataFrame:
     """The pairs whose n-grams are similar enough: first by bitmap, then by text.
 
     Pairs are grouped by their first id, at most about ``chunk`` in a group; the text of the first id
-    comes first in its group and is compared with the texts that follow.
+    comes first in its group and is compared with the texts that follow. Where ``many`` gives a first id
+    several parts, its texts are dealt to them and the others come to each.
     """
     one, two = (bitmaps.toDF(f"{x}_id", f"{x}_size", f"{x}_bits") for x in "ab")
     both = pairs.join(one, F.col("a") == F.col("a_id")).join(two, F.col("b") == F.col("b_id"))
@@ -390,8 +419,11 @@ def _verified(pairs: DataFrame, documents: DataFrame, bitmaps: DataFrame, n: int
     # Written first, so that its size is known: a short list of ids spares the texts a shuffle.
     ids = stage(wanted.select(F.col("member").alias("doc_id")).distinct(), "wanted")
     texts = documents.join(ids, "doc_id", "left_semi").distinct()  # repeated rows count once
-    joined = texts.join(wanted, F.col("doc_id") == F.col("member")).select("a", "chunk", "order", "member", "text")
-    ordered = joined.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "order")
+    joined = texts.join(wanted, F.col("doc_id") == F.col("member")).join(many, F.col("a") == F.col("many_id"), "left")
+    own = F.array(F.pmod(F.xxhash64("text"), F.col("parts")).cast("int"))
+    parts = F.when(F.col("parts").isNull(), F.array(F.lit(0))).when(F.col("order") == 0, own).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
+    dealt = joined.select("a", "chunk", F.explode(parts).alias("part"), "order", "member", "text")
+    ordered = dealt.repartition("a", "chunk", "part").sortWithinPartitions("a", "chunk", "part", "order")
     return stage(ordered.mapInArrow(_verify(n, percent), "a bigint, b bigint"), "links")
 
 
@@ -399,11 +431,10 @@ def _classes(spark: SparkSession, surveyed: DataFrame) -> Callable[[], np.ndarra
     """A function that gives the class table in a task. Its size is fixed: one byte per cell."""
     parts = surveyed.where("part is not null").select("part", "counts").repartition("part").sortWithinPartitions("part")
     sums = parts.mapInArrow(_sum_parts, "part int, counts binary").collect()  # 2**SKETCH_BITS counts in all
-    parts = {row["part"]: np.frombuffer(row["counts"], np.uint32) for row in sums}
-    mean = sum(float(counts.sum(dtype=np.float64)) for counts in parts.values()) / (1 << SKETCH_BITS)
-    classes = np.zeros(1 << SKETCH_BITS, np.uint8)
-    for part, counts in parts.items():
-        classes[part:part + _SKETCH_PART] = frequency_classes(counts, mean)
+    table = np.zeros(1 << SKETCH_BITS, np.uint32)
+    for row in sums:
+        table[row["part"]:row["part"] + _SKETCH_PART] = np.frombuffer(row["counts"], np.uint32)
+    classes = frequency_classes(table, rare_limit(table))
     shared = spark.sparkContext.broadcast(zstandard.compress(classes.tobytes()))
     return lambda: np.frombuffer(zstandard.decompress(shared.value), np.uint8)
 
@@ -430,13 +461,15 @@ def similar_documents(documents: DataFrame, id: str = "doc_id", text: str = "tex
     nodes = rows.join(copies, F.col("words") == F.col("__words"), "left").select("doc_id", "size", F.coalesce("node", "doc_id").alias("node"))
     nodes = stage(nodes, "nodes")
     known = nodes.where(F.col("doc_id").isNotNull())
+    parts = F.ceil(F.count("*") / HEADS).cast("int").alias("parts")
+    many = stage(known.groupBy(F.col("doc_id").alias("many_id")).agg(parts).where("parts > 1"), "many")
 
     postings = texts.mapInArrow(_post(n, percent, _classes(spark, surveyed)), _POSTING.replace("long", "bigint"))
     lists = stage(_lists(postings, known), "lists")
-    near = _verified(_hub_pairs(lists, percent), texts, bitmaps, n, percent)
+    near = _verified(_hub_pairs(lists, percent), texts, many, bitmaps, n, percent)
     # Several texts of one id make one document, whatever their words.
     same_id = known.where(F.col("doc_id") != F.col("node")).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    rest = _verified(_open_pairs(lists, connected_components(near), few_bits, percent), texts, bitmaps, n, percent)
+    rest = _verified(_open_pairs(lists, connected_components(near), few_bits, percent), texts, many, bitmaps, n, percent)
     found = connected_components(near.unionAll(rest).unionAll(same_id))
     labelled = nodes.join(found.toDF("__node", "component"), F.col("node") == F.col("__node"), "left")
     return labelled.select(F.col("doc_id").alias(id), F.col("size").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))

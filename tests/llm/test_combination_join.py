@@ -101,3 +101,41 @@ def test_one_of_each_group_stays(spark):
     want = sorted(i for i, _, c in brute(rows, 5, 80) if i == c)
     assert sorted(r["doc_id"] for r in cj.first_of_each_group(df).collect()) == want
     assert cj.similar_documents(df.limit(0)).collect() == []
+
+
+def test_one_id_with_many_texts(spark, monkeypatch):
+    monkeypatch.setattr(cj, "HEADS", 3)
+    rng = random.Random(8)
+    bases = [[f"w{rng.randrange(10_000)}" for _ in range(60)] for _ in range(25)]
+    rows = [(5, " ".join(base)) for base in bases] + [(5, " ".join(bases[0]))] * 4
+    rows += [(10 + i, " ".join(["new", *base[1:]])) for i, base in enumerate(bases)]
+    rows += [(3, " ".join(base[:-1] + ["end"])) for base in bases[5:15]] + [(100 + i, f"other {i} text {i * i} here") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((tuple(r) for r in cj.similar_documents(df).collect()), key=str)
+    assert got == brute(rows, 4, 85) and sum(c == 3 for _, _, c in got) == 64
+
+
+def test_rare_lists_follow_the_spread_of_the_loads():
+    rng = np.random.default_rng(4)
+    for mean in (0.0, 20.0, 2_000.0, 200_000.0):
+        counts = rng.poisson(mean, 1 << 18).astype(np.uint32)
+        counts[:100] += 10_000_000  # what stands out does not move the limit
+        limit = cj.rare_limit(counts)
+        assert abs(limit - (mean + cj.WANTED_LIST + 4 * mean ** 0.5)) <= 0.2 * mean ** 0.5 + 5
+        classes = cj.frequency_classes(counts, limit)
+        assert classes[:100].all() and classes[100:].mean() < 0.001
+
+
+def test_copies_in_a_task_count_once():
+    import pyarrow as pa
+    import zstandard
+
+    def counted(texts):
+        batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts})
+        out = pa.Table.from_batches(list(cj._survey(4)(iter([batch, batch])))).to_pylist()
+        sums = [np.frombuffer(zstandard.decompress(r["counts"]), np.uint32).sum() for r in out if r["counts"]]
+        return [(r["size"], r["words"], r["bits"]) for r in out if r["part"] is None], int(sum(sums))
+
+    texts = ["one two three four five", "ONE two  three four five", None, "", "a b c d e f"]
+    rows, total = counted(texts)
+    assert rows[:5] == rows[5:] and rows[0] == rows[1] and rows[2] == rows[3] == (0, None, None) and total == 2 + 3
