@@ -7,8 +7,8 @@ the counts of their words. No shuffle: what travels is one row per document.
 
 The trie is laid out by depth. In sorted words, those of one prefix stand together and the first of them
 stands for the node; a level is one pass of array operations over its nodes, with the levels above as
-input. Words are taken in blocks of :data:`BLOCK`, and words longer than :data:`LONGEST_SHARED` one at a
-time by the same step, so memory is bounded.
+input. Words are taken in blocks of :data:`BLOCK` and levels in slices, as deep as :data:`SLICE_CELLS`
+allows for the words that reach them, so memory is bounded however long a word is.
 """
 
 from __future__ import annotations
@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame, functions as F
 from cadastra.llm.words import arrow_schema, rows_of, text_bytes
 
 WORD_START = "▁"
-LONGEST_SHARED = 64
 BLOCK = 1 << 15
+#: Most pairs of a node and a length of pieces in a slice of levels.
+SLICE_CELLS = 1 << 22
 _KEEP_WORDS = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LETTER = np.uint64(0xD6E8FEB86659FD93)
@@ -55,7 +56,6 @@ class PieceTrie:
     """Numbers of tokens of words under given scores of pieces."""
 
     def __init__(self, scores: Mapping[str, float]):
-        self.scores = scores
         self.longest = max(map(len, scores), default=1)
         # A character outside the vocabulary becomes its UTF-8 bytes; each byte is dearer than any piece.
         self.byte = min(scores.values(), default=0.0) - 1.0
@@ -72,65 +72,92 @@ class PieceTrie:
 
     def count(self, words: Iterable[str]) -> dict[str, int]:
         """Number of tokens of each word."""
-        counts, shared = {}, []
-        for word in words:
-            if len(word) > LONGEST_SHARED:
-                counts[word] = self._alone(word)
-            else:
-                shared.append(word)
-        shared.sort()  # by code point, so that words of one prefix stand together
-        for first in range(0, len(shared), BLOCK):
-            block = shared[first:first + BLOCK]
-            counts.update(zip(block, self._levels(block).tolist()))
+        counts, ordered = {}, sorted(words)  # by code point, so that words of one prefix stand together
+        for first in range(0, len(ordered), BLOCK):
+            block = ordered[first:first + BLOCK]
+            counts.update(zip(block, self._walk(block).tolist()))
         return counts
 
-    def _levels(self, words: list[str]) -> np.ndarray:
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        depth = max(int(lengths.max(initial=0)), 1)
-        letters = np.array(words, dtype=f"U{depth}").view(np.uint32).reshape(len(words), depth)
+    def _walk(self, words: list[str]) -> np.ndarray:
+        """Numbers of tokens of sorted words, slice of levels by slice of levels.
+
+        Of the levels before a slice, as many are kept as the longest piece reaches back, for the words
+        that go on.
+        """
+        counts = np.zeros(len(words), np.int64)
+        on = np.flatnonzero(np.fromiter(map(len, words), np.int64, len(words)))
+        # Rows are levels: those that a piece can begin at, the last of them the one before the slice.
+        shape = self.longest + 1, len(on)
+        hashes, scores, tokens = np.zeros(shape, np.uint64), np.full(shape, -np.inf), np.zeros(shape, np.int32)
+        scores[-1] = 0.0
+        same = np.zeros(len(on), bool)  # whether all before the slice is as in the word before
+        same[1:] = True
+        begin = 0
+        while len(on):
+            depth = max(1, SLICE_CELLS // (len(on) * (len(self.pieces) + 1)))
+            parts = [words[i][begin:begin + depth] for i in on]
+            lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+            nodes, (hashes, scores, tokens) = self._slice(parts, lengths, same, hashes, scores, tokens)
+            reached = len(nodes)
+            counts[on] = tokens[self.longest + lengths, np.arange(len(on))]
+            begin += reached
+            further = lengths == reached
+            further[further] = [len(words[i]) > begin for i in on[further]]
+            group = np.cumsum(nodes[-1])[further]
+            on, same = on[further], np.concatenate([np.zeros(1, bool), group[1:] == group[:-1]])[:len(group)]
+            hashes, scores, tokens = (kept[reached:, further] for kept in (hashes, scores, tokens))
+        return counts
+
+    def _slice(self, parts, lengths, same, hashes, scores, tokens):
+        """The forward step over a slice of levels.
+
+        Returns which words stand for a node, by level, and the state with the levels of the slice below.
+        """
+        depth, back, rows = int(lengths.max()), self.longest, np.arange(len(parts))
+        letters = np.array(parts, dtype=f"U{depth}").view(np.uint32).reshape(len(parts), depth).T
         widths = 1 + (letters >= 0x80).astype(np.int8) + (letters >= 0x800) + (letters >= 0x10000)
-        # Length of the prefix that a word has in common with the word before it.
-        shared = np.zeros(len(words), np.int64)
-        differs = np.concatenate([letters[1:] != letters[:-1], np.ones((len(words) - 1, 1), bool)], axis=1)
-        shared[1:] = np.minimum(differs.argmax(axis=1), np.minimum(lengths[1:], lengths[:-1]))
-        rows = np.arange(len(words))
-        hashes, scores, tokens = [np.zeros(len(words), np.uint64)], [np.zeros(len(words))], [np.zeros(len(words), np.int32)]
-        power = [np.uint64(1)]
+        # Length of what a word has in common with the word before it, within the slice.
+        common = np.zeros(len(parts), np.int64)
+        differs = np.concatenate([letters[:, 1:] != letters[:, :-1], np.ones((1, len(parts) - 1), bool)])
+        common[1:] = np.minimum(differs.argmax(axis=0), np.minimum(lengths[1:], lengths[:-1]))
+        common[~same] = 0
+        common[~same] -= 1  # not even the level before the slice
+        levels = np.arange(1, depth + 1)[:, None]
+        nodes = (common < levels) & (lengths >= levels)
+        hashes, scores, tokens = (np.concatenate([kept, np.zeros((depth, len(parts)), kept.dtype)]) for kept in (hashes, scores, tokens))
+        for end in range(1, depth + 1):
+            hashes[back + end] = hashes[back + end - 1] * _BASE + (letters[end - 1].astype(np.uint64) + np.uint64(1)) * _LETTER
+        # Which pieces end at a node does not depend on scores: all nodes of the slice are looked up at once.
+        level, row = np.nonzero(nodes)
+        reach = np.array([0, *self.pieces], np.int64)  # the first row is the bytes of the last character
+        values = np.full((len(reach), len(level)), -np.inf)
+        values[0] = widths[level, row] * self.byte
+        place = (back + 1 + level) * len(parts) + row
+        whole = hashes.take(place)
+        for number, (length, (known, value)) in enumerate(self.pieces.items(), 1):
+            piece = whole - hashes.take(place - length * len(parts)) * _power(length)
+            at = np.minimum(np.searchsorted(known, piece), len(known) - 1)
+            hit = np.flatnonzero(known.take(at) == piece)
+            values[number, hit] = value.take(at[hit])
+        starts = np.searchsorted(level, np.arange(depth + 1)).tolist()
+        reach[0] = 1
         for end in range(1, depth + 1):
-            power.append(np.uint64(int(power[-1]) * int(_BASE) & 0xFFFFFFFFFFFFFFFF))
-            hashes.append(hashes[-1] * _BASE + (letters[:, end - 1].astype(np.uint64) + np.uint64(1)) * _LETTER)
-            node = np.flatnonzero((shared < end) & (lengths >= end))
-            width = widths[node, end - 1]
-            best, fewest = scores[end - 1][node] + width * self.byte, tokens[end - 1][node] + width
-            for length, (known, value) in self.pieces.items():
-                if length > end:
-                    break
-                piece = hashes[end][node] - hashes[end - length][node] * power[length]
-                at = np.minimum(np.searchsorted(known, piece), len(known) - 1)
-                hit = np.flatnonzero(known[at] == piece)
-                score = scores[end - length][node[hit]] + value[at[hit]]
-                count = tokens[end - length][node[hit]] + 1
-                better = (score > best[hit]) | ((score == best[hit]) & (count < fewest[hit]))
-                best[hit[better]], fewest[hit[better]] = score[better], count[better]
-            all_best, all_fewest = np.zeros(len(words)), np.zeros(len(words), np.int32)
-            all_best[node], all_fewest[node] = best, fewest
-            stands_for = np.maximum.accumulate(np.where((shared < end) & (lengths >= end), rows, 0))
-            scores.append(all_best[stands_for])
-            tokens.append(all_fewest[stands_for])
-        return np.stack(tokens)[lengths, rows]
-
-    def _alone(self, word: str) -> int:
-        """The same step for one word."""
-        path = [(0.0, 0)]
-        for end in range(1, len(word) + 1):
-            width = len(word[end - 1].encode("utf-8", "surrogatepass"))
-            best = path[end - 1][0] + width * self.byte, -(path[end - 1][1] + width)
-            for begin in range(max(0, end - self.longest), end):
-                add = self.scores.get(word[begin:end])
-                if add is not None:
-                    best = max(best, (path[begin][0] + add, -path[begin][1] - 1))
-            path.append((best[0], -best[1]))
-        return path[-1][1]
+            some = slice(starts[end - 1], starts[end])
+            node = row[some]
+            origin = (back + end - reach)[:, None] * len(parts) + node
+            total = scores.take(origin) + values[:, some]
+            spent = tokens.take(origin) + 1
+            spent[0] += widths[end - 1, node] - 1
+            best = total.max(axis=0)
+            fewest = np.where(total == best, spent, np.iinfo(np.int32).max).min(axis=0)
+            scores[back + end, node], tokens[back + end, node] = best, fewest
+            stands_for = np.maximum.accumulate(np.where(nodes[end - 1], rows, 0))
+            scores[back + end], tokens[back + end] = scores[back + end, stands_for], tokens[back + end, stands_for]
+        return nodes, (hashes, scores, tokens)
+
+
+def _power(length: int) -> np.uint64:
+    return np.uint64(pow(int(_BASE), length, 1 << 64))
 
 
 def _counter(scores: dict[str, float]):

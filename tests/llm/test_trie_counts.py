@@ -28,8 +28,15 @@ def brute(word, scores):
 
 
 def brute_long(word, scores):
-    """Too deep for the recursion; the step for single words is compared with it above."""
-    return trie_counts.PieceTrie(scores)._alone(word)
+    """The search without recursion, for words of any length."""
+    byte, longest = min(scores.values()) - 1.0, max(map(len, scores))
+    path = [(0.0, 0)]
+    for end in range(1, len(word) + 1):
+        width = len(word[end - 1].encode())
+        options = [(path[-1][0] + width * byte, path[-1][1] - width)]
+        options += [(path[b][0] + scores[word[b:end]], path[b][1] - 1) for b in range(max(0, end - longest), end) if word[b:end] in scores]
+        path.append(max(options))
+    return -path[-1][1]
 
 
 def test_trie_equals_search(monkeypatch):
@@ -46,6 +53,21 @@ def test_trie_equals_search(monkeypatch):
     assert trie.count([]) == {}
 
 
+def test_slices_of_levels_change_nothing(monkeypatch):
+    rng = random.Random(6)
+    pieces = list({"".join(rng.choice("abc▁") for _ in range(rng.choice([1, 2, 3, 5, 9]))) for _ in range(80)})
+    scores = trie_counts.zipf_scores(pieces)
+    trie = trie_counts.PieceTrie(scores)
+    stems = ["".join(rng.choice("abc▁é") for _ in range(rng.randrange(1, 400))) for _ in range(20)]
+    words = {stem[:rng.randrange(len(stem) + 1)] + "".join(rng.choice("abc\0") for _ in range(rng.randrange(4))) for stem in stems for _ in range(30)}
+    words |= set(stems)
+    want = {word: brute_long(word, scores) for word in words}
+    assert all(want[word] == brute(word, scores) for word in words if len(word) < 200)
+    for cells in (1, 3_000, 30_000, 1 << 22):
+        monkeypatch.setattr(trie_counts, "SLICE_CELLS", cells)
+        assert trie.count(words) == want
+
+
 @pytest.fixture(scope="module")
 def scores():
     return trie_counts.piece_scores(VOCABULARY)
