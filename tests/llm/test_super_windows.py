@@ -70,3 +70,57 @@ def test_empty_table_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "a b", 5, "z")], "doc_id long, text string, n_words int, kept string")
     assert [tuple(r) for r in super_windows.remove_repeated(df, size=2, anchor=1).collect()] == [(1, 2, 0, "a b")]
     assert hashlib.sha256(b"a b").hexdigest()
+
+
+def packed_rows(rows, size, anchor, buckets):
+    import pyarrow as pa
+
+    columns = [pa.array([i for i, _ in rows], pa.int64()), pa.array(range(len(rows)), pa.int64()), pa.array([t for _, t in rows])]
+    batch = pa.RecordBatch.from_arrays(columns, ["i", "f", "t"])
+    return pa.Table.from_batches(super_windows._pack(size, anchor, buckets)(iter([batch]))).sort_by("bucket")
+
+
+@pytest.mark.parametrize("chunk_bytes", [1, 8 << 20])
+def test_small_packets_and_pieces_mark_the_same(monkeypatch, chunk_bytes):
+    for name, n in (("CHUNK_BYTES", chunk_bytes), ("PACKET_BYTES", 1), ("PIECE_BYTES", 1)):
+        monkeypatch.setattr(super_windows, name, n)
+    rows, size = made_texts(4), 6
+    marks = [m for b in super_windows._count(size, 48 << 20)(iter(packed_rows(rows, size, 2, 3).to_batches())) for m in b.to_pylist()]
+    texts = [(t or "").encode().split() for _, t in rows]
+    windows = Counter(tuple(w[k:k + size]) for w in texts for k in range(len(w) - size + 1))
+    wanted = {(n, k) for n, w in enumerate(texts) for k in range(len(w) - size + 1) if windows[tuple(w[k:k + size])] > 1}
+    assert {(m["fingerprint"], k) for m in marks for k in range(m["first"], m["last"] + 1)} == wanted
+    assert all(m["doc_id"] == rows[m["fingerprint"]][0] for m in marks)
+
+
+def test_packets_of_a_common_minimiser_are_bounded():
+    rng = random.Random(5)
+    context = lambda: " ".join(str(rng.randrange(10**9)) for _ in range(8))
+    rows = [(i, f"{context()} the same words stand here {context()}") for i in range(20_000)]
+    packets = packed_rows(rows, 20, 5, 1)
+    assert packets.num_rows > 1  # one bucket
+    assert max(len(p) for p in packets["at"].to_pylist()) * 170 < 2 * super_windows.PACKET_BYTES
+    assert sum(len(p) for p in packets["at"].to_pylist()) >= len(rows)
+
+
+def test_memory_of_a_bucket_just_under_its_limit():
+    import tracemalloc
+
+    import zstandard
+
+    rng, limit, schema = random.Random(6), 8 << 20, super_windows._packet_schema()
+    vocabulary = [b"w%d" % i for i in range(2000)]
+    packer = zstandard.ZstdCompressor()
+
+    def packet(n):
+        strings = [b" ".join(rng.choices(vocabulary, k=60)) for _ in range(500)]
+        values = (0, packer.compress(b"\n".join(strings)), list(range(n, n + 500)), list(range(500)), [3] * 500, [30] * 500)
+        return super_windows.rows_of(schema, {name: [v] for name, v in zip(schema.names, values)})
+
+    batches = [packet(500 * i) for i in range(limit // (650 * 500))]
+    tracemalloc.start()
+    try:
+        assert not list(super_windows._count(35, limit)(iter(batches)))  # nothing repeats, and no window is handed on
+        assert tracemalloc.get_traced_memory()[1] < 6 * limit
+    finally:
+        tracemalloc.stop()
